@@ -391,7 +391,7 @@ ORACLES = {
     "window_metrics": _with(
         [*_TO_SCALARS, _METRICS],
         """SELECT cust AS customer_unique_id, freq_recent, freq_prior,
-                  round(aov_recent, 4) AS aov_recent, round(aov_prior, 4) AS aov_prior,
+                  round(aov_recent, 6) AS aov_recent, round(aov_prior, 6) AS aov_prior,
                   cat_recent, cat_prior FROM windows""",
     ),
     "voucher_dependency": _with(
@@ -440,8 +440,8 @@ ORACLES = {
     "scaled_profile": _with(_TO_FEATURES, " UNION ALL ".join(map(_scaled_line, _MODEL_FEATURES))),
     "clv": _with(
         _TO_PROFILE,
-        """SELECT cust AS customer_unique_id, round(aov, 4) AS aov, tenure_days,
-                  round(annual_frequency, 4) AS annual_frequency, round(clv, 4) AS clv
+        """SELECT cust AS customer_unique_id, round(aov, 6) AS aov, tenure_days,
+                  round(annual_frequency, 6) AS annual_frequency, round(clv, 4) AS clv
            FROM profile""",
     ),
     "quadrants": _with(

@@ -26,8 +26,11 @@ def iso_date(day: Column) -> Column:
 
 
 def to_cents(price: Column) -> Column:
-    """Money as whole cents: long sums are exact, order-free and codegen-cheap."""
-    return F.round(price * 100).cast("bigint")
+    """Money as whole cents: long sums are exact, order-free and codegen-cheap.
+
+    rint works on the primitive; round would build a BigDecimal for every row.
+    """
+    return F.rint(price.cast("double") * 100).cast("bigint")
 
 
 def from_cents(cents: Column) -> Column:

@@ -57,8 +57,9 @@ def window_flags(order_date: Column, snapshot: Column, params: Params) -> tuple[
 
 def customer_rollup(fact: DataFrame, snapshot: Column, params: Params) -> DataFrame:
     """One row per customer with everything the features need."""
-    recent, prior = window_flags(F.col("order_date"), snapshot, params)
-    flagged = fact.withColumn("recent", recent).withColumn("prior", prior)
+    dated = fact.withColumn("snapshot", snapshot)
+    recent, prior = window_flags(F.col("order_date"), F.col("snapshot"), params)
+    flagged = dated.withColumns({"recent": recent, "prior": prior})
     cents = F.col("order_cents")
     no_cents = F.lit(0).cast("bigint")
     voucher = F.col("used_voucher") if "used_voucher" in fact.columns else F.lit(0)
@@ -143,19 +144,21 @@ def churn_flag(recency: Column, threshold: Column | int) -> Column:
 def churn_label(orders: DataFrame, scalars: Column) -> DataFrame:
     """Recency and label per customer; exactly the threshold is not yet churn."""
     last = orders.groupBy("customer_unique_id").agg(F.max("order_date").alias("last_date"))
-    recency = days_between(F.col("last_date"), scalars.getField("snapshot_date"))
-    return last.select("customer_unique_id", recency.alias("recency")).withColumn(
-        "churn", churn_flag(F.col("recency"), scalars.getField("churn_threshold"))
+    recency = days_between(F.col("last_date"), F.col("run.snapshot_date"))
+    return (
+        last.withColumn("run", scalars)
+        .withColumn("recency", recency)
+        .withColumn("churn", churn_flag(F.col("recency"), F.col("run.churn_threshold")))
+        .select("customer_unique_id", "recency", "churn")
     )
 
 
 def customer_features(rollup: DataFrame, scalars: Column) -> DataFrame:
     """Feature table plus the first purchase date the later steps split on."""
-    snapshot = scalars.getField("snapshot_date")
-    gap = mean_gap(
-        F.col("first_date"), F.col("last_date"), F.col("orders"), scalars.getField("median_gap")
+    gap = mean_gap(F.col("first_date"), F.col("last_date"), F.col("orders"), F.col("run.median_gap"))
+    based = rollup.withColumn("run", scalars).withColumn(
+        "recency", days_between(F.col("last_date"), F.col("run.snapshot_date"))
     )
-    based = rollup.withColumn("recency", days_between(F.col("last_date"), snapshot))
     return based.select(
         "customer_unique_id",
         "recency",
@@ -171,7 +174,7 @@ def customer_features(rollup: DataFrame, scalars: Column) -> DataFrame:
             mean_order(F.col("recent_cents"), F.col("recent_orders")),
             mean_order(F.col("prior_cents"), F.col("prior_orders")),
         ).alias("aov_trend"),
-        churn_flag(F.col("recency"), scalars.getField("churn_threshold")).alias("churn"),
+        churn_flag(F.col("recency"), F.col("run.churn_threshold")).alias("churn"),
         F.col("first_date").alias("first_purchase_date"),
     )
 

@@ -154,11 +154,12 @@ def operating_threshold(curve: DataFrame, params: Params) -> DataFrame:
         ).alias("threshold"),
     )
     both = clamped.select(F.struct("raw_threshold", "threshold")).scalar()
-    at_or_above = F.col("threshold") >= both.getField("threshold")
+    at_or_above = F.col("threshold") >= F.col("chosen.threshold")
     nearest = F.min(F.when(at_or_above, F.struct("threshold", "precision", "recall")))
-    return curve.agg(nearest.alias("at")).select(
-        both.getField("raw_threshold").alias("raw_threshold"),
-        both.getField("threshold").alias("threshold"),
+    found = curve.withColumn("chosen", both).agg(nearest.alias("at"))
+    return found.withColumn("chosen", both).select(
+        "chosen.raw_threshold",
+        "chosen.threshold",
         F.coalesce("at.precision", F.lit(0.0)).alias("precision"),
         F.coalesce("at.recall", F.lit(0.0)).alias("recall"),
     )
@@ -181,8 +182,8 @@ def threshold_sweep(scored: DataFrame, median_clv: Column, params: Params) -> Da
     )
     low, high = params.sweep_from_pct, params.sweep_to_pct
     cell = F.coalesce(F.greatest(F.least(reached, F.lit(high)), F.lit(low - 1)), F.lit(low - 1))
-    high_value = F.col("clv") >= median_clv
-    cells = scored.groupBy(cell.cast("bigint").alias("pct")).agg(
+    high_value = F.col("high_value")
+    cells = scored.withColumn("high_value", F.col("clv") >= median_clv).groupBy(cell.cast("bigint").alias("pct")).agg(
         F.count_if(high_value).alias("high_clv"),
         F.count_if(~high_value).alias("low_clv"),
         F.sum("clv").alias("clv"),

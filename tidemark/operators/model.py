@@ -36,8 +36,8 @@ def class_weights(train: DataFrame, label: str = "churn") -> DataFrame:
     """Balanced weights: n / (number of classes × class size)."""
     sizes = train.groupBy(label).agg(F.count("*").alias("n_class"))
     total = sizes.agg(F.struct(F.sum("n_class").alias("n"), F.count("*").alias("k"))).scalar()
-    weight = total.getField("n") / (total.getField("k") * F.col("n_class"))
-    return sizes.select(label, "n_class", weight.alias("weight"))
+    weight = F.col("total.n") / (F.col("total.k") * F.col("n_class"))
+    return sizes.withColumn("total", total).select(label, "n_class", weight.alias("weight"))
 
 
 def scaler_statistics(train: DataFrame) -> DataFrame:
@@ -52,11 +52,12 @@ def scale(frame: DataFrame, statistics: Column) -> DataFrame:
     """Standardise by the train statistics; a constant feature is only centred."""
 
     def scaled(name: str) -> Column:
-        deviation = statistics.getField(f"std_{name}")
-        centred = finite_or_zero(F.col(name)) - statistics.getField(f"mean_{name}")
+        deviation = F.col(f"fitted.std_{name}")
+        centred = finite_or_zero(F.col(name)) - F.col(f"fitted.mean_{name}")
         return centred / F.when(deviation == 0, 1.0).otherwise(deviation)
 
-    return frame.withColumns({c: scaled(c) for c in MODEL_FEATURES})
+    fitted = frame.withColumn("fitted", statistics)
+    return fitted.withColumns({c: scaled(c) for c in MODEL_FEATURES}).drop("fitted")
 
 
 def scaled_by_train(split: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Exact order statistics over columns with about as many values as rows.
 
-Neither operator sorts everything in one task: the median narrows the column to
-a thin band before it counts values, and running totals work per range partition
-with one short row of offsets per partition.
+Nothing here sorts everything in one task. Values are counted first (ties merge
+on the map side, so a value shared by a third of the rows becomes one row), then
+range-partitioned; each partition is ordered on its own and shifted by the sum of
+the partitions before it.
 """
 
 from __future__ import annotations
@@ -13,72 +14,73 @@ from pyspark.sql import functions as F
 from tidemark.workspace import Workspace
 
 
-def exact_median(values: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
-    """One row with the exact median (mean of the middle two for an even count).
-
-    An approximate quantile sketch brackets the median; every value outside the
-    bracket is moved to its nearer end, which cannot change the median. What is
-    left has few distinct values, and map-side counting reduces them before the
-    exact percentile. The bracket is checked: if the sketch ever broke its error
-    bound the query fails instead of returning a wrong value.
-    """
-    margin = 5 / accuracy
-    sketch = F.percentile_approx(column, [0.5 - margin, 0.5 + margin], accuracy)
-    bracket = values.agg(sketch.alias("bracket")).scalar()
-    low, high = bracket.getItem(0), bracket.getItem(1)
-    value = F.col(column)
-    narrowed = values.filter(value.isNotNull()).select(
-        F.greatest(F.least(value, high), low).alias("v"),
-        (value < low).cast("bigint").alias("below"),
-        (value > high).cast("bigint").alias("above"),
-    )
-    counted = narrowed.groupBy("v").agg(
-        F.count("*").alias("n"), F.sum("below").alias("below"), F.sum("above").alias("above")
-    )
-    middle = F.expr("percentile(v, 0.5D, n)")
-    outside = F.greatest(F.sum("below"), F.sum("above"))
-    return counted.agg(
-        F.when(outside * 2 < F.sum("n"), middle)
-        .when(F.sum("n") > 0, F.raise_error(F.lit("median bracket missed the median")).cast("double"))
-        .alias("median")
-    )
-
-
-def running_totals(
-    counts: DataFrame, key: str, sums: list[str], workspace: Workspace, partitions: int | None = None
+def _ranges(
+    counts: DataFrame, key: str, sums: list[str], workspace: Workspace, partitions: int | None
 ) -> DataFrame:
-    """Ascending running sums over all rows, for a table with one row per key.
+    """The rows with their range partition and, per sum, its offset, part and total.
 
-    Adds before_<sum> (rows with a smaller key) and total_<sum>. Keys are unique,
-    so range partitions come out even whatever the data's skew was. The partition
-    number is written with the rows, which makes it one fixed fact for both
-    readers; the offsets are one row per partition and are broadcast.
+    Keys are unique, so the ranges come out even whatever the data's skew was.
+    The partition number is written with the rows, which makes it one fixed fact
+    for the rows and for the offsets. Offsets are one row per partition: the
+    window that adds them up and the broadcast are bounded by that number.
     """
     spark = counts.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = counts.repartitionByRange(partitions, key).withColumn("part", F.spark_partition_id())
     table = workspace.stage(ranged, "ranges")
 
-    per_part = table.groupBy("part").agg(*[F.sum(s).alias(f"sum_{s}") for s in sums])
-    parts = Window.orderBy("part")
-    earlier = parts.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_part = table.groupBy("part").agg(*[F.sum(s).alias(f"part_{s}") for s in sums])
+    in_order = Window.orderBy("part")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_part.select(
-        "part",
-        *[(F.sum(f"sum_{s}").over(earlier) - F.col(f"sum_{s}")).alias(f"offset_{s}") for s in sums],
-        *[F.sum(f"sum_{s}").over(everything).alias(f"total_{s}") for s in sums],
+        "*",
+        *[(F.sum(f"part_{s}").over(so_far) - F.col(f"part_{s}")).alias(f"offset_{s}") for s in sums],
+        *[F.sum(f"part_{s}").over(everything).alias(f"total_{s}") for s in sums],
     )
+    return table.join(F.broadcast(offsets), "part")
+
+
+def _add_running(ranges: DataFrame, key: str, sums: list[str]) -> DataFrame:
     inside = (
         Window.partitionBy("part")
         .orderBy(key)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        table.withColumns({f"inner_{s}": F.sum(s).over(inside) - F.col(s) for s in sums})
-        .join(F.broadcast(offsets), "part")
-        .select(
-            *counts.columns,
-            *[(F.col(f"offset_{s}") + F.col(f"inner_{s}")).alias(f"before_{s}") for s in sums],
-            *[f"total_{s}" for s in sums],
-        )
+    return ranges.withColumns(
+        {f"before_{s}": F.col(f"offset_{s}") + F.sum(s).over(inside) - F.col(s) for s in sums}
+    )
+
+
+def running_totals(
+    counts: DataFrame, key: str, sums: list[str], workspace: Workspace, partitions: int | None = None
+) -> DataFrame:
+    """Ascending running sums over a table with one row per key.
+
+    Adds before_<sum> (over all smaller keys) and total_<sum>.
+    """
+    ranges = _ranges(counts, key, sums, workspace, partitions)
+    return _add_running(ranges, key, sums).select(
+        *counts.columns, *[f"before_{s}" for s in sums], *[f"total_{s}" for s in sums]
+    )
+
+
+def exact_median(
+    values: DataFrame, column: str, workspace: Workspace, partitions: int | None = None
+) -> DataFrame:
+    """One row with the exact median (mean of the middle two for an even count).
+
+    Only the range partitions that hold the middle ranks are ordered.
+    """
+    counts = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
+        F.count("*").alias("n")
+    )
+    ranges = _ranges(counts, "v", ["n"], workspace, partitions)
+    lower, upper = F.expr("(total_n - 1) DIV 2"), F.expr("total_n DIV 2")
+    middle = ranges.filter(
+        (F.col("offset_n") <= upper) & (F.col("offset_n") + F.col("part_n") > lower)
     )
+    reached = _add_running(middle, "v", ["n"])
+    at_lower = F.max(F.when(F.col("before_n") <= lower, F.col("v")))
+    at_upper = F.max(F.when(F.col("before_n") <= upper, F.col("v")))
+    return reached.agg(((at_lower + at_upper) / 2).alias("median"))

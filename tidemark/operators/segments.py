@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -15,7 +15,6 @@ from tidemark.functions import (
     percent_text,
     ratio_or,
 )
-from tidemark.operators.ranking import exact_median
 from tidemark.params import Params
 
 # Segment names as the reports and exports print them.
@@ -65,20 +64,20 @@ def tier_of(high: Column) -> Column:
 
 def resegment(scored: DataFrame, threshold: Column | float, median_clv: Column) -> DataFrame:
     """Quadrant and tiers at a risk threshold; both comparisons are inclusive."""
-    high_risk = F.coalesce(F.col("churn_probability") >= threshold, F.lit(False))
-    high_value = F.coalesce(F.col("clv") >= median_clv, F.lit(False))
-    return scored.withColumns(
+    split = scored.withColumns(
+        {
+            "high_risk": F.coalesce(F.col("churn_probability") >= threshold, F.lit(False)),
+            "high_value": F.coalesce(F.col("clv") >= median_clv, F.lit(False)),
+        }
+    )
+    high_risk, high_value = F.col("high_risk"), F.col("high_value")
+    return split.withColumns(
         {
             "quadrant": quadrant_of(high_value, high_risk),
             "risk_tier": tier_of(high_risk),
             "value_tier": tier_of(high_value),
         }
-    )
-
-
-def segments(scored: DataFrame, threshold: Column | float) -> DataFrame:
-    """Median split on CLV. Pass a staged table: it is read three times."""
-    return resegment(scored, threshold, exact_median(scored, "clv").scalar())
+    ).drop("high_risk", "high_value")
 
 
 def _listed_quadrants(spark) -> DataFrame:
@@ -94,12 +93,12 @@ def quadrant_summary(segmented: DataFrame) -> DataFrame:
         F.avg("clv").alias("avg_clv"),
         F.avg("churn_probability").alias("avg_churn_probability"),
     )
-    total = found.agg(F.sum("customer_count")).scalar()
+    everyone = F.sum("customer_count").over(Window.partitionBy())
     return (
         _listed_quadrants(segmented.sparkSession)
         .join(F.broadcast(found), "quadrant", "left")
         .na.fill(0, ["customer_count", "total_clv", "avg_clv", "avg_churn_probability"])
-        .withColumn("share_pct", ratio_or(F.col("customer_count"), total) * 100)
+        .withColumn("share_pct", ratio_or(F.col("customer_count"), everyone) * 100)
         .orderBy("position")
         .drop("position")
     )
@@ -177,13 +176,16 @@ def maturity_split(
 ) -> DataFrame:
     """Adds split: train before the split date, holdout up to the maturity date."""
     first = F.col("first_purchase_date")
-    mature = F.date_sub(scalars.getField("snapshot_date"), scalars.getField("churn_threshold"))
+    mature_date = F.date_sub(F.col("run.snapshot_date"), F.col("run.churn_threshold"))
     name = (
-        F.when(first < F.lit(split_date), "train")
-        .when(first <= mature, "holdout")
-        .otherwise("immature")
+        F.when(first < F.lit(split_date), "train").when(F.col("mature"), "holdout").otherwise("immature")
+    )
+    return (
+        features.withColumn("run", scalars)
+        .withColumn("mature", first <= mature_date)
+        .withColumn("split", name)
+        .drop("run")
     )
-    return features.withColumn("split", name).withColumn("mature", first <= mature)
 
 
 def split_summary(split: DataFrame) -> DataFrame:

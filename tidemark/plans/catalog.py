@@ -98,7 +98,7 @@ def avg_gap(plan):
 
 
 def window_metrics(plan):
-    return _rounded(plan.window_metrics, 4, "aov_recent", "aov_prior")
+    return _rounded(plan.window_metrics, 6, "aov_recent", "aov_prior")
 
 
 def voucher_dependency(plan):
@@ -141,13 +141,8 @@ def scaled_profile(plan):
 
 
 def clv(plan):
-    return _rounded(
-        plan.profile.select("customer_unique_id", "aov", "tenure_days", "annual_frequency", "clv"),
-        4,
-        "aov",
-        "annual_frequency",
-        "clv",
-    )
+    valued = plan.profile.select("customer_unique_id", "aov", "tenure_days", "annual_frequency", "clv")
+    return _rounded(_rounded(valued, 6, "aov", "annual_frequency"), 4, "clv")
 
 
 def _segmented(frame: DataFrame, *columns: str) -> DataFrame:

@@ -209,7 +209,7 @@ class RetentionPlan:
 
     @cached_property
     def median_clv(self) -> Column:
-        return ranking.exact_median(self.staged_profile, "clv").scalar()
+        return ranking.exact_median(self.staged_profile, "clv", self.workspace).scalar()
 
     @cached_property
     def segments(self) -> DataFrame:
