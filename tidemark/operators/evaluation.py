@@ -33,6 +33,17 @@ def confusion_matrix(
     return wide.select(F.inline(F.array(*wide.columns)))
 
 
+def matrix_array(matrix: DataFrame) -> DataFrame:
+    """The four cells as one nested array [[tn, fp], [fn, tp]]."""
+
+    def cell(actual: int, guess: int) -> Column:
+        at = (F.col("actual") == actual) & (F.col("predicted") == guess)
+        return F.max(F.when(at, F.col("n")))
+
+    rows = [F.array(cell(actual, 0), cell(actual, 1)) for actual in (0, 1)]
+    return matrix.agg(F.array(*rows).alias("matrix"))
+
+
 def classification_report(matrix: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per class, accuracy, macro and weighted mean."""
 

@@ -94,18 +94,22 @@ class ChurnModels:
         return self._score(self.logistic, "churn_probability")
 
     def coefficients(self) -> DataFrame:
-        """Logistic coefficients, the largest in absolute value first."""
         values = [float(v) for v in self.logistic.coefficients]
-        return _per_feature(self.scaled, values, "coefficient").orderBy(F.abs("coefficient").desc())
+        return _per_feature(self.scaled, values, "coefficient")
 
     def importances(self) -> DataFrame:
         values = [float(v) for v in self.forest.featureImportances.toArray()]
-        return _per_feature(self.scaled, values, "importance").orderBy(F.desc("importance"))
+        return _per_feature(self.scaled, values, "importance")
 
 
 def _per_feature(frame: DataFrame, values: list[float], name: str) -> DataFrame:
-    rows = list(zip(MODEL_FEATURES, values))
-    return frame.sparkSession.createDataFrame(rows, f"feature string, {name} double")
+    """One row per feature, the largest absolute value first."""
+    pairs = [
+        F.struct(F.lit(feature).alias("feature"), F.lit(value).alias(name))
+        for feature, value in zip(MODEL_FEATURES, values)
+    ]
+    rows = frame.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    return rows.orderBy(F.abs(name).desc(), "feature")
 
 
 def _assembled(frame: DataFrame) -> DataFrame:

@@ -30,8 +30,15 @@ from tidemark.sources.shop import ShopTables
 from tidemark.workspace import Workspace
 
 
+_ORDER_COLUMNS = ["order_id", "customer_unique_id", "order_purchase_timestamp", "order_date"]
+
+
 class RetentionPlan:
-    """as_of limits every statistic to orders up to and including that day."""
+    """as_of limits every statistic to orders up to and including that day.
+
+    built_fact is an order fact (with voucher flag) that already exists, such as
+    a written table; without it each table is computed from the inputs.
+    """
 
     def __init__(
         self,
@@ -39,11 +46,18 @@ class RetentionPlan:
         params: Params,
         workspace: Workspace,
         as_of: date | None = None,
+        built_fact: DataFrame | None = None,
     ):
         self.tables = tables
         self.params = params
         self.workspace = workspace
         self.as_of = as_of
+        self.built_fact = built_fact
+
+    def on_staged_fact(self) -> "RetentionPlan":
+        """The same plan over a fact written once: for runs that need many tables."""
+        staged = self.workspace.stage(self.fact_with_vouchers, "order-fact")
+        return RetentionPlan(self.tables, self.params, self.workspace, self.as_of, staged)
 
     # Orders
 
@@ -54,9 +68,13 @@ class RetentionPlan:
     @cached_property
     def orders(self) -> DataFrame:
         """Completed orders with customer and date only: no basket, no category."""
+        if self.built_fact is not None:
+            return self.built_fact.select(*_ORDER_COLUMNS)
         return facts.with_customer(self.placed, self.tables.customers)
 
     def _fact(self, with_vouchers: bool) -> DataFrame:
+        if self.built_fact is not None:
+            return self.built_fact
         return facts.customer_order_fact(
             self.placed,
             self.tables.customers,
@@ -255,6 +273,17 @@ class RetentionPlan:
             scores.filter(F.col("split") == "holdout"), self.workspace
         )
 
+    def register_views(self) -> None:
+        """The SQL names under which analysts know the tables of the first step."""
+        views = {
+            "customer_order_fact": self.order_fact,
+            "cohort_retention": self.cohort_retention,
+            "rfm_table": self.rfm,
+            "customer_purchase_gaps": self.purchase_gaps,
+        }
+        for name, frame in views.items():
+            frame.createOrReplaceTempView(name)
+
     # Experiment
 
     def last_order_date(self) -> date:
@@ -266,9 +295,17 @@ class RetentionPlan:
         return snapshot - timedelta(days=self.params.outcome_days)
 
     def plan_at(self, day: date, **changes) -> "RetentionPlan":
-        return RetentionPlan(self.tables, replace(self.params, **changes), self.workspace, day)
+        fact = self.built_fact
+        if fact is not None:
+            fact = fact.filter(F.col("order_date") <= F.lit(day))
+        params = replace(self.params, **changes)
+        return RetentionPlan(self.tables, params, self.workspace, day, fact)
 
     def orders_between(self, after: date, until: date) -> DataFrame:
+        """Orders with after < date <= until."""
+        if self.built_fact is not None:
+            day = F.col("order_date")
+            return self.orders.filter((day > F.lit(after)) & (day <= F.lit(until)))
         placed = facts.placed_orders(
             self.tables.orders, self.params.completed_status, as_of=until, after=after
         )

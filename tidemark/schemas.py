@@ -43,6 +43,17 @@ COHORT_RETENTION = _struct(
     retention_rate=T.DoubleType(),
 )
 RUN_METADATA = _struct(churn_threshold=T.LongType(), snapshot_date=T.StringType())
+MODEL_METRICS = _struct(
+    lr_auc=T.DoubleType(),
+    rf_auc=T.DoubleType(),
+    selected_rf_threshold=T.DoubleType(),
+    lr_coefs=T.ArrayType(_struct(feature=T.StringType(), coefficient=T.DoubleType())),
+    rf_importances=T.ArrayType(_struct(feature=T.StringType(), importance=T.DoubleType())),
+    lr_confusion_matrix=T.ArrayType(T.ArrayType(T.LongType())),
+    rf_confusion_matrix=T.ArrayType(T.ArrayType(T.LongType())),
+    test_size=T.LongType(),
+    train_size=T.LongType(),
+)
 EXPERIMENT_RESULTS = _struct(
     n_treatment=T.LongType(),
     n_control=T.LongType(),
