@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import from_cents, to_cents
+from tidemark.params import Params
+from tidemark.sources.shop import ShopTables
 
 
 def placed_orders(
@@ -56,7 +58,8 @@ def order_baskets(items: DataFrame, category_pick: str = "lowest") -> DataFrame:
     "lowest" takes the product of the smallest item number (ties: the smallest
     product id); "equals_one" takes only an item numbered exactly 1. Both are
     partial aggregates, so an order with very many items costs one row per map
-    task.
+    task. The minimum of a pair makes Spark aggregate by sorting; the final sort
+    is the one the join on order_id needs anyway.
     """
     position = F.struct("order_item_id", "product_id")
     if category_pick == "equals_one":
@@ -72,9 +75,13 @@ def order_baskets(items: DataFrame, category_pick: str = "lowest") -> DataFrame:
     )
 
 
+def order_totals(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id").agg(F.sum(to_cents(F.col("price"))).alias("order_cents"))
+
+
 def order_value(items: DataFrame) -> DataFrame:
-    totals = items.groupBy("order_id").agg(F.sum(to_cents(F.col("price"))).alias("cents"))
-    return totals.select("order_id", from_cents(F.col("cents")).alias("order_value"))
+    totals = order_totals(items)
+    return totals.select("order_id", from_cents(F.col("order_cents")).alias("order_value"))
 
 
 def product_categories(products: DataFrame, translation: DataFrame, unknown: str) -> DataFrame:
@@ -103,31 +110,35 @@ def voucher_orders(payments: DataFrame, voucher_type: str) -> DataFrame:
 
 def customer_order_fact(
     placed: DataFrame,
-    customers: DataFrame,
-    items: DataFrame,
-    products: DataFrame,
-    translation: DataFrame,
-    unknown: str,
-    category_pick: str = "lowest",
-    payments: DataFrame | None = None,
-    voucher_type: str = "voucher",
+    tables: ShopTables,
+    params: Params,
+    value: bool = True,
+    category: bool = True,
+    voucher: bool = False,
 ) -> DataFrame:
-    """One row per placed order of a known customer; vouchers flagged on request."""
-    joined = placed.join(order_baskets(items, category_pick), "order_id", "left")
-    flag = []
-    if payments is not None:
-        paid = voucher_orders(payments, voucher_type).withColumn("used_voucher", F.lit(1))
-        joined = joined.join(paid, "order_id", "left")
-        flag = [F.coalesce("used_voucher", F.lit(0)).alias("used_voucher")]
-    joined = joined.join(product_categories(products, translation, unknown), "product_id", "left")
-    return with_customer(joined, customers).select(
-        "order_id",
-        "customer_unique_id",
-        "order_purchase_timestamp",
-        "order_date",
-        F.coalesce("order_cents", F.lit(0).cast("bigint")).alias("order_cents"),
-        F.coalesce("category", F.lit(unknown)).alias("category"),
-        *flag,
+    """One row per placed order of a known customer, with the parts asked for.
+
+    Each part costs a join that Spark cannot drop by itself (it does not know
+    that the keys are unique), so tables that need less should ask for less.
+    """
+    joined, parts = placed, []
+    if category:
+        joined = joined.join(order_baskets(tables.items, params.category_pick), "order_id", "left")
+    elif value:
+        joined = joined.join(order_totals(tables.items), "order_id", "left")
+    if voucher:
+        paid = voucher_orders(tables.payments, params.voucher_type)
+        joined = joined.join(paid.withColumn("used_voucher", F.lit(1)), "order_id", "left")
+        parts.append(F.coalesce("used_voucher", F.lit(0)).alias("used_voucher"))
+    if value:
+        parts.append(F.coalesce("order_cents", F.lit(0).cast("bigint")).alias("order_cents"))
+    if category:
+        unknown = params.unknown_category
+        known = product_categories(tables.products, tables.translation, unknown)
+        joined = joined.join(known, "product_id", "left")
+        parts.append(F.coalesce("category", F.lit(unknown)).alias("category"))
+    return with_customer(joined, tables.customers).select(
+        "order_id", "customer_unique_id", "order_purchase_timestamp", "order_date", *parts
     )
 
 

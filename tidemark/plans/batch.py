@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import iso_date
-from tidemark.operators import evaluation, experiment, facts, segments
+from tidemark.operators import evaluation, experiment, segments
 from tidemark.params import Params
 from tidemark.plans.retention import RetentionPlan
 from tidemark.session import tune
@@ -77,9 +77,7 @@ def run_batch(
         plan = RetentionPlan(tables, params, workspace).on_staged_fact()
 
         # Relational step
-        rows["customer_order_fact"] = write_table(
-            facts.present_fact(plan.fact), f"{output}/customer_order_fact"
-        )
+        rows["customer_order_fact"] = write_table(plan.order_fact, f"{output}/customer_order_fact")
         rows["cohort_retention"] = write_csv(
             plan.cohort_retention, f"{output}/cohort_retention.csv", single_file=True
         )

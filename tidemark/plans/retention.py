@@ -56,7 +56,7 @@ class RetentionPlan:
 
     def on_staged_fact(self) -> "RetentionPlan":
         """The same plan over a fact written once: for runs that need many tables."""
-        staged = self.workspace.stage(self.fact_with_vouchers, "order-fact")
+        staged = self.workspace.stage(self.full_fact, "order-fact")
         return RetentionPlan(self.tables, self.params, self.workspace, self.as_of, staged)
 
     # Orders
@@ -72,32 +72,21 @@ class RetentionPlan:
             return self.built_fact.select(*_ORDER_COLUMNS)
         return facts.with_customer(self.placed, self.tables.customers)
 
-    def _fact(self, with_vouchers: bool) -> DataFrame:
+    def fact_with(self, value=False, category=False, voucher=False) -> DataFrame:
+        """The order fact with just the parts a table needs."""
         if self.built_fact is not None:
             return self.built_fact
         return facts.customer_order_fact(
-            self.placed,
-            self.tables.customers,
-            self.tables.items,
-            self.tables.products,
-            self.tables.translation,
-            self.params.unknown_category,
-            self.params.category_pick,
-            self.tables.payments if with_vouchers else None,
-            self.params.voucher_type,
+            self.placed, self.tables, self.params, value, category, voucher
         )
 
-    @cached_property
-    def fact(self) -> DataFrame:
-        return self._fact(with_vouchers=False)
-
-    @cached_property
-    def fact_with_vouchers(self) -> DataFrame:
-        return self._fact(with_vouchers=True)
+    @property
+    def full_fact(self) -> DataFrame:
+        return self.fact_with(value=True, category=True, voucher=True)
 
     @property
     def order_fact(self) -> DataFrame:
-        return facts.present_fact(self.fact)
+        return facts.present_fact(self.fact_with(value=True, category=True))
 
     @property
     def order_value(self) -> DataFrame:
@@ -174,17 +163,16 @@ class RetentionPlan:
 
     @property
     def rfm(self) -> DataFrame:
-        return customers.rfm(self.fact, self.snapshot)
+        return customers.rfm(self.fact_with(value=True), self.snapshot)
 
     @property
     def window_metrics(self) -> DataFrame:
-        return customers.window_metrics(
-            customers.customer_rollup(self.fact, self.snapshot, self.params)
-        )
+        fact = self.fact_with(value=True, category=True)
+        return customers.window_metrics(customers.customer_rollup(fact, self.snapshot, self.params))
 
     @property
     def voucher_dependency(self) -> DataFrame:
-        return customers.voucher_dependency(self.fact_with_vouchers)
+        return customers.voucher_dependency(self.fact_with(voucher=True))
 
     @property
     def avg_gap(self) -> DataFrame:
@@ -197,7 +185,7 @@ class RetentionPlan:
     @cached_property
     def features(self) -> DataFrame:
         rollup = customers.customer_rollup(
-            self.fact_with_vouchers, self.scalars.getField("snapshot_date"), self.params
+            self.full_fact, self.scalars.getField("snapshot_date"), self.params
         )
         return customers.customer_features(rollup, self.scalars)
 
