@@ -1,7 +1,7 @@
 """Independent SQL for every registered query that SQL can express.
 
-Written for DuckDB over the raw tables, query by query from shared CTEs, in the
-plain relational form (self-joins, LAG over orders, ordered-set medians) and not
+Written for DuckDB over the raw tables, query by query from shared CTEs, in plain
+relational form (self-joins, correlated subqueries, ordered-set medians) and not
 in the shape of the Spark plans.
 """
 
@@ -65,28 +65,27 @@ first_orders AS (
 
 _RETENTION = """
 activity AS (
-    SELECT DISTINCT f.cust, f.cohort, date_trunc('month', o.d) AS active_month
-    FROM fact o JOIN first_orders f ON o.cust = f.cust
-),
-sizes AS (SELECT cohort, count(DISTINCT cust) AS cohort_size FROM first_orders GROUP BY cohort),
-counts AS (
-    SELECT cohort,
-           CAST((year(active_month) - year(cohort)) * 12
-                + month(active_month) - month(cohort) AS BIGINT) AS period_diff,
-           count(DISTINCT cust) AS active_customers
-    FROM activity GROUP BY 1, 2
+    SELECT cust, date_trunc('month', d) AS active_month,
+           (SELECT cohort FROM first_orders f WHERE f.cust = fact.cust) AS cohort
+    FROM fact GROUP BY ALL
 ),
+sizes AS (SELECT cohort, count(*) AS cohort_size FROM first_orders GROUP BY cohort),
 retention AS (
-    SELECT r.cohort, s.cohort_size, r.period_diff, r.active_customers,
-           round(CAST(r.active_customers AS DOUBLE) / s.cohort_size, 4) AS retention_rate
-    FROM counts r JOIN sizes s ON r.cohort = s.cohort
+    SELECT cohort, any_value(cohort_size) AS cohort_size,
+           datediff('month', cohort, active_month) AS period_diff,
+           count(*) AS active_customers,
+           round(count(*) / any_value(cohort_size)::DOUBLE, 4) AS retention_rate
+    FROM activity JOIN sizes USING (cohort)
+    GROUP BY cohort, datediff('month', cohort, active_month)
 )"""
 
+# Consecutive purchases by position: the n-th and the (n+1)-th order of a customer.
 _GAPS = """
+positions AS (SELECT cust, d, row_number() OVER (PARTITION BY cust ORDER BY d) AS n FROM fact),
 gaps AS (
-    SELECT * FROM (
-        SELECT cust, d, lag(d) OVER (PARTITION BY cust ORDER BY d) AS prev_d FROM fact
-    ) WHERE prev_d IS NOT NULL
+    SELECT later.cust, later.d, earlier.d AS prev_d
+    FROM positions later JOIN positions earlier
+      ON earlier.cust = later.cust AND earlier.n + 1 = later.n
 )"""
 
 _SCALARS = """
@@ -567,11 +566,12 @@ ORACLES = {
     ),
     "live_metrics": _with(
         _TO_PROFILE,
-        """SELECT round(coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
+        """SELECT coalesce(split, 'mature') AS split,
+                  round(coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
                                  / nullif(count(*) FILTER (WHERE s >= 0.5), 0), 0), 6) AS precision,
                   round(coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
                                  / nullif(count(*) FILTER (WHERE churn = 1), 0), 0), 6) AS recall
-           FROM profile WHERE mature""",
+           FROM profile WHERE mature GROUP BY ROLLUP (split)""",
     ),
     "ab_assign": _with(_TO_ARMS, "SELECT cust AS customer_unique_id, arm FROM arms"),
     "ab_outcome": _with(

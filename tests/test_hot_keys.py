@@ -84,3 +84,36 @@ def test_hot_category_and_customer_rollup(spark, workspace):
     assert (row.frequency, row.monetary, row.recency) == (6, 84.5, 1)
     assert plan.window_metrics.first().cat_prior == 3
     assert plan.purchase_gaps.count() == 5
+
+
+def test_hot_customer_join_is_split(spark):
+    """A customer with a third of the orders does not stay in one join task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        placed = spark.range(0, 300_000, 1, 8).select(
+            F.col("id").alias("order_id"),
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1).alias("customer_id"),
+            F.lit("2020-01-01 10:00:00").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        )
+        people = spark.range(0, 5001, 1, 4).select(
+            F.col("id").alias("customer_id"), F.col("id").alias("customer_unique_id")
+        )
+        days = gaps.customer_days(facts.with_customer(placed, people))
+        hot = days.orderBy(F.desc("orders")).first()
+        assert (hot.customer_unique_id, hot.orders) == (0, 100_000)
+        assert days.agg(F.sum("orders")).first()[0] == 300_000
+        days.collect()
+        assert "SortMergeJoin(skew=true)" in days._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

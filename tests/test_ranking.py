@@ -119,7 +119,11 @@ def test_confusion_and_report(spark):
 
 def test_sweep_matches_one_threshold_at_a_time(spark, scored):
     table = scored.withColumns(
-        {"clv": F.col("customer_unique_id") * 1.0, "mature": F.col("customer_unique_id") % 2 == 0}
+        {
+            "clv": F.col("customer_unique_id") * 1.0,
+            "mature": F.col("customer_unique_id") % 2 == 0,
+            "split": F.when(F.col("customer_unique_id") % 4 == 0, "train").otherwise("holdout"),
+        }
     )
     sweep = evaluation.threshold_sweep(table, F.lit(3000.0), Params()).toPandas().set_index("threshold")
     data = table.toPandas()
@@ -132,7 +136,9 @@ def test_sweep_matches_one_threshold_at_a_time(spark, scored):
         mature = data[data.mature]
         hits = ((mature.churn_probability >= t) & (mature.churn == 1)).sum()
         assert sweep.recall[t] == pytest.approx(hits / (mature.churn == 1).sum())
-    live = evaluation.live_metrics(table, 0.5).first()
+    by_split = {r["split"]: r for r in evaluation.live_metrics(table, 0.5).collect()}
+    assert set(by_split) == {"mature", "train", "holdout"}
+    live = by_split["mature"]
     assert live.recall == pytest.approx(sweep.recall[0.5])
     assert live.precision == pytest.approx(sweep.precision[0.5])
 

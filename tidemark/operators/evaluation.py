@@ -229,10 +229,15 @@ def threshold_sweep(scored: DataFrame, median_clv: Column, params: Params) -> Da
 
 
 def live_metrics(scored: DataFrame, threshold: Column | float) -> DataFrame:
-    """Precision and recall of one threshold over the mature customers, 0 if undefined."""
+    """Precision and recall of one threshold over the mature customers, 0 if undefined.
+
+    The row "mature" covers all of them, training customers included; the other
+    rows show each split on its own.
+    """
     flagged = F.col("churn_probability") >= threshold
     churned = F.col("churn") == 1
-    return scored.filter("mature").agg(
+    measured = scored.filter("mature").rollup("split").agg(
         ratio_or(F.count_if(flagged & churned), F.count_if(flagged)).alias("precision"),
         ratio_or(F.count_if(flagged & churned), F.count_if(churned)).alias("recall"),
     )
+    return measured.withColumn("split", F.coalesce("split", F.lit("mature")))

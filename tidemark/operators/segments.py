@@ -161,10 +161,24 @@ def action_table(segmented: DataFrame, segment: str = ALL_SEGMENTS) -> DataFrame
 
 
 def segment_sample(segmented: DataFrame, size: int, seed: int) -> DataFrame:
-    """Exactly min(size, N) customers, the same ones under any partitioning."""
+    """Exactly min(size, N) customers, the same ones under any partitioning.
+
+    The sample is the size smallest salted hashes. Counting the hashes by their
+    first four digits (at most 65,536 counts) gives the shortest range of hashes
+    that surely holds the sample; only that range is sorted. Without it every
+    partition would send its own size smallest rows to the one task that merges.
+    """
     draw = F.md5(F.concat(F.col("customer_unique_id").cast("string"), F.lit(f":{seed}")))
+    drawn = segmented.withColumn("draw", draw)
+    digits = F.substring("draw", 1, 4)
+    counted = drawn.groupBy(digits.alias("digits")).agg(F.count("*").alias("n"))
+    so_far = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    enough = F.min(F.when(F.col("reached") >= size, F.col("digits")))
+    cutoff = counted.withColumn("reached", F.sum("n").over(so_far)).agg(
+        F.coalesce(enough, F.lit("ffff"))
+    )
     return (
-        segmented.withColumn("draw", draw)
+        drawn.filter(digits <= cutoff.scalar())
         .orderBy("draw", "customer_unique_id")
         .limit(size)
         .drop("draw")
