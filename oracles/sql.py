@@ -385,19 +385,19 @@ ORACLES = {
     ),
     "avg_gap": _with(
         [*_TO_SCALARS, _METRICS],
-        "SELECT cust AS customer_unique_id, round(avg_gap, 6) AS avg_gap FROM mean_gaps",
+        "SELECT cust AS customer_unique_id, avg_gap FROM mean_gaps",
     ),
     "window_metrics": _with(
         [*_TO_SCALARS, _METRICS],
         """SELECT cust AS customer_unique_id, freq_recent, freq_prior,
-                  round(aov_recent, 6) AS aov_recent, round(aov_prior, 6) AS aov_prior,
+                  aov_recent, aov_prior,
                   cat_recent, cat_prior FROM windows""",
     ),
     "voucher_dependency": _with(
         _FACT_CTES,
         """SELECT cust AS customer_unique_id, CAST(sum(voucher) AS BIGINT) AS voucher_orders,
                   count(*) AS total_orders,
-                  round(CAST(sum(voucher) AS DOUBLE) / count(*), 6) AS discount_dependency
+                  CAST(sum(voucher) AS DOUBLE) / count(*) AS discount_dependency
            FROM fact GROUP BY cust""",
     ),
     "churn_label": _with(
@@ -406,11 +406,11 @@ ORACLES = {
     "customer_features": _with(
         _TO_FEATURES,
         """SELECT cust AS customer_unique_id, recency, frequency, monetary,
-                  round(purchase_freq_trend, 6) AS purchase_freq_trend,
-                  round(recency_ratio, 6) AS recency_ratio,
-                  round(discount_dependency, 6) AS discount_dependency,
-                  round(category_diversity_trend, 6) AS category_diversity_trend,
-                  round(aov_trend, 6) AS aov_trend, churn
+                  purchase_freq_trend,
+                  recency_ratio,
+                  discount_dependency,
+                  category_diversity_trend,
+                  aov_trend, churn
            FROM features""",
     ),
     "feature_profile": _with(
@@ -439,14 +439,14 @@ ORACLES = {
     "scaled_profile": _with(_TO_FEATURES, " UNION ALL ".join(map(_scaled_line, _MODEL_FEATURES))),
     "clv": _with(
         _TO_PROFILE,
-        """SELECT cust AS customer_unique_id, round(aov, 6) AS aov, tenure_days,
-                  round(annual_frequency, 6) AS annual_frequency, round(clv, 4) AS clv
+        """SELECT cust AS customer_unique_id, aov, tenure_days,
+                  annual_frequency, clv
            FROM profile""",
     ),
     "quadrants": _with(
         _TO_SEGMENTS,
-        """SELECT cust AS customer_unique_id, round(s, 6) AS churn_probability,
-                  round(clv, 4) AS clv, quadrant, risk_tier, value_tier FROM segmented""",
+        """SELECT cust AS customer_unique_id, s AS churn_probability,
+                  clv, quadrant, risk_tier, value_tier FROM segmented""",
     ),
     "quadrant_summary": _with(
         [*_TO_SEGMENTS, _SUMMARY],
@@ -485,14 +485,14 @@ ORACLES = {
     ),
     "crm_export": _with(
         _TO_SEGMENTS,
-        f"""SELECT cust AS customer_unique_id, round(clv, 4) AS clv,
-                   round(s, 6) AS churn_probability, quadrant
+        f"""SELECT cust AS customer_unique_id, clv,
+                   s AS churn_probability, quadrant
             FROM segmented WHERE quadrant = '{WIN_BACK}'""",
     ),
     "segment_sample": _with(
         _TO_SEGMENTS,
-        """SELECT cust AS customer_unique_id, round(s, 6) AS churn_probability,
-                  round(clv, 4) AS clv, quadrant, recency, frequency, monetary
+        """SELECT cust AS customer_unique_id, s AS churn_probability,
+                  clv, quadrant, recency, frequency, monetary
            FROM segmented ORDER BY md5(CAST(cust AS VARCHAR) || ':42'), cust LIMIT 5000""",
     ),
     "confusion_matrix": _with(
@@ -530,8 +530,8 @@ ORACLES = {
     ),
     "pr_curve": _with(
         [*_TO_PROFILE, _CURVE],
-        """SELECT round(s, 6) AS threshold, tp AS true_positives, fp AS false_positives,
-                  round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr""",
+        """SELECT s AS threshold, tp AS true_positives, fp AS false_positives,
+                  precision, recall FROM pr""",
     ),
     "operating_threshold": _with(
         [
@@ -541,9 +541,9 @@ ORACLES = {
                 SELECT max(s) AS raw, greatest(least(max(s), 0.7::DOUBLE), 0.3::DOUBLE) AS t
                 FROM pr WHERE recall >= 0.8::DOUBLE)""",
         ],
-        """SELECT round(raw, 6) AS raw_threshold, round(t, 6) AS threshold,
-                  round(sum(churn)::DOUBLE / count(*), 6) AS precision,
-                  round(sum(churn)::DOUBLE / (SELECT sum(churn) FROM profile), 6) AS recall
+        """SELECT raw AS raw_threshold, t AS threshold,
+                  sum(churn)::DOUBLE / count(*) AS precision,
+                  sum(churn)::DOUBLE / (SELECT sum(churn) FROM profile) AS recall
            FROM profile, chosen WHERE s >= t GROUP BY raw, t""",
     ),
     "threshold_sweep": _with(
@@ -555,22 +555,22 @@ ORACLES = {
                   count(*) FILTER (WHERE s < t.k / 100.0::DOUBLE AND clv < median_clv) AS no_action,
                   round(coalesce(sum(clv) FILTER (WHERE s >= t.k / 100.0::DOUBLE), 0), 2)
                       AS clv_at_risk,
-                  round(coalesce(
+                  coalesce(
                       count(*) FILTER (WHERE s >= t.k / 100.0::DOUBLE AND mature AND churn = 1)::DOUBLE
-                      / nullif(count(*) FILTER (WHERE s >= t.k / 100.0::DOUBLE AND mature), 0), 0), 6)
+                      / nullif(count(*) FILTER (WHERE s >= t.k / 100.0::DOUBLE AND mature), 0), 0)
                       AS precision,
-                  round(coalesce(
+                  coalesce(
                       count(*) FILTER (WHERE s >= t.k / 100.0::DOUBLE AND mature AND churn = 1)::DOUBLE
-                      / nullif(count(*) FILTER (WHERE mature AND churn = 1), 0), 0), 6) AS recall
+                      / nullif(count(*) FILTER (WHERE mature AND churn = 1), 0), 0) AS recall
            FROM profile, med, range(10, 91) t(k) GROUP BY t.k ORDER BY t.k""",
     ),
     "live_metrics": _with(
         _TO_PROFILE,
         """SELECT coalesce(split, 'mature') AS split,
-                  round(coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
-                                 / nullif(count(*) FILTER (WHERE s >= 0.5), 0), 0), 6) AS precision,
-                  round(coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
-                                 / nullif(count(*) FILTER (WHERE churn = 1), 0), 0), 6) AS recall
+                  coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
+                           / nullif(count(*) FILTER (WHERE s >= 0.5), 0), 0) AS precision,
+                  coalesce(count(*) FILTER (WHERE s >= 0.5 AND churn = 1)::DOUBLE
+                           / nullif(count(*) FILTER (WHERE churn = 1), 0), 0) AS recall
            FROM profile WHERE mature GROUP BY ROLLUP (split)""",
     ),
     "ab_assign": _with(_TO_ARMS, "SELECT cust AS customer_unique_id, arm FROM arms"),

@@ -166,3 +166,17 @@ def test_views_answer_sql(spark, plan):
     assert (got.total, got.n) == (84.5, 6)
     assert spark.sql("SELECT max(gap) AS g FROM customer_purchase_gaps").first().g == 149
     assert spark.sql("SELECT count(*) AS n FROM rfm_table").first().n == 3
+
+
+def test_display_rounds_the_binary_value_to_even(spark):
+    from tidemark.functions import count_text, money_text, percent_text
+
+    values = [0.125, 2.675, 1234567.885, 0.0, 1.005, 99.995]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = frame.select(
+        money_text(F.col("x")), money_text(F.col("x"), grouped=False), percent_text(F.col("x") / 100)
+    ).collect()
+    assert [r[0] for r in got] == ["${:,.2f}".format(v) for v in values]
+    assert [r[1] for r in got] == ["${:.2f}".format(v) for v in values]
+    assert [r[2] for r in got] == ["{:.1%}".format(v / 100) for v in values]
+    assert spark.range(1).select(count_text(F.lit(1234567))).first()[0] == "1,234,567"

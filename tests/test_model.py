@@ -80,7 +80,7 @@ def test_separable_data_is_learned(spark, workspace):
         (F.when(n % 10 < 3, 5.0).otherwise(-5.0) + (n % 7) / 10).alias("frequency"),
         *[((n * k) % 13).cast("double").alias(c) for k, c in enumerate(model.MODEL_FEATURES[1:], 2)],
     )
-    models = model.fit_churn_models(frame, Params(), workspace)
+    models = model.churn_models(frame, Params(), workspace)
     assert models.train_size == 300
     for scores in (models.forest_scores(), models.logistic_scores()):
         totals = evaluation.score_totals(scores.filter("split = 'holdout'"), workspace)

@@ -14,6 +14,23 @@ from tidemark.sinks import write_csv, write_document, write_table
 from tidemark.sources import load_csv_folder, read_document, table_name
 from tidemark.workspace import Workspace, shared_root
 
+
+class Context:
+    """A session without spark.checkpoint.dir, on the given master."""
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+        self.sparkContext = self.conf = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
 FILES = {
     "shop_orders_dataset.csv": (
         '"order_id","customer_id","order_status","order_purchase_timestamp","order_approved_at"\n'
@@ -109,3 +126,11 @@ def test_workspace_lives_in_the_shared_folder(spark):
         assert staged.count() == 7
         assert os.path.isdir(workspace.path)
     assert not os.path.isdir(workspace.path)
+
+
+def test_shared_root_never_is_a_local_folder_on_a_cluster():
+    with pytest.raises(ValueError):
+        shared_root(Context("spark://host:7077"))
+    assert shared_root(Context("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
+    local = Context("local[2]")
+    assert os.path.isdir(shared_root(local)) and shared_root(local) == local.folder

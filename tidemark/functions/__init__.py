@@ -11,7 +11,7 @@ from tidemark.functions.columns import (
     smoothed_ratio,
     to_cents,
 )
-from tidemark.functions.display import count_text, money_text, percent_text
+from tidemark.functions.display import count_text, money_text, percent_text, percentage_text
 
 __all__ = [
     "at_least",
@@ -25,6 +25,7 @@ __all__ = [
     "month_of",
     "months_between_starts",
     "percent_text",
+    "percentage_text",
     "ratio_or",
     "smoothed_ratio",
     "to_cents",

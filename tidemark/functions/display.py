@@ -1,4 +1,8 @@
-"""Text forms for report tables; ties round to even, as the reports print them."""
+"""Text forms for report tables.
+
+format_number rounds the exact binary value half to even, as the reports do;
+format_string would round the shortest decimal form half up.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +11,19 @@ from pyspark.sql import functions as F
 
 
 def money_text(amount: Column, grouped: bool = True) -> Column:
-    pattern = "$%,.2f" if grouped else "$%.2f"
-    return F.format_string(pattern, F.bround(amount, 2))
+    digits = F.lit(2) if grouped else F.lit("0.00")
+    return F.concat(F.lit("$"), F.call_function("format_number", amount, digits))
 
 
 def percent_text(share: Column, digits: int = 1) -> Column:
     """A share in [0, 1] printed as a percentage."""
-    return F.format_string(f"%.{digits}f%%", F.bround(share * 100, digits))
+    return percentage_text(share * 100, digits)
+
+
+def percentage_text(percentage: Column, digits: int) -> Column:
+    pattern = F.lit("0." + "0" * digits)
+    return F.concat(F.call_function("format_number", percentage, pattern), F.lit("%"))
 
 
 def count_text(count: Column) -> Column:
-    return F.format_string("%,d", count.cast("bigint"))
+    return F.format_number(count, 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -71,27 +71,77 @@ def scaled_profile(split: DataFrame) -> DataFrame:
     return column_statistics(train, MODEL_FEATURES, F.stddev_pop)
 
 
-@dataclass(frozen=True)
 class ChurnModels:
-    logistic: LogisticRegressionModel
-    forest: RandomForestClassificationModel
-    scaled: DataFrame  # every customer, scaled features, staged
-    train_size: int
-
-    def _score(self, model, name: str) -> DataFrame:
-        scored = model.transform(_assembled(self.scaled))
-        return scored.select(
+    """Both models over one staged table of scaled features; each is fitted on first use.
+
+    MLlib keeps its own compact copy of the training rows during a fit, so the
+    table is not cached as well.
+    """
+
+    def __init__(self, scaled: DataFrame, params: Params):
+        self.scaled = scaled
+        self.params = params
+
+    @cached_property
+    def class_sizes(self) -> dict[int, tuple[int, float]]:
+        """Size and weight of each class: two rows."""
+        train = self.scaled.filter(F.col("split") == "train")
+        return {row.churn: (row.n_class, row.weight) for row in class_weights(train).collect()}
+
+    @property
+    def train_size(self) -> int:
+        return sum(size for size, _ in self.class_sizes.values())
+
+    @cached_property
+    def _training_rows(self) -> DataFrame:
+        weights = {label: weight for label, (_, weight) in self.class_sizes.items()}
+        balanced = F.when(F.col("churn") == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
+        train = _assembled(self.scaled.filter(F.col("split") == "train"))
+        return train.select(F.col("churn").cast("double").alias("label"), balanced.alias("weight"), _VECTOR)
+
+    @cached_property
+    def logistic(self) -> LogisticRegressionModel:
+        """The penalty 1/n reproduces an L2 weight of 1 against a sum of losses.
+
+        MLlib averages the losses over the weights, and balanced weights add up
+        to n.
+        """
+        return LogisticRegression(
+            featuresCol=_VECTOR,
+            labelCol="label",
+            weightCol="weight",
+            maxIter=self.params.max_iter,
+            regParam=1.0 / max(self.train_size, 1),
+            elasticNetParam=0.0,
+            standardization=False,
+        ).fit(self._training_rows)
+
+    @cached_property
+    def forest(self) -> RandomForestClassificationModel:
+        return RandomForestClassifier(
+            featuresCol=_VECTOR,
+            labelCol="label",
+            weightCol="weight",
+            numTrees=self.params.n_trees,
+            maxDepth=self.params.tree_depth,
+            maxBins=128,
+            featureSubsetStrategy="2",
+            seed=self.params.model_seed,
+        ).fit(self._training_rows)
+
+    def _score(self, model) -> DataFrame:
+        return model.transform(_assembled(self.scaled)).select(
             "customer_unique_id",
             "split",
             "churn",
-            vector_to_array("probability").getItem(1).alias(name),
+            vector_to_array("probability").getItem(1).alias("churn_probability"),
         )
 
     def forest_scores(self) -> DataFrame:
-        return self._score(self.forest, "churn_probability")
+        return self._score(self.forest)
 
     def logistic_scores(self) -> DataFrame:
-        return self._score(self.logistic, "churn_probability")
+        return self._score(self.logistic)
 
     def coefficients(self) -> DataFrame:
         values = [float(v) for v in self.logistic.coefficients]
@@ -116,45 +166,8 @@ def _assembled(frame: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=MODEL_FEATURES, outputCol=_VECTOR).transform(frame)
 
 
-def fit_churn_models(split: DataFrame, params: Params, workspace: Workspace) -> ChurnModels:
-    """Fit both models on the train split.
-
-    The scaled table is staged: every pass of the optimiser and of the tree
-    building reads it. The penalty 1/n reproduces an L2 weight of 1 against a sum
-    of losses, because MLlib averages the losses over the weights (which add up
-    to n when they are balanced).
-    """
-    scaled = workspace.stage(
-        scaled_by_train(split).select("customer_unique_id", "split", "churn", *MODEL_FEATURES),
-        "scaled-features",
-    )
-    train = scaled.filter(F.col("split") == "train")
-    weights = {row.churn: row.weight for row in class_weights(train).collect()}
-    n_train = train.count()
-    balanced = F.when(F.col("churn") == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
-    data = _assembled(train).select(
-        F.col("churn").cast("double").alias("label"), balanced.alias("weight"), _VECTOR
-    ).persist()
-    try:
-        logistic = LogisticRegression(
-            featuresCol=_VECTOR,
-            labelCol="label",
-            weightCol="weight",
-            maxIter=params.max_iter,
-            regParam=1.0 / max(n_train, 1),
-            elasticNetParam=0.0,
-            standardization=False,
-        ).fit(data)
-        forest = RandomForestClassifier(
-            featuresCol=_VECTOR,
-            labelCol="label",
-            weightCol="weight",
-            numTrees=params.n_trees,
-            maxDepth=params.tree_depth,
-            maxBins=128,
-            featureSubsetStrategy="2",
-            seed=params.model_seed,
-        ).fit(data)
-    finally:
-        data.unpersist()
-    return ChurnModels(logistic, forest, scaled, n_train)
+def churn_models(split: DataFrame, params: Params, workspace: Workspace) -> ChurnModels:
+    """Stage the scaled features of every customer: each pass of a fit reads them."""
+    columns = ["customer_unique_id", "split", "churn", *MODEL_FEATURES]
+    scaled = scaled_by_train(split).select(*columns)
+    return ChurnModels(workspace.stage(scaled, "scaled-features"), params)

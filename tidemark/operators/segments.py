@@ -13,6 +13,7 @@ from tidemark.functions import (
     days_between,
     money_text,
     percent_text,
+    percentage_text,
     ratio_or,
 )
 from tidemark.params import Params
@@ -111,7 +112,7 @@ def quadrant_display(summary: DataFrame) -> DataFrame:
         money_text(F.col("total_clv")).alias("total_clv"),
         money_text(F.col("avg_clv")).alias("avg_clv"),
         percent_text(F.col("avg_churn_probability")).alias("avg_churn_probability"),
-        F.format_string("%.2f%%", F.bround("share_pct", 2)).alias("share_pct"),
+        percentage_text(F.col("share_pct"), 2).alias("share_pct"),
     )
 
 

@@ -1,7 +1,8 @@
 """Every registered query: a name and a function (spark, folder) -> DataFrame.
 
 Each call builds its own plan over the whole tables of the folder. Dates leave
-as ISO text and ratios are rounded, so that two engines can be compared.
+as ISO text; floating sums and means, whose last digits depend on the order of
+addition, are rounded. Everything computed row by row leaves as it is.
 """
 
 from __future__ import annotations
@@ -94,15 +95,15 @@ def run_scalars(plan):
 
 
 def avg_gap(plan):
-    return _rounded(plan.avg_gap, 6, "avg_gap")
+    return plan.avg_gap
 
 
 def window_metrics(plan):
-    return _rounded(plan.window_metrics, 6, "aov_recent", "aov_prior")
+    return plan.window_metrics
 
 
 def voucher_dependency(plan):
-    return _rounded(plan.voucher_dependency, 6, "discount_dependency")
+    return plan.voucher_dependency
 
 
 def churn_label(plan):
@@ -110,15 +111,7 @@ def churn_label(plan):
 
 
 def customer_features(plan):
-    return _rounded(
-        plan.customer_features,
-        6,
-        "purchase_freq_trend",
-        "recency_ratio",
-        "discount_dependency",
-        "category_diversity_trend",
-        "aov_trend",
-    )
+    return plan.customer_features
 
 
 def feature_profile(plan):
@@ -135,23 +128,16 @@ def class_weights(plan):
 
 
 def scaled_profile(plan):
-    return _rounded(model.scaled_profile(plan.split), 6, "mean", "std", "min", "max").withColumn(
-        "mean", F.col("mean") + 0.0
-    )
+    profile = model.scaled_profile(plan.staged_profile)
+    return _rounded(profile, 6, "mean", "std", "min", "max").withColumn("mean", F.col("mean") + 0.0)
 
 
 def clv(plan):
-    valued = plan.profile.select("customer_unique_id", "aov", "tenure_days", "annual_frequency", "clv")
-    return _rounded(_rounded(valued, 6, "aov", "annual_frequency"), 4, "clv")
-
-
-def _segmented(frame: DataFrame, *columns: str) -> DataFrame:
-    return _rounded(_rounded(frame, 4, "clv"), 6, "churn_probability").select(*columns)
+    return plan.profile.select("customer_unique_id", "aov", "tenure_days", "annual_frequency", "clv")
 
 
 def quadrants(plan):
-    return _segmented(
-        plan.segments,
+    return plan.segments.select(
         "customer_unique_id",
         "churn_probability",
         "clv",
@@ -189,16 +175,14 @@ def risk_kpis(plan):
 
 
 def crm_export(plan):
-    exported = segments.crm_export(plan.segments, segments.WIN_BACK)
-    return _segmented(exported, "customer_unique_id", "clv", "churn_probability", "quadrant")
+    return segments.crm_export(plan.segments, segments.WIN_BACK)
 
 
 def segment_sample(plan):
     sample = segments.segment_sample(
         plan.segments, plan.params.sample_size, plan.params.sample_seed
     )
-    return _segmented(
-        sample,
+    return sample.select(
         "customer_unique_id",
         "churn_probability",
         "clv",
@@ -223,23 +207,20 @@ def roc_auc(plan):
 
 
 def pr_curve(plan):
-    return _rounded(evaluation.pr_curve(plan.score_totals), 6, "threshold", "precision", "recall")
+    return evaluation.pr_curve(plan.score_totals)
 
 
 def operating_threshold(plan):
     chosen = evaluation.operating_threshold(evaluation.pr_curve(plan.score_totals), plan.params)
-    return _rounded(chosen, 6, "raw_threshold", "threshold", "precision", "recall")
+    return chosen
 
 
 def threshold_sweep(plan):
-    return _rounded(
-        _rounded(plan.threshold_sweep, 2, "clv_at_risk"), 6, "precision", "recall"
-    )
+    return _rounded(plan.threshold_sweep, 2, "clv_at_risk")
 
 
 def live_metrics(plan):
-    metrics = evaluation.live_metrics(plan.profile, plan.params.risk_threshold)
-    return _rounded(metrics, 6, "precision", "recall")
+    return evaluation.live_metrics(plan.profile, plan.params.risk_threshold)
 
 
 def ab_assign(plan):

@@ -253,7 +253,7 @@ class RetentionPlan:
 
     @cached_property
     def models(self) -> model.ChurnModels:
-        return model.fit_churn_models(self.split, self.params, self.workspace)
+        return model.churn_models(self.staged_profile, self.params, self.workspace)
 
     def model_evaluation(self, scores: DataFrame) -> DataFrame:
         """Running totals of a model's scores on the holdout."""
