@@ -236,8 +236,12 @@ def live_metrics(scored: DataFrame, threshold: Column | float) -> DataFrame:
     """
     flagged = F.col("churn_probability") >= threshold
     churned = F.col("churn") == 1
-    measured = scored.filter("mature").rollup("split").agg(
-        ratio_or(F.count_if(flagged & churned), F.count_if(flagged)).alias("precision"),
-        ratio_or(F.count_if(flagged & churned), F.count_if(churned)).alias("recall"),
+    per_split = scored.filter("mature").groupBy("split").agg(
+        F.count_if(flagged & churned).alias("hits"),
+        F.count_if(flagged).alias("flagged"),
+        F.count_if(churned).alias("churned"),
     )
-    return measured.withColumn("split", F.coalesce("split", F.lit("mature")))
+    return per_split.rollup("split").agg(
+        ratio_or(F.sum("hits"), F.sum("flagged")).alias("precision"),
+        ratio_or(F.sum("hits"), F.sum("churned")).alias("recall"),
+    ).withColumn("split", F.coalesce("split", F.lit("mature")))

@@ -36,30 +36,23 @@ def purchase_gaps(days: DataFrame) -> DataFrame:
     """One row per repeat order: date, previous order's date, gap in days.
 
     The n orders of a day give one row to the previous day (if there is one) and
-    n - 1 rows of gap 0. Days with more orders than a chunk are expanded chunk by
-    chunk, each chunk a row of its own that the shuffle spreads over the tasks.
+    n - 1 rows of gap 0. The latter are expanded chunk by chunk: each chunk is a
+    row that the shuffle sends to some task, so a day with a third of all orders
+    is not expanded in one place.
     """
-    start = F.when(F.col("prev_order_date").isNull(), 1).otherwise(0)
-    numbered = (
+    between_days = (
         day_gaps(days)
-        .withColumn("first_k", start.cast("bigint"))
-        .withColumn("last_k", F.least(F.col("orders"), F.lit(_CHUNK)) - 1)
-        .filter(F.col("first_k") <= F.col("last_k"))
-        .withColumn("k", F.explode(F.sequence("first_k", "last_k")))
+        .filter(F.col("prev_order_date").isNotNull())
+        .select("customer_unique_id", "order_date", "prev_order_date", "gap")
     )
-    repeat = F.col("k") > 0
-    regular = numbered.select(
-        "customer_unique_id",
-        "order_date",
-        F.when(repeat, F.col("order_date")).otherwise(F.col("prev_order_date")).alias("prev_order_date"),
-        F.when(repeat, F.lit(0).cast("bigint")).otherwise(F.col("gap")).alias("gap"),
-    )
-    chunk_end = F.least(F.col("orders"), (F.col("chunk") + 1) * _CHUNK) - 1
-    crowded = (
-        days.filter(F.col("orders") > _CHUNK)
-        .withColumn("chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), F.floor((F.col("orders") - 1) / _CHUNK))))
+    repeats = F.col("orders") - 1
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((repeats - 1) / _CHUNK))
+    chunk_size = F.least(F.lit(_CHUNK).cast("bigint"), repeats - F.col("chunk") * _CHUNK)
+    same_day = (
+        days.filter(F.col("orders") > 1)
+        .withColumn("chunk", F.explode(chunks))
         .repartition("customer_unique_id", "order_date", "chunk")
-        .withColumn("k", F.explode(F.sequence(F.col("chunk") * _CHUNK, chunk_end)))
+        .withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), chunk_size)))
         .select(
             "customer_unique_id",
             "order_date",
@@ -67,7 +60,7 @@ def purchase_gaps(days: DataFrame) -> DataFrame:
             F.lit(0).cast("bigint").alias("gap"),
         )
     )
-    return regular.unionByName(crowded)
+    return between_days.unionByName(same_day)
 
 
 def gap_summary(days: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import finite_or_zero
@@ -35,9 +35,9 @@ _VECTOR = "model_features"
 def class_weights(train: DataFrame, label: str = "churn") -> DataFrame:
     """Balanced weights: n / (number of classes × class size)."""
     sizes = train.groupBy(label).agg(F.count("*").alias("n_class"))
-    total = sizes.agg(F.struct(F.sum("n_class").alias("n"), F.count("*").alias("k"))).scalar()
-    weight = F.col("total.n") / (F.col("total.k") * F.col("n_class"))
-    return sizes.withColumn("total", total).select(label, "n_class", weight.alias("weight"))
+    classes = Window.partitionBy()  # the two rows of sizes
+    weight = F.sum("n_class").over(classes) / (F.count("*").over(classes) * F.col("n_class"))
+    return sizes.withColumn("weight", weight)
 
 
 def scaler_statistics(train: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from tidemark.functions import (
     count_text,
     days_between,
     money_text,
+    month_of,
     percent_text,
     percentage_text,
     ratio_or,
@@ -131,6 +132,7 @@ def risk_kpis(segmented: DataFrame) -> DataFrame:
         F.count("*").alias("total_customers"),
         F.coalesce(F.sum(at_risk), F.lit(0.0)).alias("clv_at_risk"),
         F.avg("clv").alias("avg_clv"),
+        F.count_distinct(month_of(F.col("first_purchase_date"))).alias("cohort_months"),
     )
 
 

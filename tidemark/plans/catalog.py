@@ -167,10 +167,7 @@ def action_table(plan):
 
 
 def risk_kpis(plan):
-    months = plan.first_purchase.select("cohort_month").distinct().agg(F.count("*")).scalar()
-    kpis = segments.risk_kpis(plan.segments).select(
-        "*", plan.median_clv.alias("median_clv"), months.alias("cohort_months")
-    )
+    kpis = segments.risk_kpis(plan.segments).withColumn("median_clv", plan.median_clv)
     return _rounded(kpis, 2, "clv_at_risk", "avg_clv", "median_clv")
 
 
