@@ -325,6 +325,27 @@ ORACLES = {
                    {_iso('d')} AS order_date, CAST(amount AS DOUBLE) AS order_value, category
             FROM fact""",
     ),
+    "csv_reload": f"""
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+               strftime(o_orderdate, '{DAY} %H:%M:%S') AS order_purchase_timestamp
+        FROM orders WHERE o_orderstatus = 'F'""",
+    "metadata_reload": _with(
+        _TO_SCALARS,
+        f"""SELECT CAST(threshold AS BIGINT) AS churn_threshold, {_iso('snapshot')} AS snapshot_date
+            FROM scalars""",
+    ),
+    "sales_by_category": _with(
+        _FACT_CTES,
+        """SELECT category, count(*) AS orders,
+                  round(CAST(sum(amount) AS DOUBLE), 2) AS total_value FROM fact GROUP BY category""",
+    ),
+    "output_rows": _with(
+        [*_FACT_CTES, _FIRST, _RETENTION, _GAPS],
+        """SELECT 'cohort_retention' AS table_name, count(*) AS n_rows FROM retention
+           UNION ALL SELECT 'customer_order_fact', count(*) FROM fact
+           UNION ALL SELECT 'customer_purchase_gaps', count(*) FROM gaps
+           UNION ALL SELECT 'rfm_table', count(DISTINCT cust) FROM fact""",
+    ),
     "first_purchase": _with(
         [*_FACT_CTES, _FIRST],
         f"""SELECT cust AS customer_unique_id, {_iso('first_d')} AS first_purchase_date,

@@ -12,7 +12,7 @@ from conftest import MEDIUM
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Iterative fits: no SQL form.
-ROWS_ONLY = {"model_coefficients", "model_importances", "churn_scores", "model_quality"}
+ROWS_ONLY = {"model_coefficients", "model_importances", "churn_scores", "model_quality", "model_reports"}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 # Anchors of the test tables at this scale.

@@ -9,14 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import iso_date
 from tidemark.operators import evaluation, experiment, model, segments
 from tidemark.plans.retention import RetentionPlan
 from tidemark.session import tune
+from tidemark.sinks import write_csv, write_document
+from tidemark.sources.csv_folder import read_csv
+from tidemark.sources.documents import read_document
 from tidemark.sources.star import star_params, star_tables
 from tidemark.workspace import Workspace
 
@@ -54,6 +59,49 @@ def order_fact(plan):
     return _dated(fact, "order_date")
 
 
+def csv_reload(plan):
+    """The completed orders written as CSV and read back with declared types."""
+    path = f"{plan.workspace.path}/completed_orders.csv"
+    write_csv(plan.placed, path)
+    orders = read_csv(plan.workspace.spark, path, plan.placed.schema)
+    return orders.withColumn(
+        "order_purchase_timestamp", F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
+    )
+
+
+def metadata_reload(plan):
+    """The run metadata written as a JSON document and read back."""
+    path = f"{plan.workspace.path}/metadata.json"
+    write_document(_dated(plan.run_scalars.drop("median_gap"), "snapshot_date"), path)
+    return read_document(plan.workspace.spark, path, schemas.RUN_METADATA)
+
+
+def sales_by_category(plan):
+    """SQL over the registered fact view."""
+    plan.register_views()
+    totals = plan.workspace.spark.sql(
+        """SELECT category, count(*) AS orders, round(sum(order_value), 2) AS total_value
+           FROM customer_order_fact GROUP BY category"""
+    )
+    return totals
+
+
+def output_rows(plan):
+    """Row count of each output table of the relational step."""
+    staged = plan.on_staged_fact()
+    tables = {
+        "cohort_retention": staged.cohort_retention,
+        "customer_order_fact": staged.order_fact,
+        "customer_purchase_gaps": staged.purchase_gaps,
+        "rfm_table": staged.rfm,
+    }
+    counts = [
+        frame.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def first_purchase(plan):
     return _dated(plan.first_purchase, "first_purchase_date", "cohort_month")
 
@@ -246,6 +294,24 @@ def campaign_roi(plan):
     return _rounded(roi.select("cost_per_cust", *money), 4, *money)
 
 
+def model_reports(plan):
+    """Classification report of both models on the holdout, at their thresholds."""
+    models = plan.models
+    forest = models.forest_scores()
+    curve = evaluation.pr_curve(plan.model_evaluation(forest))
+    threshold = evaluation.operating_threshold(curve, plan.params).select("threshold").scalar()
+    scored = {
+        "logistic": evaluation.predict(models.logistic_scores(), plan.params.lr_threshold),
+        "forest": evaluation.predict(forest, threshold),
+    }
+    reports = []
+    for name, predicted in scored.items():
+        matrix = evaluation.confusion_matrix(predicted.filter(F.col("split") == "holdout"))
+        report = evaluation.classification_report(matrix)
+        reports.append(report.select(F.lit(name).alias("model"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def model_coefficients(plan):
     return plan.models.coefficients()
 
@@ -279,7 +345,8 @@ def model_quality(plan):
 
 
 PLAN_QUERIES = [
-    order_value, order_category, order_fact, first_purchase, cohort_activity, cohort_sizes,
+    order_value, order_category, order_fact, csv_reload, metadata_reload, sales_by_category,
+    output_rows, first_purchase, cohort_activity, cohort_sizes,
     cohort_retention, cohort_pivot, acquisition_by_month, rfm, purchase_gaps, gap_stats,
     run_scalars, avg_gap, window_metrics, voucher_dependency, churn_label, customer_features,
     feature_profile, maturity_split, class_weights, scaled_profile, clv, quadrants,
@@ -287,7 +354,7 @@ PLAN_QUERIES = [
     segment_sample, confusion_matrix, classification_report, roc_auc, pr_curve,
     operating_threshold, threshold_sweep, live_metrics, ab_assign, ab_outcome,
     experiment_readout, campaign_roi, model_coefficients, model_importances, churn_scores,
-    model_quality,
+    model_quality, model_reports,
 ]
 
 
