@@ -94,6 +94,13 @@ def test_pr_curve_and_threshold(scored, workspace):
     assert (none.threshold, none.precision, none.recall) == (2.0, 0.0, 0.0)
 
 
+def test_no_threshold_without_data(spark, workspace):
+    empty = spark.createDataFrame([], "churn_probability double, churn int")
+    curve = evaluation.pr_curve(evaluation.score_totals(empty, workspace))
+    chosen = evaluation.operating_threshold(curve, Params()).first()
+    assert chosen.raw_threshold is None and chosen.threshold is None
+
+
 def test_recall_is_one_without_positives(spark, workspace):
     none = spark.createDataFrame([(0.2, 0), (0.9, 0)], "churn_probability double, churn int")
     curve = evaluation.pr_curve(evaluation.score_totals(none, workspace))

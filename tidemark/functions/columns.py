@@ -42,7 +42,8 @@ def at_least(value: Column, floor) -> Column:
 
 
 def between_bounds(value: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(value, F.lit(high)), F.lit(low))
+    """Clamp; null stays null (greatest and least would skip it)."""
+    return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(high)), F.lit(low)))
 
 
 def ratio_or(numerator: Column, denominator: Column, default: float | None = 0.0) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import iso_date
 from tidemark.operators import evaluation, experiment, segments
+from tidemark.operators.customers import FEATURE_COLUMNS
 from tidemark.params import Params
 from tidemark.plans.retention import RetentionPlan
 from tidemark.session import tune
@@ -23,6 +24,9 @@ from tidemark.sinks import write_csv, write_document, write_table
 from tidemark.sources import ShopTables, load_csv_folder
 from tidemark.workspace import Workspace
 
+SCORE_COLUMNS = ["first_purchase_date", "churn_probability", "churn_prediction"]
+SEGMENT_COLUMNS = ["clv", "quadrant", "risk_tier", "value_tier"]
+
 
 def _model_metrics(plan: RetentionPlan, chosen: DataFrame, rf_totals: DataFrame) -> DataFrame:
     """One row in the shape of schemas.MODEL_METRICS."""
@@ -91,9 +95,8 @@ def run_batch(
             F.col("churn_threshold").cast("bigint"), iso_date(F.col("snapshot_date")).alias("snapshot_date")
         )
         write_document(metadata, f"{output}/metadata.json")
-        rows["customer_features"] = write_csv(
-            plan.customer_features, f"{output}/customer_features.csv"
-        )
+        features = plan.staged_profile.select("customer_unique_id", *FEATURE_COLUMNS, "churn")
+        rows["customer_features"] = write_csv(features, f"{output}/customer_features.csv")
 
         # Models and scores
         scores = workspace.stage(plan.models.forest_scores(), "forest-scores")
@@ -102,19 +105,16 @@ def run_batch(
         chosen = workspace.stage(evaluation.operating_threshold(curve, params), "operating-threshold")
         write_document(_model_metrics(plan, chosen, totals), f"{output}/model_metrics.json")
         threshold = chosen.select("threshold").scalar()
-        segmented = evaluation.predict(plan.segments_of(scores, threshold), threshold)
-        helpers = ("split", "mature", "aov", "tenure_days", "annual_frequency")
-        scored_columns = [c for c in segmented.columns if c not in helpers]
-        segment_columns = ("clv", "quadrant", "risk_tier", "value_tier")
+        predicted = evaluation.predict(plan.segments_of(scores, threshold), threshold)
+        segmented = workspace.stage(
+            predicted.select(*features.columns, *SCORE_COLUMNS, *SEGMENT_COLUMNS), "segments"
+        )
         rows["customer_features_with_predictions"] = write_csv(
-            segmented.select(*[c for c in scored_columns if c not in segment_columns]),
-            f"{output}/customer_features_with_predictions.csv",
+            segmented.drop(*SEGMENT_COLUMNS), f"{output}/customer_features_with_predictions.csv"
         )
 
         # Segments and experiment
-        rows["customer_segments"] = write_csv(
-            segmented.select(*scored_columns), f"{output}/customer_segments.csv"
-        )
+        rows["customer_segments"] = write_csv(segmented, f"{output}/customer_segments.csv")
         rows["crm_export"] = write_csv(
             segments.crm_export(segmented, segments.WIN_BACK), f"{output}/crm_export.csv"
         )
@@ -134,10 +134,18 @@ def main() -> None:
     parser.add_argument("--input", required=True, help="folder with the six CSV files")
     parser.add_argument("--output", required=True, help="folder all executors can write to")
     parser.add_argument("--prefix", default="", help="prefix of the CSV file names")
+    parser.add_argument(
+        "--split-date",
+        type=date.fromisoformat,
+        default=Params().split_date,
+        help="first purchases before this day train the models",
+    )
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tidemark-batch").getOrCreate()
     tables = load_csv_folder(spark, args.input, args.prefix)
-    for name, count in run_batch(spark, tables, args.output, Params()).items():
+    for name, count in run_batch(
+        spark, tables, args.output, Params(split_date=args.split_date)
+    ).items():
         print(f"{name}: {count} rows")
 
 

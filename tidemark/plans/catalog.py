@@ -44,22 +44,22 @@ def _dated(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: iso_date(F.col(c)) for c in columns})
 
 
-def order_value(plan):
+def order_value(plan: RetentionPlan) -> DataFrame:
     return plan.order_value
 
 
-def order_category(plan):
+def order_category(plan: RetentionPlan) -> DataFrame:
     return plan.order_category
 
 
-def order_fact(plan):
+def order_fact(plan: RetentionPlan) -> DataFrame:
     fact = plan.order_fact.withColumn(
         "order_purchase_timestamp", F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
     )
     return _dated(fact, "order_date")
 
 
-def csv_reload(plan):
+def csv_reload(plan: RetentionPlan) -> DataFrame:
     """The completed orders written as CSV and read back with declared types."""
     path = f"{plan.workspace.path}/completed_orders.csv"
     write_csv(plan.placed, path)
@@ -69,14 +69,14 @@ def csv_reload(plan):
     )
 
 
-def metadata_reload(plan):
+def metadata_reload(plan: RetentionPlan) -> DataFrame:
     """The run metadata written as a JSON document and read back."""
     path = f"{plan.workspace.path}/metadata.json"
     write_document(_dated(plan.run_scalars.drop("median_gap"), "snapshot_date"), path)
     return read_document(plan.workspace.spark, path, schemas.RUN_METADATA)
 
 
-def sales_by_category(plan):
+def sales_by_category(plan: RetentionPlan) -> DataFrame:
     """SQL over the registered fact view."""
     plan.register_views()
     totals = plan.workspace.spark.sql(
@@ -86,7 +86,7 @@ def sales_by_category(plan):
     return totals
 
 
-def output_rows(plan):
+def output_rows(plan: RetentionPlan) -> DataFrame:
     """Row count of each output table of the relational step."""
     staged = plan.on_staged_fact()
     tables = {
@@ -102,89 +102,89 @@ def output_rows(plan):
     return reduce(DataFrame.unionByName, counts)
 
 
-def first_purchase(plan):
+def first_purchase(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.first_purchase, "first_purchase_date", "cohort_month")
 
 
-def cohort_activity(plan):
+def cohort_activity(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.cohort_activity, "cohort_month", "activity_month")
 
 
-def cohort_sizes(plan):
+def cohort_sizes(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.cohort_sizes, "cohort_month")
 
 
-def cohort_retention(plan):
+def cohort_retention(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.cohort_retention, "cohort_month")
 
 
-def cohort_pivot(plan):
+def cohort_pivot(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.cohort_pivot(REPORT_FIRST_MONTH, REPORT_LAST_MONTH), "cohort_month")
 
 
-def acquisition_by_month(plan):
+def acquisition_by_month(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.acquisition_by_month(REPORT_FIRST_MONTH, REPORT_LAST_MONTH), "cohort_month")
 
 
-def rfm(plan):
+def rfm(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.rfm, "last_order_date")
 
 
-def purchase_gaps(plan):
+def purchase_gaps(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.purchase_gaps, "order_date", "prev_order_date")
 
 
-def gap_stats(plan):
+def gap_stats(plan: RetentionPlan) -> DataFrame:
     return _rounded(plan.gap_stats.drop("last_date"), 6, "mean_gap")
 
 
-def run_scalars(plan):
+def run_scalars(plan: RetentionPlan) -> DataFrame:
     return _dated(plan.run_scalars.drop("median_gap"), "snapshot_date")
 
 
-def avg_gap(plan):
+def avg_gap(plan: RetentionPlan) -> DataFrame:
     return plan.avg_gap
 
 
-def window_metrics(plan):
+def window_metrics(plan: RetentionPlan) -> DataFrame:
     return plan.window_metrics
 
 
-def voucher_dependency(plan):
+def voucher_dependency(plan: RetentionPlan) -> DataFrame:
     return plan.voucher_dependency
 
 
-def churn_label(plan):
+def churn_label(plan: RetentionPlan) -> DataFrame:
     return plan.churn_label
 
 
-def customer_features(plan):
+def customer_features(plan: RetentionPlan) -> DataFrame:
     return plan.customer_features
 
 
-def feature_profile(plan):
+def feature_profile(plan: RetentionPlan) -> DataFrame:
     return _rounded(plan.feature_profile, 4, "mean", "std", "min", "max")
 
 
-def maturity_split(plan):
+def maturity_split(plan: RetentionPlan) -> DataFrame:
     return _rounded(segments.split_summary(plan.split), 6, "churn_rate")
 
 
-def class_weights(plan):
+def class_weights(plan: RetentionPlan) -> DataFrame:
     weights = model.class_weights(plan.split.filter(F.col("split") == "train"))
     return _rounded(weights, 6, "weight")
 
 
-def scaled_profile(plan):
+def scaled_profile(plan: RetentionPlan) -> DataFrame:
     profile = model.scaled_profile(plan.staged_profile)
     return _rounded(profile, 6, "mean", "std", "min", "max").withColumn("mean", F.col("mean") + 0.0)
 
 
-def clv(plan):
+def clv(plan: RetentionPlan) -> DataFrame:
     return plan.profile.select("customer_unique_id", "aov", "tenure_days", "annual_frequency", "clv")
 
 
-def quadrants(plan):
+def quadrants(plan: RetentionPlan) -> DataFrame:
     return plan.segments.select(
         "customer_unique_id",
         "churn_probability",
@@ -195,35 +195,35 @@ def quadrants(plan):
     )
 
 
-def quadrant_summary(plan):
+def quadrant_summary(plan: RetentionPlan) -> DataFrame:
     summary = segments.quadrant_summary(plan.segments)
     return _rounded(
         _rounded(summary, 2, "total_clv", "avg_clv"), 4, "avg_churn_probability", "share_pct"
     )
 
 
-def quadrant_sizes(plan):
+def quadrant_sizes(plan: RetentionPlan) -> DataFrame:
     return _rounded(segments.quadrant_sizes(plan.segments), 2, "total_clv")
 
 
-def quadrant_display(plan):
+def quadrant_display(plan: RetentionPlan) -> DataFrame:
     return segments.quadrant_display(segments.quadrant_summary(plan.segments))
 
 
-def action_table(plan):
+def action_table(plan: RetentionPlan) -> DataFrame:
     return segments.action_table(plan.segments)
 
 
-def risk_kpis(plan):
+def risk_kpis(plan: RetentionPlan) -> DataFrame:
     kpis = segments.risk_kpis(plan.segments).withColumn("median_clv", plan.median_clv)
     return _rounded(kpis, 2, "clv_at_risk", "avg_clv", "median_clv")
 
 
-def crm_export(plan):
+def crm_export(plan: RetentionPlan) -> DataFrame:
     return segments.crm_export(plan.segments, segments.WIN_BACK)
 
 
-def segment_sample(plan):
+def segment_sample(plan: RetentionPlan) -> DataFrame:
     sample = segments.segment_sample(
         plan.segments, plan.params.sample_size, plan.params.sample_seed
     )
@@ -238,41 +238,41 @@ def segment_sample(plan):
     )
 
 
-def confusion_matrix(plan):
+def confusion_matrix(plan: RetentionPlan) -> DataFrame:
     return plan.confusion_matrix
 
 
-def classification_report(plan):
+def classification_report(plan: RetentionPlan) -> DataFrame:
     report = evaluation.classification_report(plan.confusion_matrix)
     return _rounded(report, 6, "precision", "recall", "f1")
 
 
-def roc_auc(plan):
+def roc_auc(plan: RetentionPlan) -> DataFrame:
     return _rounded(evaluation.roc_auc(plan.score_totals), 6, "auc")
 
 
-def pr_curve(plan):
+def pr_curve(plan: RetentionPlan) -> DataFrame:
     return evaluation.pr_curve(plan.score_totals)
 
 
-def operating_threshold(plan):
+def operating_threshold(plan: RetentionPlan) -> DataFrame:
     chosen = evaluation.operating_threshold(evaluation.pr_curve(plan.score_totals), plan.params)
     return chosen
 
 
-def threshold_sweep(plan):
+def threshold_sweep(plan: RetentionPlan) -> DataFrame:
     return _rounded(plan.threshold_sweep, 2, "clv_at_risk")
 
 
-def live_metrics(plan):
+def live_metrics(plan: RetentionPlan) -> DataFrame:
     return evaluation.live_metrics(plan.profile, plan.params.risk_threshold)
 
 
-def ab_assign(plan):
+def ab_assign(plan: RetentionPlan) -> DataFrame:
     return plan.assignment(plan.as_of_pool_date()).select("customer_unique_id", "arm")
 
 
-def ab_outcome(plan):
+def ab_outcome(plan: RetentionPlan) -> DataFrame:
     outcomes = plan.outcomes(plan.as_of_pool_date())
     return outcomes.select("customer_unique_id", "arm", "retained")
 
@@ -283,18 +283,18 @@ _READOUT_RATIOS = (
 )
 
 
-def experiment_readout(plan):
+def experiment_readout(plan: RetentionPlan) -> DataFrame:
     result = experiment.with_p_value(plan.readout(plan.as_of_pool_date()))
     return _rounded(result.drop("avg_clv"), 6, *_READOUT_RATIOS, "p_value")
 
 
-def campaign_roi(plan):
+def campaign_roi(plan: RetentionPlan) -> DataFrame:
     roi = experiment.campaign_roi(plan.readout(plan.as_of_pool_date()), plan.params)
     money = ("avg_clv", "total_cost", "incremental_saved", "clv_protected", "net_profit", "roi")
     return _rounded(roi.select("cost_per_cust", *money), 4, *money)
 
 
-def model_reports(plan):
+def model_reports(plan: RetentionPlan) -> DataFrame:
     """Classification report of both models on the holdout, at their thresholds."""
     models = plan.models
     forest = models.forest_scores()
@@ -312,15 +312,15 @@ def model_reports(plan):
     return reduce(DataFrame.unionByName, reports)
 
 
-def model_coefficients(plan):
+def model_coefficients(plan: RetentionPlan) -> DataFrame:
     return plan.models.coefficients()
 
 
-def model_importances(plan):
+def model_importances(plan: RetentionPlan) -> DataFrame:
     return plan.models.importances()
 
 
-def churn_scores(plan):
+def churn_scores(plan: RetentionPlan) -> DataFrame:
     models = plan.models
     forest = models.forest_scores()
     totals = plan.model_evaluation(forest)
@@ -328,7 +328,7 @@ def churn_scores(plan):
     return evaluation.predict(forest, chosen.select("threshold").scalar())
 
 
-def model_quality(plan):
+def model_quality(plan: RetentionPlan) -> DataFrame:
     """Holdout AUC of both models, and the forest's operating point."""
     models = plan.models
     logistic = evaluation.roc_auc(plan.model_evaluation(models.logistic_scores()))

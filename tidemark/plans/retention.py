@@ -57,7 +57,9 @@ class RetentionPlan:
     def on_staged_fact(self) -> "RetentionPlan":
         """The same plan over a fact written once: for runs that need many tables."""
         staged = self.workspace.stage(self.full_fact, "order-fact")
-        return RetentionPlan(self.tables, self.params, self.workspace, self.as_of, staged)
+        plan = RetentionPlan(self.tables, self.params, self.workspace, self.as_of, staged)
+        plan.run_scalars = self.workspace.stage(plan.run_scalars, "run-scalars")
+        return plan
 
     # Orders
 
