@@ -8,10 +8,11 @@ from datetime import date
 import pytest
 
 from conftest import SMALL
+from tidemark.operators import customers
 from tidemark.plans import catalog
 
 LAZY = [
-    "order_fact", "cohort_retention", "rfm", "purchase_gaps", "gap_stats", "run_scalars", "avg_gap",
+    "order_fact", "cohort_retention", "purchase_gaps", "churn_label", "gap_stats", "run_scalars", "avg_gap",
     "window_metrics", "voucher_dependency", "customer_features", "maturity_split", "clv",
     "confusion_matrix", "live_metrics",
 ]
@@ -48,7 +49,8 @@ def scan(plan: str, table: str) -> str:
 def test_status_filter_and_columns_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     try:
-        plan = executed(catalog.registered()["rfm"](spark, SMALL))
+        fact = catalog.plan_for(spark, SMALL).fact_with(value=True)
+        plan = executed(customers.rfm_totals(fact))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     orders = scan(plan, "orders")
@@ -98,3 +100,11 @@ def test_median_orders_only_the_middle_ranges(spark):
     assert "median(" not in text and "percentile(" not in text
     assert "SortMergeJoin" not in text
     plan.workspace.close()
+
+
+def test_scalars_share_the_join_exchanges(spark, big_tables):
+    """Main query and scalar subquery shuffle orders and customers only once."""
+    frame = catalog.registered()["churn_label"](spark, SMALL)
+    frame.collect()
+    final = executed(frame).split("Initial Plan")[0]
+    assert "ReusedExchange" in final

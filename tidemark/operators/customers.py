@@ -31,12 +31,16 @@ FEATURE_COLUMNS = [
 ]
 
 
-def rfm(fact: DataFrame, snapshot: Column) -> DataFrame:
-    totals = fact.groupBy("customer_unique_id").agg(
+def rfm_totals(fact: DataFrame) -> DataFrame:
+    """Last order, number of orders and value per customer: rfm before the snapshot."""
+    return fact.groupBy("customer_unique_id").agg(
         F.max("order_date").alias("last_order_date"),
         F.count("order_id").alias("frequency"),
         F.sum("order_cents").alias("cents"),
     )
+
+
+def rfm(totals: DataFrame, snapshot: Column) -> DataFrame:
     return totals.select(
         "customer_unique_id",
         days_between(F.col("last_order_date"), snapshot).alias("recency"),
@@ -127,11 +131,12 @@ def mean_gap(first: Column, last: Column, orders: Column, median_gap: Column) ->
     return at_least(F.coalesce(own, median_gap), 1.0)
 
 
-def avg_gap(orders: DataFrame, median_gap: Column) -> DataFrame:
-    span = orders.groupBy("customer_unique_id").agg(
+def avg_gap(days: DataFrame, median_gap: Column) -> DataFrame:
+    """Mean gap per customer from customer-days, which the median reads as well."""
+    span = days.groupBy("customer_unique_id").agg(
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
-        F.count("*").alias("orders"),
+        F.sum("orders").alias("orders"),
     )
     gap = mean_gap(F.col("first_date"), F.col("last_date"), F.col("orders"), median_gap)
     return span.select("customer_unique_id", gap.alias("avg_gap"))
@@ -141,9 +146,12 @@ def churn_flag(recency: Column, threshold: Column | int) -> Column:
     return (recency > threshold).cast("int")
 
 
-def churn_label(orders: DataFrame, scalars: Column) -> DataFrame:
-    """Recency and label per customer; exactly the threshold is not yet churn."""
-    last = orders.groupBy("customer_unique_id").agg(F.max("order_date").alias("last_date"))
+def churn_label(days: DataFrame, scalars: Column) -> DataFrame:
+    """Recency and label per customer; exactly the threshold is not yet churn.
+
+    Reading the same customer-days as the scalars lets Spark reuse their exchange.
+    """
+    last = days.groupBy("customer_unique_id").agg(F.max("order_date").alias("last_date"))
     recency = days_between(F.col("last_date"), F.col("run.snapshot_date"))
     return (
         last.withColumn("run", scalars)

@@ -128,9 +128,8 @@ class RetentionPlan:
         )
 
     def acquisition_by_month(self, first: date | None = None, last: date | None = None) -> DataFrame:
-        return cohorts.acquisition_by_month(
-            cohorts.cohort_range(self.cohort_retention, first, last)
-        )
+        """From the sizes alone: the same months as in the retention table."""
+        return cohorts.acquisition_by_month(cohorts.cohort_range(self.cohort_sizes, first, last))
 
     # Gaps and run scalars
 
@@ -165,7 +164,14 @@ class RetentionPlan:
 
     @property
     def rfm(self) -> DataFrame:
-        return customers.rfm(self.fact_with(value=True), self.snapshot)
+        """The customer totals are staged: the snapshot is their latest date, and a
+        second pass over them is far cheaper than one over the orders.
+        """
+        totals = customers.rfm_totals(self.fact_with(value=True))
+        if self.as_of is not None:
+            return customers.rfm(totals, self.snapshot)
+        totals = self.workspace.stage(totals, "customer-totals")
+        return customers.rfm(totals, totals.agg(F.date_add(F.max("last_order_date"), 1)).scalar())
 
     @property
     def window_metrics(self) -> DataFrame:
@@ -178,11 +184,11 @@ class RetentionPlan:
 
     @property
     def avg_gap(self) -> DataFrame:
-        return customers.avg_gap(self.orders, self.scalars.getField("median_gap"))
+        return customers.avg_gap(self.customer_days, self.scalars.getField("median_gap"))
 
     @property
     def churn_label(self) -> DataFrame:
-        return customers.churn_label(self.orders, self.scalars)
+        return customers.churn_label(self.customer_days, self.scalars)
 
     @cached_property
     def features(self) -> DataFrame:
