@@ -270,11 +270,15 @@ class RetentionPlan:
         )
 
     def register_views(self) -> None:
-        """The SQL names under which analysts know the tables of the first step."""
+        """The SQL names under which analysts know the tables of the first step.
+
+        All four stay lazy: a view costs nothing until a query reads it.
+        """
+        totals = customers.rfm_totals(self.fact_with(value=True))
         views = {
             "customer_order_fact": self.order_fact,
             "cohort_retention": self.cohort_retention,
-            "rfm_table": self.rfm,
+            "rfm_table": customers.rfm(totals, self.snapshot),
             "customer_purchase_gaps": self.purchase_gaps,
         }
         for name, frame in views.items():
