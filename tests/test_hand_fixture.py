@@ -180,3 +180,17 @@ def test_display_rounds_the_binary_value_to_even(spark):
     assert [r[1] for r in got] == ["${:.2f}".format(v) for v in values]
     assert [r[2] for r in got] == ["{:.1%}".format(v / 100) for v in values]
     assert spark.range(1).select(count_text(F.lit(1234567))).first()[0] == "1,234,567"
+
+
+def test_dates_do_not_pass_through_the_session_zone(spark):
+    """Midnight of 2018-11-04 does not exist in Sao Paulo; text must not move."""
+    from tidemark.functions import iso_date, iso_seconds
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        moment = F.lit("2018-11-04 00:10:00").cast("timestamp_ntz")
+        got = spark.range(1).select(iso_seconds(moment), iso_date(F.to_date(moment))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert tuple(got) == ("2018-11-04 00:10:00", "2018-11-04")

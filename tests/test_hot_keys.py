@@ -57,6 +57,17 @@ def test_crowded_days_expand_in_chunks(hot_orders, monkeypatch, chunk):
     assert sorted(got.gap) == sorted(expected.gap)
 
 
+def test_one_crowded_day_is_expanded_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(gaps, "_CHUNK", 50)
+    one_day = spark.range(10_000).select(
+        F.lit(1).alias("customer_unique_id"), F.lit(date(2020, 1, 1)).alias("order_date")
+    )
+    got = gaps.purchase_gaps(gaps.customer_days(one_day))
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 9_999
+    assert len(sizes) == 8 and max(sizes) < 3_000
+
+
 def test_hot_customer_is_reduced_before_the_window(hot_orders):
     days = gaps.customer_days(hot_orders)
     assert days.filter("customer_unique_id = 0").count() == 300

@@ -5,6 +5,7 @@ from tidemark.functions.columns import (
     finite_or_zero,
     from_cents,
     iso_date,
+    iso_seconds,
     month_of,
     months_between_starts,
     ratio_or,
@@ -21,6 +22,7 @@ __all__ = [
     "finite_or_zero",
     "from_cents",
     "iso_date",
+    "iso_seconds",
     "money_text",
     "month_of",
     "months_between_starts",

@@ -22,7 +22,13 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def iso_date(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """ISO text of a date; a cast, because date_format would pass through the session zone."""
+    return day.cast("string")
+
+
+def iso_seconds(moment: Column) -> Column:
+    """ISO text of a zone-free timestamp, to the second."""
+    return F.substring(moment.cast("string"), 1, 19)
 
 
 def to_cents(price: Column) -> Column:

@@ -38,8 +38,10 @@ def purchase_gaps(days: DataFrame) -> DataFrame:
     The n orders of a day give one row to the previous day (if there is one) and
     n - 1 rows of gap 0. The latter are expanded chunk by chunk: each chunk is a
     row that the shuffle sends to some task, so a day with a third of all orders
-    is not expanded in one place.
+    is not expanded in one place. The number of tasks is given, because adaptive
+    execution would merge them by the size of the rows before the expansion.
     """
+    tasks = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     between_days = (
         day_gaps(days)
         .filter(F.col("prev_order_date").isNotNull())
@@ -51,7 +53,7 @@ def purchase_gaps(days: DataFrame) -> DataFrame:
     same_day = (
         days.filter(F.col("orders") > 1)
         .withColumn("chunk", F.explode(chunks))
-        .repartition("customer_unique_id", "order_date", "chunk")
+        .repartition(tasks, "customer_unique_id", "order_date", "chunk")
         .withColumn("k", F.explode(F.sequence(F.lit(1).cast("bigint"), chunk_size)))
         .select(
             "customer_unique_id",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import iso_date
+from tidemark.functions import iso_date, iso_seconds
 from tidemark.operators import evaluation, experiment, model, segments
 from tidemark.plans.retention import RetentionPlan
 from tidemark.session import tune
@@ -44,6 +44,10 @@ def _dated(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: iso_date(F.col(c)) for c in columns})
 
 
+def _timed(frame: DataFrame, column: str) -> DataFrame:
+    return frame.withColumn(column, iso_seconds(F.col(column)))
+
+
 def order_value(plan: RetentionPlan) -> DataFrame:
     return plan.order_value
 
@@ -53,10 +57,7 @@ def order_category(plan: RetentionPlan) -> DataFrame:
 
 
 def order_fact(plan: RetentionPlan) -> DataFrame:
-    fact = plan.order_fact.withColumn(
-        "order_purchase_timestamp", F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
-    )
-    return _dated(fact, "order_date")
+    return _dated(_timed(plan.order_fact, "order_purchase_timestamp"), "order_date")
 
 
 def csv_reload(plan: RetentionPlan) -> DataFrame:
@@ -64,9 +65,7 @@ def csv_reload(plan: RetentionPlan) -> DataFrame:
     path = f"{plan.workspace.path}/completed_orders.csv"
     write_csv(plan.placed, path)
     orders = read_csv(plan.workspace.spark, path, plan.placed.schema)
-    return orders.withColumn(
-        "order_purchase_timestamp", F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
-    )
+    return _timed(orders, "order_purchase_timestamp")
 
 
 def metadata_reload(plan: RetentionPlan) -> DataFrame:
