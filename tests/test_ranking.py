@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluation, ranking
@@ -44,6 +45,20 @@ def test_running_totals_match_cumsum(spark, workspace):
     assert (got.total_w == got.w.sum()).all()
 
 
+def test_merged_ranges_stay_in_order(spark, workspace):
+    """Without a given number adaptive execution merges small ranges."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        keys = spark.range(200_000).select((F.xxhash64("id") / 7).alias("k"), F.lit(1).alias("w"))
+        got = ranking.running_totals(keys.groupBy("k").agg(F.sum("w").alias("w")), "k", ["w"], workspace)
+        late = got.withColumn("rank", F.row_number().over(Window.orderBy("k")) - 1)
+        assert late.filter("rank <> before_w").count() == 0
+        assert got.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture()
 def scored(spark):
     """A third of all rows share one score."""

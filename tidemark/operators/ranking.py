@@ -21,13 +21,12 @@ def _ranges(
 
     Keys are unique, so the ranges come out even whatever the data's skew was.
     The partition number is written with the rows, which makes it one fixed fact
-    for the rows and for the offsets. Offsets are one row per partition: the
-    window that adds them up and the broadcast are bounded by that number.
+    for the rows and for the offsets; adaptive execution may merge neighbouring
+    ranges before, but never reorders them. Offsets are one row per partition:
+    the window that adds them up and the broadcast are bounded by that number.
     """
-    spark = counts.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(partitions, key).withColumn("part", F.spark_partition_id())
-    table = workspace.stage(ranged, "ranges")
+    ranged = counts.repartitionByRange(*([partitions] if partitions else []), key)
+    table = workspace.stage(ranged.withColumn("part", F.spark_partition_id()), "ranges")
 
     per_part = table.groupBy("part").agg(*[F.sum(s).alias(f"part_{s}") for s in sums])
     in_order = Window.orderBy("part")
