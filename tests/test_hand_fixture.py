@@ -86,6 +86,27 @@ def test_gaps_and_scalars(plan):
     assert tuple(plan.run_scalars.first()) == (209, date(2018, 7, 1), 104.5)
 
 
+def test_snapshot_ignores_orders_of_unknown_customers(spark, workspace):
+    tables = shop(spark)
+    stray = spark.createDataFrame([("o9", "c99", "delivered", "2019-01-01 00:00:00")], "a string, b string, c string, d string")
+    orders = tables.orders.union(stray.withColumn("d", F.col("d").cast("timestamp_ntz")))
+    plan = RetentionPlan(type(tables)(**{**tables.__dict__, "orders": orders}), Params(), workspace)
+    assert plan.last_order_date() == date(2018, 6, 30)
+    assert plan.run_scalars.first().snapshot_date == date(2018, 7, 1)
+    assert plan.rfm.agg(F.min("recency")).first()[0] == 1
+    assert plan.on_staged_fact().last_order_date() == date(2018, 6, 30)
+
+
+def test_shop_without_completed_orders(spark, workspace):
+    tables = shop(spark)
+    none = tables.orders.filter("order_status = 'canceled'")
+    plan = RetentionPlan(type(tables)(**{**tables.__dict__, "orders": none}), Params(), workspace)
+    assert plan.last_order_date() is None
+    for frame in (plan.rfm, plan.cohort_retention, plan.purchase_gaps, plan.customer_features, plan.segments):
+        assert frame.count() == 0
+    assert tuple(plan.run_scalars.first()) == (90, None, 45.0)
+
+
 def test_no_repeat_purchase_uses_fallback_median(spark, workspace):
     tables = shop(spark)
     single = tables.orders.filter(F.col("order_id").isin("o1", "o3"))

@@ -155,23 +155,15 @@ class RetentionPlan:
 
     @cached_property
     def snapshot(self) -> Column:
-        """Snapshot date alone; needs no gaps, so it gets a cheaper subquery."""
-        if self.as_of is not None:
-            return F.lit(self.as_of + timedelta(days=1))
-        return self.orders.agg(F.date_add(F.max("order_date"), 1)).scalar()
+        """Snapshot date alone, for the tables that need no gaps."""
+        last = self.as_of or self.last_order_date()
+        return F.lit(last + timedelta(days=1) if last else None).cast("date")
 
     # Customers
 
     @property
     def rfm(self) -> DataFrame:
-        """The customer totals are staged: the snapshot is their latest date, and a
-        second pass over them is far cheaper than one over the orders.
-        """
-        totals = customers.rfm_totals(self.fact_with(value=True))
-        if self.as_of is not None:
-            return customers.rfm(totals, self.snapshot)
-        totals = self.workspace.stage(totals, "customer-totals")
-        return customers.rfm(totals, totals.agg(F.date_add(F.max("last_order_date"), 1)).scalar())
+        return customers.rfm(customers.rfm_totals(self.fact_with(value=True)), self.snapshot)
 
     @property
     def window_metrics(self) -> DataFrame:
@@ -270,15 +262,11 @@ class RetentionPlan:
         )
 
     def register_views(self) -> None:
-        """The SQL names under which analysts know the tables of the first step.
-
-        All four stay lazy: a view costs nothing until a query reads it.
-        """
-        totals = customers.rfm_totals(self.fact_with(value=True))
+        """The SQL names under which analysts know the tables of the first step."""
         views = {
             "customer_order_fact": self.order_fact,
             "cohort_retention": self.cohort_retention,
-            "rfm_table": customers.rfm(totals, self.snapshot),
+            "rfm_table": self.rfm,
             "customer_purchase_gaps": self.purchase_gaps,
         }
         for name, frame in views.items():
@@ -286,8 +274,22 @@ class RetentionPlan:
 
     # Experiment
 
-    def last_order_date(self) -> date:
-        """One value on the driver: later plans use it as a literal the scan can see."""
+    def last_order_date(self) -> date | None:
+        """One value on the driver: later plans use it as a literal the scan can see.
+
+        Joining all orders with the customers for a maximum would shuffle them
+        all. The newest order by the scan alone is an upper bound; it is the
+        answer if an order of that day has a known customer, and only otherwise
+        the whole join decides.
+        """
+        if self.built_fact is None:
+            newest = self.placed.agg(F.max("order_purchase_timestamp")).first()[0]
+            if newest is None:
+                return None
+            day = newest.date()
+            known = self.orders_between(day - timedelta(days=1), day).agg(F.max("order_date")).first()[0]
+            if known is not None:
+                return known
         return self.orders.agg(F.max("order_date")).first()[0]
 
     def as_of_pool_date(self) -> date:
