@@ -97,34 +97,77 @@ def test_hot_category_and_customer_rollup(spark, workspace):
     assert plan.purchase_gaps.count() == 5
 
 
-def test_hot_customer_join_is_split(spark):
-    """A customer with a third of the orders does not stay in one join task."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
+SPLIT_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture()
+def small_skew_limits(spark):
+    before = {key: spark.conf.get(key, None) for key in SPLIT_SETTINGS}
+    for key, value in SPLIT_SETTINGS.items():
         spark.conf.set(key, value)
-    try:
-        placed = spark.range(0, 300_000, 1, 8).select(
-            F.col("id").alias("order_id"),
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1).alias("customer_id"),
-            F.lit("2020-01-01 10:00:00").cast("timestamp_ntz").alias("order_purchase_timestamp"),
-        )
-        people = spark.range(0, 5001, 1, 4).select(
-            F.col("id").alias("customer_id"), F.col("id").alias("customer_unique_id")
-        )
-        days = gaps.customer_days(facts.with_customer(placed, people))
-        hot = days.orderBy(F.desc("orders")).first()
-        assert (hot.customer_unique_id, hot.orders) == (0, 100_000)
-        assert days.agg(F.sum("orders")).first()[0] == 300_000
-        days.collect()
-        assert "SortMergeJoin(skew=true)" in days._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def final_plan(frame) -> str:
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_placed(spark):
+    return spark.range(0, 300_000, 1, 8).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1).alias("customer_id"),
+        F.lit("2020-01-01 10:00:00").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+    )
+
+
+def hot_people(spark):
+    ids = spark.range(0, 5001, 1, 4)
+    return ids.select(F.col("id").alias("customer_id"), F.col("id").alias("customer_unique_id"))
+
+
+def test_hot_customer_join_is_split(spark, small_skew_limits):
+    """A customer with a third of the orders does not stay in one join task."""
+    days = gaps.customer_days(facts.with_customer(hot_placed(spark), hot_people(spark)))
+    hot = days.orderBy(F.desc("orders")).first()
+    assert (hot.customer_unique_id, hot.orders) == (0, 100_000)
+    assert days.agg(F.sum("orders")).first()[0] == 300_000
+    assert "SortMergeJoin(skew=true)" in final_plan(days)
+
+
+def test_hot_and_missing_products_are_split(spark, small_skew_limits):
+    """A third of the orders have one product, another third have no items at all."""
+    n = F.col("id")
+    tables = ShopTables(
+        orders=None,
+        customers=hot_people(spark),
+        items=spark.range(0, 300_000, 1, 8).filter(n % 3 != 1).select(
+            n.alias("order_id"),
+            F.lit(1).alias("order_item_id"),
+            F.when(n % 3 == 0, 7).otherwise(n % 4000).cast("bigint").alias("product_id"),
+            F.lit(2.0).alias("price"),
+        ),
+        products=spark.range(4000).select(
+            n.alias("product_id"), F.concat(F.lit("c"), n % 50).alias("product_category_name")
+        ),
+        translation=spark.range(0).select(
+            F.lit("").alias("product_category_name"), F.lit("").alias("product_category_name_english")
+        ),
+        payments=None,
+    )
+    fact = facts.customer_order_fact(hot_placed(spark), tables, Params())
+    totals = fact.groupBy("category").agg(F.count("*").alias("n"), F.sum("order_cents").alias("cents"))
+    got = {r.category: (r.n, r.cents) for r in totals.collect()}
+    assert got["unknown"] == (100_000, 0)
+    assert sum(n for n, _ in got.values()) == 300_000
+    assert sum(cents for _, cents in got.values()) == 200_000 * 200
+    assert "SortMergeJoin(skew=true) [product_id" in final_plan(fact.select("category", "order_cents"))
