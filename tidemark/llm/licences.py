@@ -20,7 +20,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import prepare
+from tidemark.llm.text import let, prepare
 
 LEAST_DICE = 0.8
 
@@ -86,10 +86,10 @@ def _template_rows(templates: dict[str, str], least: float) -> list[tuple]:
 
 def _grams(unit: Column) -> Column:
     """Distinct word bigrams of a normal unit."""
-    words = F.filter(F.split(unit, " "), lambda w: w != "")
-    pairs = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-                        lambda w, k: F.concat_ws(" ", w, F.get(words, k + 1)))
-    return F.array_distinct(pairs)
+    pairs = lambda words: F.zip_with(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)),
+        lambda a, b: F.concat_ws(" ", a, b))
+    return F.array_distinct(let(F.filter(F.split(unit, " "), lambda w: w != ""), pairs))
 
 
 def licences(spark: SparkSession, docs: DataFrame, templates: dict[str, str] = TEMPLATES,

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import prepare
+from tidemark.llm.text import let, prepare
 from tidemark.workspace import Workspace
 
 _PROBE = 1 << 62  # added to the id of a line that is not in the index of the bucket
@@ -45,10 +45,8 @@ def banded_distance(short: Column, long: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
-    a, b = F.split(short, ""), F.split(long, "")
-    rows = F.length(short)
-    equal = F.transform(b, lambda c, j: sum(
-        (F.when(F.get(a, j - edits + k) == c, 1 << k).otherwise(0) for k in range(width)), F.lit(0)).cast("long"))
+    equal = let(F.split(short, ""), lambda a: F.transform(F.split(long, ""), lambda c, j: sum(
+        (F.when(F.get(a, j - edits + k) == c, 1 << k).otherwise(0) for k in range(width)), F.lit(0)).cast("long")))
 
     def step(s: Column, x: Column) -> Column:
         d = ((((x.bitwiseAND(s.vp) + s.vp).bitwiseXOR(s.vp)).bitwiseOR(x).bitwiseOR(s.vn)).bitwiseAND(F.lit(full)))
@@ -57,20 +55,20 @@ def banded_distance(short: Column, long: Column, edits: int) -> Column:
         def rest(t: Column) -> Column:
             d, up = t.d, t.up
             down, moved = d.bitwiseAND(s.vp), F.shiftright(d, 1)
-            at = F.call_function("shiftleft", F.lit(1).cast("long"), (rows - s.j + edits).cast("int"))
+            at = F.call_function("shiftleft", F.lit(1).cast("long"), (s.rows - s.j + edits).cast("int"))
             bit = lambda v, m: (v.bitwiseAND(m) != 0).cast("int")
-            score = F.when(s.j + edits <= rows, s.score + 1 - bit(d, F.lit(top))).otherwise(
+            score = F.when(s.j + edits <= s.rows, s.score + 1 - bit(d, F.lit(top))).otherwise(
                 s.score + bit(up, at) - bit(down, at))
             return F.struct(
                 down.bitwiseOR(F.bitwise_not(moved.bitwiseOR(up))).bitwiseAND(F.lit(full)).alias("vp"),
-                moved.bitwiseAND(up).alias("vn"), score.alias("score"), (s.j + 1).alias("j"))
+                moved.bitwiseAND(up).alias("vn"), score.alias("score"), (s.j + 1).alias("j"), s.rows.alias("rows"))
 
         first = F.transform(F.array(d), lambda d: F.struct(d.alias("d"), more(d).alias("up")))
         return F.get(F.transform(first, rest), F.lit(0))
 
     start = F.struct(
         F.lit(((1 << (edits + 1)) - 1) << edits).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"),
-        F.lit(edits).alias("score"), F.lit(1).alias("j"))
+        F.lit(edits).alias("score"), F.lit(1).alias("j"), F.length(short).alias("rows"))
     return F.aggregate(equal, start, step, lambda s: s.score)
 
 
@@ -185,10 +183,10 @@ def _cleaned(spark: SparkSession, docs: DataFrame, p: LineParams) -> DataFrame:
     gone = job.workspace.stage(gone.withColumnRenamed("doc_id", "of").withColumnRenamed("doc", "hash"), "gone")
     rows = docs.select(F.struct("*").alias("row"), LineClasses.document(F.col("text")).alias("doc"))
     rows = rows.join(gone, (rows["doc"] == gone["hash"]) & rows["row.doc_id"].eqNullSafe(gone["of"]), "left")
-    lines = F.split("row.text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    stay = lambda lines: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda k: F.get(lines, k))
     clean = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(
-        F.array_join(F.transform(stay, lambda k: F.get(lines, k)), "\n"))
+        F.array_join(let(F.split("row.text", "\n"), stay), "\n"))
     return rows.select("row", clean.alias("clean"), "gone")
 
 

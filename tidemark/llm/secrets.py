@@ -139,10 +139,11 @@ def secrets(spark: SparkSession, docs: DataFrame, ledger: Ledger) -> DataFrame:
         F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["place"]), s["start"], s["stop"])), ","
     )
     base = F.filter("spans", lambda s: s["place"].isin(places))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["place"] == k)).cast("long").alias(f"n_{ledger.rules[k].name}")
-        for k in places
-    ]
+
+    def count(place: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["place"] == place)).cast("long")
+
+    counts = [count(k).alias(f"n_{ledger.rules[k].name}") for k in places]
     return ledger.report(versions).select(
         F.col("path").alias("doc_id"), *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),

@@ -105,5 +105,10 @@ def folder_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where a lambda of the body uses it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -1,6 +1,6 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A term is a word of letters in lower case, or its first four or five letters, so
+A term is a word of letters in lower case, or its first four to seven letters, so
 that inflected forms share evidence. The machine adds to the linear weights the
 products of factor vectors of the terms that occur together. Terms enter by
 presence; hashes have `hash_bits` bits.
@@ -30,14 +30,15 @@ from tidemark.llm.text import folder_remainder, prepare
 from tidemark.workspace import Workspace
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_PREFIXES = (4, 5, 6, 7)
 
 
 @dataclass(frozen=True)
 class FitParams:
     fit_rows: int = 16_000
     hash_bits: int = 18
-    least_rows: int = 4
-    least_z: float = 4.0
+    least_rows: int = 3
+    least_z: float = 3.5
     factors: int = 8
     epochs: int = 30
     batch: int = 128
@@ -49,7 +50,7 @@ class FitParams:
 
 def hashed_terms(text: str | None, bits: int) -> set[int]:
     words = set(_LETTERS.findall((text or "").lower()))
-    terms = words | {f"^{w[:4]}" for w in words} | {f"^{w[:5]}" for w in words}
+    terms = words | {f"^{w[:n]}" for w in words for n in _PREFIXES}
     shift = 32 - bits
     return {xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) >> shift for t in terms}
 
