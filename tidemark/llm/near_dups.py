@@ -6,11 +6,14 @@ from `bands_a * rows_a + bands_b * rows_b` minima, about the square root of what
 separate bands would take. Texts with equal shingle sets are one class from the
 start. Candidates are confirmed on full sets (64-bit shingle hashes).
 
-Within a bucket classes are first compared with one class, a star: with the
-smallest, then with the largest. Classes that are in one component after that
-need no further comparison. Only what is still in different components of a
-bucket is compared pair by pair, so no link between different texts is given up
-and a group of copies costs as many pairs as it has members.
+Within a bucket every class is compared with one only, its lead: the class that
+collides most. Let u have no link to its lead h. A class y of the same bucket that
+is similar to u then shares with u a shingle that h lacks, for otherwise u would
+share as much with h; the one exception is a y so much smaller than h that its size
+tells. So what is left are classes under the same lead, in different components,
+that share one of the first 20 % (and one) of their shingles that the lead lacks, in
+hash order - the usual prefix bound - or have such a size. They are confirmed too.
+No link is given up, and a group of copies costs about as many pairs as it has members.
 
 Empty and null texts and texts of spaces have no set and are linked with nothing.
 A text with fewer words than a shingle has one shingle. Rows that repeat an id
@@ -95,20 +98,20 @@ def _set_maker(p: TensorBands):
     return make
 
 
-def _linker(p: TensorBands):
-    @F.pandas_udf("boolean")
-    def linked(first: pd.Series, second: pd.Series) -> pd.Series:
+def _comparer(p: TensorBands):
+    """Shared shingles of two sets, and the prefix of the second's shingles that the first lacks."""
+
+    @F.pandas_udf("shared long, size_a long, size_b long, rest array<long>")
+    def compare(first: pd.Series, second: pd.Series) -> pd.DataFrame:
         out = []
         for x, y in zip(first, second):
             a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if p.similar_den * min(len(a), len(b)) < p.similar_num * max(len(a), len(b)):
-                out.append(False)
-                continue
-            shared = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(p.similar_den * shared >= p.similar_num * (len(a) + len(b) - shared))
-        return pd.Series(out, dtype=bool)
+            rest = np.setdiff1d(b, a, assume_unique=True)
+            least = -(-p.similar_num * len(b) // p.similar_den)
+            out.append((len(b) - len(rest), len(a), len(b), np.sort(rest)[: len(b) - least + 1].view(np.int64)))
+        return pd.DataFrame(out, columns=["shared", "size_a", "size_b", "rest"])
 
-    return linked
+    return compare
 
 
 class NearDuplicates:
@@ -128,60 +131,67 @@ class NearDuplicates:
         )
         self.classes = self.workspace.stage(found, "classes")
 
-    def _members(self) -> DataFrame:
-        """(key, uid, lead) of the buckets that hold more than one class."""
+    def _star(self) -> DataFrame:
+        """(a, b): the lead of each bucket of several classes with each other class of it."""
         pairs = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
         keyed = self.classes.select("uid", F.explode(pairs).alias("key"))
-        shared = keyed.groupBy("key").agg(F.min("uid").alias("lead"), F.max("uid").alias("last")).where("lead < last")
+        shared = keyed.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
         shared = self.workspace.stage(shared, "buckets")
-        return self.workspace.stage(keyed.join(shared, "key"), "members")
-
-    def _confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough."""
+        members = self.workspace.stage(keyed.join(shared, "key"), "members")
+        degree = self.workspace.stage(members.groupBy("uid").agg(F.sum("crowd").alias("degree")), "degree")
+        ranked = members.join(degree, "uid").groupBy("key").agg(F.max(F.struct("degree", "uid")).alias("top"))
+        leads = self.workspace.stage(ranked.select("key", F.col("top.uid").alias("a")), "leads")
+        star = members.join(leads, "key").where("uid != a").select("a", F.col("uid").alias("b")).distinct()
+        return self.workspace.stage(star, "star")
+
+    def _compared(self, pairs: DataFrame, columns: list[str]) -> DataFrame:
+        """Pairs (a, b) with what their full sets share, and whether that links them."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
         texts = self.rows.select("uid", F.col("row.text").alias("text"))
         sets = texts.join(ends, "uid").select("uid", _set_maker(self.params)("text").alias("grams"))
         sets = self.workspace.stage(sets, "sets")
         first = sets.select(F.col("uid").alias("a"), F.col("grams").alias("grams_a"))
         second = sets.select(F.col("uid").alias("b"), F.col("grams").alias("grams_b"))
-        both = pairs.join(first, "a").join(second, "b")
-        links = both.where(_linker(self.params)("grams_a", "grams_b")).select("a", "b")
-        return self.workspace.stage(links, "links")
-
-    def _labelled(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of buckets whose classes are in different components so far."""
-        named = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(
-            "key", "uid", "lead", "last", F.coalesce("label", "uid").alias("label")
-        )
-        named = self.workspace.stage(named, "labelled")
-        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        mixed = self.workspace.stage(mixed.select("key"), "mixed")
-        return self.workspace.stage(named.join(mixed, "key"), "open")
+        both = pairs.join(first, "a").join(second, "b").select(
+            "a", "b", _comparer(self.params)("grams_a", "grams_b").alias("c")).select("a", "b", "c.*")
+        p = self.params
+        linked = p.similar_den * F.col("shared") >= p.similar_num * (F.col("size_a") + F.col("size_b") - F.col("shared"))
+        return self.workspace.stage(both.withColumn("linked", linked).select(*columns), "compared")
+
+    def _left_over(self, star: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs under one lead that are in different components and may still be similar."""
+        p = self.params
+        under = star.join(labels.withColumnRenamed("node", "b"), "b", "left").withColumn("label", F.coalesce("label", "b"))
+        crowds = star.groupBy("a").agg(F.count("*").alias("n"), F.max((~F.col("linked")).cast("int")).alias("loose"))
+        crowds = self.workspace.stage(crowds.where("n > 1 and loose = 1").select("a"), "crowds")
+        under = self.workspace.stage(under.join(crowds, "a", "left_semi"), "under")
+
+        def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+            found = left.join(right, on).where("x != y and label_x != label_y")
+            return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+        def named(side: str, *more) -> DataFrame:
+            return under.select("a", F.col("b").alias(side), F.col("label").alias(f"label_{side}"), *more)
+
+        gram = F.explode("rest").alias("gram")
+        sharing = pairs(named("x", gram, "linked").where("not linked"), named("y", gram), ["a", "gram"])
+        low = F.ceil(F.col("size_b") * p.similar_num / p.similar_den)
+        high = F.floor(F.col("shared") * (p.similar_num + p.similar_den) / p.similar_num - F.col("size_b"))
+        small = under.where(~F.col("linked") & (low <= high)).select(
+            "a", F.col("b").alias("x"), F.col("label").alias("label_x"), F.explode(F.sequence(low, high)).alias("size_b"))
+        smaller = pairs(small, named("y", "size_b"), ["a", "size_b"])
+        return self.workspace.stage(sharing.union(smaller).distinct(), "left_over")
 
     def labels(self) -> DataFrame:
         """(node, label) of the classes that have a link."""
-        members = self._members()
-        star = members.where("uid > lead").select(F.col("lead").alias("a"), F.col("uid").alias("b")).distinct()
-        tested = self.workspace.stage(star, "tested")
-        links = self._confirm(tested)
+        star = self._compared(self._star(), ["a", "b", "shared", "size_b", "rest", "linked"])
+        links = star.where("linked").select("a", "b")
         labels = components(links, self.workspace)
-        still = self._labelled(members, labels)
-        star = still.join(labels.select(F.col("node").alias("last"), F.col("label").alias("top")), "last", "left").where(
-            "label != coalesce(top, last)"
-        ).select(F.col("uid").alias("a"), F.col("last").alias("b")).distinct()
-        second = self.workspace.stage(star.join(tested, ["a", "b"], "left_anti"), "tested")
-        if not second.isEmpty():
-            tested, links = tested.union(second), links.union(self._confirm(second))
-            labels = components(links, self.workspace)
-            still = self._labelled(still.select("key", "uid", "lead", "last"), labels)
-        left, right = (
-            still.select("key", F.col("uid").alias(x), F.col("label").alias(f"label_{x}")) for x in ("a", "b")
-        )
-        rest = left.join(right, "key").where("a < b and label_a != label_b").select("a", "b").distinct()
-        rest = self.workspace.stage(rest.join(tested, ["a", "b"], "left_anti"), "tested")
-        if not rest.isEmpty():
-            labels = components(links.union(self._confirm(rest)), self.workspace)
-        return labels
+        rest = self._left_over(star, labels)
+        if rest.isEmpty():
+            return labels
+        more = self._compared(rest, ["a", "b", "linked"]).where("linked").select("a", "b")
+        return components(links.union(more), self.workspace)
 
     def result(self) -> DataFrame:
         """Each row with uid, n_shingles, label and component_id (the component's smallest doc_id)."""
