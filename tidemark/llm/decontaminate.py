@@ -4,7 +4,9 @@ Texts and items are compared as lower-case words joined by single spaces. An ite
 of m characters may differ by k = floor(m * edits) characters. It is cut into
 k + 1 pieces, of which one must occur unchanged in any passage that close; an
 automaton finds all pieces of a block of items in one walk over a text, and
-Myers' bit-parallel distance verifies the window around each hit.
+Myers' bit-parallel distance verifies the window around each hit. It does so from
+the piece upwards: of two neighbouring runs of i and j pieces one must be within
+i - 1 or j - 1 edits, so a hit is given up at the first run around it that is not.
 
 The items are the stated query set: they are broadcast in blocks of about
 `block_chars` characters, each against all texts. Null or empty texts hit
@@ -41,42 +43,83 @@ def normal(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
-def pieces(item: str, budget: int) -> list[tuple[int, str]]:
-    """(offset, piece): budget + 1 pieces of nearly equal length."""
-    cuts = [len(item) * k // (budget + 1) for k in range(budget + 2)]
-    return [(low, item[low:high]) for low, high in zip(cuts, cuts[1:])]
-
-
-def best_end(pattern: str, text: str) -> tuple[int, int]:
-    """Least edit distance of the pattern to a substring of the text, and where the first such one ends."""
-    m = len(pattern)
-    full, top = (1 << m) - 1, 1 << (m - 1)
-    places: dict[str, int] = defaultdict(int)
-    for k, char in enumerate(pattern):
-        places[char] |= 1 << k
-    up, down, score, best, end = full, 0, m, m, 0
-    for j, char in enumerate(text, 1):
-        equal = places.get(char, 0)
-        across = (((equal & up) + up) ^ up) | equal
-        grow = (down | ~(across | up)) & full
-        shrink = up & across
-        score += bool(grow & top) - bool(shrink & top)
-        if score < best:
-            best, end = score, j
-        grow, shrink, still = (grow << 1) & full, (shrink << 1) & full, equal | down
-        up, down = (shrink | ~(still | grow)) & full, grow & still
-    return best, end
+class Pattern:
+    """A piece of text to be matched approximately, as the bits at which each character stands."""
+
+    def __init__(self, text: str):
+        self.size = len(text)
+        self.places: dict[str, int] = {}
+        for k, char in enumerate(text):
+            self.places[char] = self.places.get(char, 0) | 1 << k
+
+    def best_end(self, text: str) -> tuple[int, int]:
+        """Least edit distance to a substring of the text, and where the first such one ends."""
+        full, top, get = (1 << self.size) - 1, 1 << (self.size - 1), self.places.get
+        up, down, score, best, end = full, 0, self.size, self.size, 0
+        for j, char in enumerate(text, 1):
+            equal = get(char, 0)
+            across = (((equal & up) + up) ^ up) | equal
+            grow = (down | ~(across | up)) & full
+            shrink = up & across
+            if grow & top:
+                score += 1
+            elif shrink & top:
+                score -= 1
+                if score < best:
+                    best, end = score, j
+            grow, still = grow << 1, equal | down
+            up, down = ((shrink << 1) | ~(still | grow)) & full, grow & still & full
+        return best, end
+
+
+class Item:
+    """A normal text cut into budget + 1 pieces, and the runs of pieces around each of them up to the whole."""
+
+    def __init__(self, key: object, text: str, edits: float):
+        self.key, self.text, self.budget = key, text, int(len(text) * edits)
+        count = self.budget + 1
+        self.cuts = [len(text) * k // count for k in range(count + 1)]
+        self.runs: list[list[tuple[int, int]]] = [[] for _ in range(count)]
+        open_runs = [(0, count)]
+        while open_runs:
+            low, high = open_runs.pop()
+            if high - low > 1:
+                middle = (low + high) // 2
+                open_runs += [(low, middle), (middle, high)]
+                for k in range(low, high):
+                    self.runs[k].append((low, high))
+        for path in self.runs:
+            path.sort(key=lambda run: run[1] - run[0])
+        self.patterns: dict[tuple[int, int], Pattern] = {}
+
+    def pieces(self) -> list[str]:
+        return [self.text[low:high] for low, high in zip(self.cuts, self.cuts[1:])]
+
+    def match(self, text: str, piece: int, start: int) -> tuple[int, int] | None:
+        """(distance, end) if every run around a piece is near enough where the item would start at `start`."""
+        best = 0, start + len(self.text)
+        for run in self.runs[piece]:
+            low, high, budget = self.cuts[run[0]], self.cuts[run[1]], run[1] - run[0] - 1
+            pattern = self.patterns.get(run)
+            if pattern is None:
+                pattern = self.patterns[run] = Pattern(self.text[low:high])
+            left = max(0, start + low - budget)
+            distance, end = pattern.best_end(text[left : max(0, start + high + budget)])
+            if distance > budget:
+                return None
+            best = distance, left + end
+        return best
 
 
 class Matcher:
     """All items of one block as an automaton."""
 
     def __init__(self, items: Iterable[tuple[object, str | None]], edits: float):
-        self.items = [(key, norm, int(len(norm) * edits)) for key, text in items if (norm := normal(text or ""))]
+        self.items = [Item(key, norm, edits) for key, text in items if (norm := normal(text or ""))]
         uses: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, norm, budget) in enumerate(self.items):
-            for offset, piece in pieces(norm, budget):
-                uses[piece].append((k, offset))
+        for k, item in enumerate(self.items):
+            for place, piece in enumerate(item.pieces()):
+                uses[piece].append((k, place))
         self.uses = list(uses.items())
         self.automaton = ahocorasick.Automaton()
         for k, (piece, _) in enumerate(self.uses):
@@ -88,22 +131,24 @@ class Matcher:
         if not text or not self.items:
             return
         norm = normal(text)
-        starts: dict[int, set[int]] = defaultdict(set)
-        for end, k in self.automaton.iter(norm):
+        best: dict[int, tuple[int, int]] = {}
+        seen: set[tuple[int, int]] = set()
+        for last, k in self.automaton.iter(norm):
             piece, uses = self.uses[k]
-            for item, offset in uses:
-                starts[item].add(end + 1 - len(piece) - offset)
-        for item, found in sorted(starts.items()):
-            key, pattern, budget = self.items[item]
-            best = None
-            for low, high in _joined(sorted(found), budget):
-                left = max(0, low - budget)
-                distance, end = best_end(pattern, norm[left : high + len(pattern) + budget])
-                if distance <= budget and (best is None or distance < best[0]):
-                    best = (distance, left + end)
-            if best:
-                _, length = best_end(pattern[::-1], norm[max(0, best[1] - len(pattern) - budget) : best[1]][::-1])
-                yield key, budget, best[0], best[1] - length, best[1]
+            for number, place in uses:
+                item = self.items[number]
+                start = last + 1 - len(piece) - item.cuts[place]
+                if (number, start) in seen:
+                    continue
+                found = item.match(norm, place, start)
+                if found:
+                    seen.add((number, start))
+                    best[number] = min(best.get(number, found), found)
+        for number, (distance, end) in sorted(best.items()):
+            item = self.items[number]
+            left = max(0, end - len(item.text) - item.budget)
+            _, length = Pattern(item.text[::-1]).best_end(norm[left:end][::-1])
+            yield item.key, item.budget, distance, end - length, end
 
     def places(self, text: str, start: int, end: int) -> tuple[int, int]:
         """Code points of the text itself for a passage of the normal text."""
@@ -115,16 +160,6 @@ class Matcher:
         return words[bisect_right(origin, start) - 1][0], words[bisect_right(origin, max(start, end - 1)) - 1][1]
 
 
-def _joined(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
-    low = high = starts[0]
-    for start in starts[1:]:
-        if start - high > gap:
-            yield low, high
-            low = start
-        high = start
-    yield low, high
-
-
 def _blocks(benchmark: DataFrame, params: EditBudget) -> Iterator[list[tuple[object, str | None]]]:
     total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, ceil(total / params.block_chars))
