@@ -326,9 +326,16 @@ ORACLES = {
             FROM fact""",
     ),
     "csv_reload": f"""
-        SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
                strftime(o_orderdate, '{DAY} %H:%M:%S') AS order_purchase_timestamp
-        FROM orders WHERE o_orderstatus = 'F'""",
+        FROM orders""",
+    "csv_reload_rows": """
+        SELECT 'orders' AS role, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum FROM orders
+        UNION ALL SELECT 'customers', count(*), sum(c_custkey)::BIGINT FROM customer
+        UNION ALL SELECT 'items', count(*), sum(l_orderkey)::BIGINT FROM lineitem
+        UNION ALL SELECT 'products', count(*), sum(p_partkey)::BIGINT FROM part
+        UNION ALL SELECT 'translation', 4, 0
+        UNION ALL SELECT 'payments', count(*), sum(l_orderkey)::BIGINT FROM lineitem""",
     "metadata_reload": _with(
         _TO_SCALARS,
         f"""SELECT CAST(threshold AS BIGINT) AS churn_threshold, {_iso('snapshot')} AS snapshot_date

@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import MEDIUM
+from tidemark.plans.catalog import registered
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = dict(registered()), {k: v for k, v in contract.oracle_sql().items() if k in registered()}
 # Iterative fits: no SQL form.
 ROWS_ONLY = {"model_coefficients", "model_importances", "churn_scores", "model_quality", "model_reports"}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}

@@ -133,4 +133,4 @@ def test_shared_root_never_is_a_local_folder_on_a_cluster():
         shared_root(Context("spark://host:7077"))
     assert shared_root(Context("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
     local = Context("local[2]")
-    assert os.path.isdir(shared_root(local)) and shared_root(local) == local.folder
+    assert os.path.isdir(shared_root(local)) and shared_root(local) == shared_root(local) and local.folder is None

@@ -124,7 +124,7 @@ class ChurnModels:
             weightCol="weight",
             numTrees=self.params.n_trees,
             maxDepth=self.params.tree_depth,
-            maxBins=128,
+            maxBins=self.params.tree_bins,
             featureSubsetStrategy="2",
             seed=self.params.model_seed,
         ).fit(self._training_rows)

@@ -37,6 +37,7 @@ class Params:
     max_iter: int = 1000
     n_trees: int = 100
     tree_depth: int = 6
+    tree_bins: int = 128  # split candidates per feature; also sets how many rows place them
 
     # Choices the caller makes explicitly.
     category_pick: str = "lowest"  # or "equals_one"

@@ -19,9 +19,10 @@ from tidemark.functions import iso_date, iso_seconds
 from tidemark.operators import evaluation, experiment, model, segments
 from tidemark.plans.retention import RetentionPlan
 from tidemark.session import tune
-from tidemark.sinks import write_csv, write_document
-from tidemark.sources.csv_folder import read_csv
+from tidemark.sinks import write_document
+from tidemark.sources.csv_folder import ROLES, load_csv_folder
 from tidemark.sources.documents import read_document
+from tidemark.sources.shop import ShopTables
 from tidemark.sources.star import star_params, star_tables
 from tidemark.workspace import Workspace
 
@@ -60,12 +61,39 @@ def order_fact(plan: RetentionPlan) -> DataFrame:
     return _dated(_timed(plan.order_fact, "order_purchase_timestamp"), "order_date")
 
 
+def _reloaded(plan: RetentionPlan) -> ShopTables:
+    """All six tables written whole as CSV and loaded back as a folder."""
+    path = f"{plan.workspace.path}/csv"
+    files = {}
+    for role in ROLES:
+        files[role] = f"{role}.csv"
+        getattr(plan.tables, role).write.option("header", True).csv(f"{path}/{role}.csv")
+    return load_csv_folder(plan.workspace.spark, path, files=files)
+
+
 def csv_reload(plan: RetentionPlan) -> DataFrame:
-    """The completed orders written as CSV and read back with declared types."""
-    path = f"{plan.workspace.path}/completed_orders.csv"
-    write_csv(plan.placed, path)
-    orders = read_csv(plan.workspace.spark, path, plan.placed.schema)
-    return _timed(orders, "order_purchase_timestamp")
+    """Every order, whatever its status, after a round trip through CSV."""
+    orders = _reloaded(plan).orders
+    return _timed(
+        orders.withColumns({c: F.col(c).cast("bigint") for c in ("order_id", "customer_id")}),
+        "order_purchase_timestamp",
+    )
+
+
+def csv_reload_rows(plan: RetentionPlan) -> DataFrame:
+    """Rows of each of the six tables after the round trip, and a checksum of their keys."""
+    reloaded = _reloaded(plan)
+    keys = {
+        "orders": "order_id", "customers": "customer_id", "items": "order_id", "products": "product_id",
+        "translation": None, "payments": "order_id",
+    }
+    counts = [
+        getattr(reloaded, role).agg(
+            F.count("*").alias("n_rows"), (F.sum(F.col(key).cast("bigint")) if key else F.lit(0)).cast("bigint").alias("key_sum")
+        ).select(F.lit(role).alias("role"), "n_rows", "key_sum")
+        for role, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def metadata_reload(plan: RetentionPlan) -> DataFrame:
@@ -344,7 +372,7 @@ def model_quality(plan: RetentionPlan) -> DataFrame:
 
 
 PLAN_QUERIES = [
-    order_value, order_category, order_fact, csv_reload, metadata_reload, sales_by_category,
+    order_value, order_category, order_fact, csv_reload, csv_reload_rows, metadata_reload, sales_by_category,
     output_rows, first_purchase, cohort_activity, cohort_sizes,
     cohort_retention, cohort_pivot, acquisition_by_month, rfm, purchase_gaps, gap_stats,
     run_scalars, avg_gap, window_metrics, voucher_dependency, churn_label, customer_features,

@@ -224,9 +224,9 @@ class RetentionPlan:
         )
 
     def segments_of(self, scores: DataFrame, threshold: Column | float) -> DataFrame:
-        """Segments by supplied scores (customer_unique_id, churn_probability)."""
+        """Segments by supplied scores (customer_unique_id, churn_probability); without a score the risk is low."""
         scored = self.staged_profile.drop("churn_probability").join(
-            scores.select("customer_unique_id", "churn_probability"), "customer_unique_id"
+            scores.select("customer_unique_id", "churn_probability"), "customer_unique_id", "left"
         )
         return segments.resegment(scored, threshold, self.median_clv)
 

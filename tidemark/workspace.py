@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,12 @@ def shared_root(spark: SparkSession) -> str:
         return root
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir()
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 class Workspace:
@@ -33,7 +38,11 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = f"{shared_root(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+    @cached_property
+    def path(self) -> str:
+        """Resolved when first needed: what stages nothing needs no shared folder."""
+        return f"{shared_root(self.spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
     def stage(self, frame: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
@@ -42,6 +51,8 @@ class Workspace:
 
     def close(self) -> None:
         """Delete this run's staged tables; frames that read them end here."""
+        if "path" not in self.__dict__:
+            return
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         hadoop = self.spark._jsc.hadoopConfiguration()
