@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +29,25 @@ _CHUNK = 1 << 18
 _powers: list[np.ndarray] = []
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; Spark serves the driver's copy to executors."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as code:
+        for source in sorted(package.rglob("*.py")):
+            code.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
+    _ship(spark)
     tune(spark)
     for key, value in ARROW_SETTINGS.items():
         spark.conf.set(key, value)
