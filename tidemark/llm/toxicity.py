@@ -85,20 +85,17 @@ def fit(rows: list[list[int]], labels: np.ndarray, terms: list[int], p: FitParam
         order = random.permutation(len(rows))
         for start in range(0, len(order), p.batch):
             chosen = order[start : start + p.batch]
-            sizes = [len(places[k]) for k in chosen]
-            flat = np.concatenate([places[k] for k in chosen])
-            owner = np.repeat(np.arange(len(chosen)), sizes)
-            v = factors[flat]
-            summed = np.zeros((len(chosen), p.factors))
-            np.add.at(summed, owner, v)
-            squares = np.bincount(owner, (v * v).sum(axis=1), len(chosen))
-            margin = bias + np.bincount(owner, linear[flat], len(chosen)) + 0.5 * ((summed**2).sum(axis=1) - squares)
+            owner = np.repeat(np.arange(len(chosen)), [len(places[k]) for k in chosen])
+            touched, at = np.unique(np.concatenate([places[k] for k in chosen]), return_inverse=True)
+            present = np.zeros((len(chosen), len(touched)))  # only the batch's own terms have a column
+            present[owner, at] = 1
+            v = factors[touched]
+            summed = present @ v
+            margin = bias + present @ linear[touched] + 0.5 * (summed**2 - present @ v**2).sum(axis=1)
             error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[chosen]) / len(chosen)
-            touched, at = np.unique(flat, return_inverse=True)
-            push = np.bincount(at, error[owner], len(touched)) + p.penalty * linear[touched]
-            pull = np.zeros((len(touched), p.factors))
-            np.add.at(pull, at, error[owner, None] * (summed[owner] - v))
-            pull += p.penalty * factors[touched]
+            slope = present.T @ error
+            push = slope + p.penalty * linear[touched]
+            pull = present.T @ (error[:, None] * summed) - slope[:, None] * v + p.penalty * v
             seen_bias += error.sum() ** 2
             bias -= p.rate * error.sum() / np.sqrt(seen_bias)
             seen_linear[touched] += push**2
