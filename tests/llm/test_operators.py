@@ -306,6 +306,16 @@ def test_language_model_is_a_distribution(spark, docs, workspace):
     assert 0.9 < p.sum() < 1.1
 
 
+def test_language_model_counts_are_exact(spark):
+    """A word in 300 different contexts and again in 2,000 copies of one text counts every context once."""
+    texts = [f"a{k} b{k} c{k} often d{k} e{k}" for k in range(300)]
+    copies = ["one two three often four five"] * 2000
+    frame = spark.createDataFrame([("en", t) for t in texts + copies], "lang string, text string")
+    found = {r.key: r.n for r in perplexity._counted(frame, lambda lang, w: w.hashes).collect()}
+    key = lambda word: text_hashes(word).view("int64").tolist()[0]
+    assert found[key(b"often")] == 301 and found[key(b"two")] == 1 and found[key(b"a7")] == 1
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(3, "http://a/x y", "<p>é</p>"), (1, "http://b", "<p>é</p>"), (2, None, None), (5, "u", ""), (7, "v", "z" * 100_000),
              (None, "w", "<p>é</p>"), (8, "WARC/1.1\r\n", "WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")]
