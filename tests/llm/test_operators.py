@@ -316,6 +316,16 @@ def test_language_model_counts_are_exact(spark):
     assert found[key(b"often")] == 301 and found[key(b"two")] == 1 and found[key(b"a7")] == 1
 
 
+def test_small_language_keeps_its_words(spark, workspace):
+    """A language with far less than 1/4096 of the corpus has the words of its own texts as tokens."""
+    draw = random.Random(4)
+    texts = [("en", " ".join(f"w{draw.randrange(40)}" for _ in range(400))) for _ in range(120)] + [("xx", "a b c d e f g a")]
+    frame = spark.createDataFrame(texts, "lang string, text string")
+    model = perplexity.learn(spark, frame, perplexity.PerplexityParams(), workspace)
+    assert {k: len(v) for k, v in model.vocabulary.words.items()} == {"en": 40, "xx": 7}
+    assert len(model.tables["xx", "p3"].hashes) == 8
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(3, "http://a/x y", "<p>é</p>"), (1, "http://b", "<p>é</p>"), (2, None, None), (5, "u", ""), (7, "v", "z" * 100_000),
              (None, "w", "<p>é</p>"), (8, "WARC/1.1\r\n", "WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")]
