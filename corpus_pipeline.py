@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import without_contaminated
-from tidemark.llm.line_dedup import without_repeated_lines
+from tidemark.llm.line_dedup import LineParams, without_repeated_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dups import without_near_duplicates
 from tidemark.llm.toxicity import without_toxic
@@ -22,8 +22,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go from the texts; every document stays, an emptied one with an empty text."""
-    return without_repeated_lines(spark, docs)
+    """Repeated lines, short ones too, go from the texts; every document stays, an emptied one with an empty text."""
+    return without_repeated_lines(spark, docs, LineParams(short_copies=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

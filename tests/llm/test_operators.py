@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import (
     decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
 )
@@ -167,6 +168,14 @@ def test_line_dedup(spark, docs):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == expected
 
 
+def test_pipeline_removes_short_repeated_lines(spark):
+    notice, long = "All rights reserved.", "a line that is long enough to be compared with edits"
+    texts = [f"one\n{notice}\n\n{long}", f"two\n{notice}\n\n{long[:-1]}z", f"{notice}x\n \n{notice}\n \n", notice]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, "").collect()}
+    assert clean == {0: texts[0], 1: "two\n", 2: f"{notice}x\n \n \n", 3: ""}
+
+
 def test_mixing(spark, docs, empty):
     plan = mixing.mixing_plan(spark, docs).collect()
     assert Counter((r.doc_id, r.size) for r in plan) == Counter((r.doc_id, len(words(r.text))) for r in docs.collect())

@@ -1,6 +1,6 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-Lines of at least `least_chars` code points take part. Distinct lines are one
+Lines of at least `least_chars` code points take part with edits. Distinct lines are one
 class each. A line of length l is cut into edits + 1 segments of nearly equal
 length, of which one must occur unchanged in any line within `edits` edits, at a
 place that both ends of the line bound. So a line probes, for each length from its
@@ -14,7 +14,8 @@ Within a bucket of the index lines are first compared with one line, a star; onl
 lines then still in different classes are compared pair by pair, so groups of
 variants of one line do not make all pairs and no link is given up.
 
-Shorter lines are left alone. A null text has no lines and stays null. Rows that repeat id and
+Shorter lines are left alone or, with `short_copies`, take part as exact copies unless blank; then the
+length only decides whether a line may have edits. A null text has no lines and stays null. Rows that repeat id and
 text are one document and are treated alike.
 """
 
@@ -36,6 +37,7 @@ _PROBE = 1 << 62  # added to the id of a line that is not in the index of the bu
 class LineParams:
     edits: int = 2
     least_chars: int = 40
+    short_copies: bool = False
 
 
 def banded_distance(short: Column, long: Column, edits: int) -> Column:
@@ -106,7 +108,10 @@ class LineClasses:
         """Lines that take part: doc_id, doc (hash of the text), place, line."""
         lines = self.docs.select(
             "doc_id", self.document(F.col("text")).alias("doc"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-        return lines.where(F.length("line") >= self.params.least_chars)
+        return lines.where(self._long() | F.col("line").rlike(r"\S")) if self.params.short_copies else lines.where(self._long())
+
+    def _long(self) -> Column:
+        return F.length("line") >= self.params.least_chars
 
     def _confirm(self, pairs: DataFrame) -> DataFrame:
         first = self.lines.select(F.col("uid").alias("a"), F.col("line").alias("line_a"))
@@ -122,7 +127,7 @@ class LineClasses:
 
     def labels(self) -> DataFrame:
         """(node, label) of the distinct lines that have a link."""
-        keyed = self.lines.select("uid", F.explode(_keys(F.col("line"), self.params.edits)).alias("k"))
+        keyed = self.lines.where(self._long()).select("uid", F.explode(_keys(F.col("line"), self.params.edits)).alias("k"))
         keyed = keyed.select("k.key", (F.col("uid") + F.when(F.col("k.probe"), _PROBE).otherwise(0)).alias("member"))
         buckets = keyed.groupBy("key").agg(F.min("member").alias("lead"), F.count("*").alias("n"))
         buckets = self.workspace.stage(buckets.where((F.col("lead") < _PROBE) & (F.col("n") > 1)), "buckets")
