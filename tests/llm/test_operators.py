@@ -373,6 +373,26 @@ def test_salvage(packed, spark, tmp_path):
     assert sum(r.problem is None for r in rows) == 3 and sum(r.problem is not None for r in rows) >= 3
 
 
+@pytest.mark.parametrize("damage", ["cut", "flipped"])
+def test_salvage_within_a_member(damage):
+    """One member holds all records: those before the fault are kept, the rest is a gap, and the next member is read."""
+    draw = random.Random(2)
+    whole = gzip.compress(b"".join(record(k, draw.randbytes(500)) for k in range(40)))
+    if damage == "cut":
+        data = whole[: len(whole) // 2]
+    else:
+        data = bytearray(whole)
+        data[len(whole) // 2 : len(whole) // 2 + 400] = b"\xff" * 400
+        data = bytes(data) + gzip.compress(record(99))
+    found = list(warc.salvage(data))
+    kept = [f[0]["warc-record-id"] for _, _, f in found if not isinstance(f, str)]
+    numbers = [int(k.split(":")[-1][:-1]) for k in kept]
+    assert numbers[:18] == list(range(18)) and (damage == "cut" or numbers[-1] == 99)
+    gaps = [(at, size) for at, size, f in found if isinstance(f, str)]
+    assert len(gaps) == 1 and 0 < gaps[0][0] and gaps[0][0] + gaps[0][1] == (
+        len(data) if damage == "cut" else len(whole))
+
+
 def test_language(spark, docs, empty):
     rows = []
     for k in range(90):

@@ -154,8 +154,42 @@ def _plain(data: bytes) -> Iterator[tuple[int, int, object]]:
         yield gap, at, problem
 
 
+def _before_fault(data: bytes, at: int) -> tuple[bytes, list[tuple[int, int]], bool]:
+    """What a damaged member yields before its fault, (bytes out, bytes in) on the way, and whether it is only cut off."""
+    inflate, parts, marks, out = zlib.decompressobj(31), [], [], 0
+    step, cut = max(1, (len(data) - at) >> 16), True
+    while at < len(data) and not inflate.eof:
+        before = inflate.copy()
+        try:
+            part = inflate.decompress(data[at : at + step])
+        except zlib.error:
+            if step == 1:
+                cut = False
+                break
+            inflate, step = before, 1
+            continue
+        at, out = at + step, out + len(part)
+        parts.append(part)
+        marks.append((out, min(at, len(data))))
+    return b"".join(parts), marks, cut
+
+
+def _rescued(data: bytes, at: int) -> tuple[list, int]:
+    """Records of a damaged member that end before its fault, and where what yielded them ends.
+
+    The one at which the yield ends goes with the fault. If the member is not only cut off, its bytes
+    may be wrong from anywhere, so records count only with a block digest.
+    """
+    text, marks, cut = _before_fault(data, at)
+    found = [(end, r) for _, end, r in _plain(text) if isinstance(r, tuple) and end < len(text) and (
+        cut or r[0].get("warc-block-digest", "").lower().startswith("sha1:"))]
+    if not found:
+        return [], at
+    return [r for _, r in found], next(read for out, read in marks if out >= found[-1][0])
+
+
 def _members(data: bytes) -> Iterator[tuple[int, int, object]]:
-    """As _plain, with the offsets of gzip members."""
+    """As _plain, with the offsets of gzip members; a damaged member yields its records before the fault."""
     at, gap, problem = 0, None, ""
     while at < len(data):
         inflate = zlib.decompressobj(31)
@@ -168,9 +202,16 @@ def _members(data: bytes) -> Iterator[tuple[int, int, object]]:
             if not any(isinstance(r, tuple) for _, _, r in inside):
                 raise zlib.error("no valid record in member")
         except zlib.error as error:
+            rescued, read = _rescued(data, at) if data.startswith(_MEMBER, at) else ([], at)
+            if rescued:
+                if gap is not None:
+                    yield gap, at, problem
+                for record in rescued:
+                    yield at, read, record
+                gap = None
             if gap is None:
-                gap, problem = at, str(error)
-            following = data.find(_MEMBER, at + 1)
+                gap, problem = read, str(error)
+            following = data.find(_MEMBER, max(at + 1, read))
             at = len(data) if following < 0 else following
             continue
         if gap is not None:
