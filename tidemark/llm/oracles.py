@@ -140,6 +140,57 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 
+_COPIES = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept,
+       text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_SEARCH = f"""
+WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // total AS m FROM n, a),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM tf, a GROUP BY term, docs),
+q AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+_PIECES = rf"regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')"
+_PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY lang, size, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+k AS (SELECT lang, phrase, size, a, w, unnest(range(1, size)) AS k FROM c),
+cut AS (SELECT k.lang, k.phrase, k.size, k.a, k.k, x.f AS l, y.f AS r,
+        ((2000000::HUGEINT * k.a) // (x.f + y.f))::BIGINT AS score
+        FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ')
+        JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cut),
+inside AS (SELECT DISTINCT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS phrase, c.a
+           FROM (SELECT lang, w, a, size, s, unnest(range(1, size - s + 2)) AS i
+                 FROM c, (SELECT unnest([2, 3]) AS s) WHERE s < size) c),
+longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase),
+alive AS (SELECT b.* FROM b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase
+          WHERE place = 1 AND (o.most IS NULL OR 100 * o.most < 80 * b.a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alive)
+SELECT r.lang, rank, phrase, a, l, r.r, n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": _WARC,
     "op2_near_duplicates": _NEAR,
@@ -147,4 +198,7 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": _LINES,
     "op6_mixing": _MIXING,
     "op8_secrets": _SECRETS,
+    "op11_exact_dedup": _COPIES,
+    "op12_ranked_search": _SEARCH,
+    "op13_phrases": _PHRASES,
 }

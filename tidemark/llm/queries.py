@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
+    decontaminate, exact_dedup, language, licences, line_dedup, mixing, near_dups, perplexity, phrases, ranked_search,
+    secrets, toxicity, warc,
 )
 from tidemark.workspace import Workspace
 
@@ -57,10 +58,22 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(spark, _read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_copies(spark, _read(spark, folder, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(spark, _read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(spark, _read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc, op2_near_duplicates, op3_licences, op4_line_dedup, op5_perplexity, op6_mixing,
-        op7_decontamination, op8_secrets, op9_language, op10_toxicity,
+        op7_decontamination, op8_secrets, op9_language, op10_toxicity, op11_exact_dedup, op12_ranked_search, op13_phrases,
     )
 }
