@@ -626,3 +626,39 @@ ORACLES = {
            FROM (SELECT *, nt * 5.0::DOUBLE AS cost, xt - nt * rc AS saved FROM readout)""",
     ),
 }
+
+
+# Supplied scores: -1 stands for a customer without one.
+_SUPPLIED = _PROFILE.replace(
+    "recency_ratio / (1.0::DOUBLE + recency_ratio) AS s",
+    "CASE WHEN cust % 10 <> 0 THEN ((cust * 7919) % 1000) / 1000.0::DOUBLE ELSE -1.0 END AS s",
+)
+
+
+def _on_supplied(name: str) -> str:
+    return ORACLES[name].replace(_PROFILE, _SUPPLIED)
+
+
+def _zeros(measures: list[str]) -> str:
+    listed = ", ".join(f"'{m}'" for m in measures)
+    return f"SELECT unnest([{listed}]) AS measure, 0.0::DOUBLE AS difference"
+
+
+_IMPORTANCES = [f"importance of {c}" for c in _MODEL_FEATURES]
+
+ORACLES |= {
+    "supplied_sweep": _on_supplied("threshold_sweep"),
+    "supplied_live_metrics": _on_supplied("live_metrics"),
+    "supplied_ab_assign": _on_supplied("ab_assign"),
+    "scored_customers": _with(
+        _TO_FEATURES,
+        "SELECT split, count(*) AS customers, 1 AS in_range FROM split GROUP BY split",
+    ),
+    "logistic_optimality": _with(
+        _TO_FEATURES,
+        f"""SELECT unnest([{", ".join(f"'{c}'" for c in _MODEL_FEATURES)}, 'intercept']) AS term,
+                   (SELECT count(*) FROM split WHERE split = 'train') AS n, 0.0::DOUBLE AS gradient, 1 AS by_size""",
+    ),
+    "forest_recount": _zeros([*_IMPORTANCES, "leaf share", "node weight", "rows of a root"]),
+    "score_recount": _zeros([*_IMPORTANCES, "score"]),
+}

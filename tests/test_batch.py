@@ -90,3 +90,32 @@ def test_csv_columns(spark, outputs):
     assert {r.quadrant for r in segmented.select("quadrant").distinct().collect()} <= set(segments.QUADRANTS)
     export = spark.read.option("header", True).csv(f"{folder}/crm_export.csv")
     assert export.columns == ["customer_unique_id", "clv", "churn_probability", "quadrant"]
+
+
+def test_pool_is_the_models_win_back_segment_of_that_day(spark, outputs):
+    """Segments of the pool date, arms and readout describe the same customers."""
+    folder, rows = outputs
+    read = lambda name: spark.read.option("header", True).csv(f"{folder}/{name}.csv").collect()
+    of_day, pool = read("pool_segments"), read("experiment_pool")
+    win_back = {r.customer_unique_id for r in of_day if r.quadrant == segments.WIN_BACK}
+    assert win_back and {r.customer_unique_id for r in pool} == win_back
+    assert len(of_day) == rows["pool_segments"] and rows["experiment_pool"] == len(pool)
+    results = document(folder, "ab_test_results.json")
+    for arm in ("treatment", "control"):
+        mine = [r for r in pool if r.arm == arm]
+        assert results[f"n_{arm}"] == len(mine)
+        assert results[f"retained_{arm}"] == sum(r.retained == "1" for r in mine)
+
+
+def test_sweep_and_live_metrics_are_on_the_models_score(spark, outputs):
+    folder, _ = outputs
+    typed = spark.read.option("header", True).option("inferSchema", True)
+    segmented = typed.csv(f"{folder}/customer_segments.csv").toPandas()
+    sweep = {r.threshold: r for r in typed.csv(f"{folder}/threshold_sweep.csv").collect()}
+    assert len(sweep) == 81
+    high = segmented.clv >= segmented.clv.median()
+    for t in (0.1, 0.42, 0.9):
+        assert sweep[t].win_back == (high & (segmented.churn_probability >= t)).sum()
+    live = {r.split: r for r in typed.csv(f"{folder}/live_metrics.csv").collect()}
+    assert {"mature", "train", "holdout"} <= set(live)
+    assert all(0 <= r.precision <= 1 and 0 <= r.recall <= 1 for r in live.values())

@@ -12,9 +12,9 @@ from tidemark.operators import evaluation, ranking
 from tidemark.params import Params
 
 
-def median_of(spark, workspace, values, partitions=4):
+def median_of(spark, workspace, values, accuracy=10_000):
     frame = spark.createDataFrame([(float(v),) if v is not None else (None,) for v in values], "x double")
-    return ranking.exact_median(frame, "x", workspace, partitions).first().median
+    return ranking.exact_median(frame, "x", accuracy).first().median
 
 
 @pytest.mark.parametrize(
@@ -31,9 +31,9 @@ def test_median_of_nothing(spark, workspace):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(min_value=-1e9, max_value=1e9), min_size=1, max_size=60), st.integers(1, 7))
-def test_median_property(spark, workspace, values, partitions):
-    assert median_of(spark, workspace, values, partitions) == pytest.approx(np.median(values), rel=1e-15)
+@given(st.lists(st.floats(min_value=-1e9, max_value=1e9), min_size=1, max_size=60), st.integers(3, 40))
+def test_median_property(spark, workspace, values, accuracy):
+    assert median_of(spark, workspace, values, accuracy) == pytest.approx(np.median(values), rel=1e-15)
 
 
 def test_running_totals_match_cumsum(spark, workspace):
@@ -175,3 +175,38 @@ def test_sweep_boundaries_are_exact(spark):
     )
     sweep = evaluation.threshold_sweep(scores, F.lit(0.0), Params()).collect()
     assert [r.win_back for r in sweep] == list(range(81, 0, -1))
+
+
+def executed(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_median_moves_only_the_bracket(spark):
+    """Of 100,000 values only those between the sketch's two marks are counted and shuffled; nothing is staged."""
+    frame = spark.range(100_000).select((F.xxhash64("id") / 3.0).alias("x"))
+    median = ranking.exact_median(frame, "x", 1000)
+    assert "rangepartitioning" not in executed(median)
+    assert median.first().median == np.median(frame.toPandas().x)
+    low, high = [frame.toPandas().x.quantile(q) for q in (0.5 - 0.004, 0.5 + 0.004)]
+    assert frame.filter(F.col("x").between(low, high)).count() < 1000
+
+
+@pytest.mark.parametrize("heavy", [0.0, 7.5, 1e9])
+def test_median_with_a_crowded_value(spark, heavy):
+    values = [heavy] * 700 + [float(v) for v in range(1301)]
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    assert ranking.exact_median(frame, "x", 50).first().median == np.median(values)
+
+
+def test_running_totals_keep_the_written_ranges(spark, workspace):
+    """After the ranges are written no row moves: the only exchange is that of the offsets, a row per range."""
+    keys = spark.range(64_000).select((F.xxhash64("id") / 7).alias("k"), F.lit(1).alias("w"))
+    totals = ranking.running_totals(keys, "k", ["w"], workspace, 64)
+    plan = executed(totals).split("Initial Plan")[0]
+    scans = [line for line in plan.splitlines() if "FileScan" in line or "Scan parquet" in line]
+    assert len(scans) == 2 and "MapInArrow" not in plan
+    rows_side = plan[: plan.index("BroadcastExchange")]
+    assert "Window" not in rows_side and "hashpartitioning" not in rows_side and "Sort " not in rows_side
+    ranges = ranking._ranges(keys, "k", ["w"], workspace, 64).groupBy("part").count().toPandas()["count"]
+    assert len(ranges) == 64 and ranges.max() <= 2 * 1000 and ranges.min() >= 500

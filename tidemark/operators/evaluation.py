@@ -192,7 +192,8 @@ def threshold_sweep(scored: DataFrame, median_clv: Column, params: Params) -> Da
         .otherwise(step)
     )
     low, high = params.sweep_from_pct, params.sweep_to_pct
-    cell = F.coalesce(F.greatest(F.least(reached, F.lit(high)), F.lit(low - 1)), F.lit(low - 1))
+    # Without a score the customer is below every threshold; least and greatest would skip the null.
+    cell = F.greatest(F.least(F.coalesce(reached, F.lit(low - 1)), F.lit(high)), F.lit(low - 1))
     high_value = F.col("high_value")
     cells = scored.withColumn("high_value", F.col("clv") >= median_clv).groupBy(cell.cast("bigint").alias("pct")).agg(
         F.count_if(high_value).alias("high_clv"),

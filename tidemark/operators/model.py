@@ -29,6 +29,7 @@ MODEL_FEATURES = [
     "category_diversity_trend",
     "aov_trend",
 ]
+SCALED_FEATURES = [f"scaled_{c}" for c in MODEL_FEATURES]
 _VECTOR = "model_features"
 
 
@@ -48,16 +49,22 @@ def scaler_statistics(train: DataFrame) -> DataFrame:
     )
 
 
+def _standardised(name: str) -> Column:
+    deviation = F.col(f"fitted.std_{name}")
+    centred = finite_or_zero(F.col(name)) - F.col(f"fitted.mean_{name}")
+    return centred / F.when(deviation == 0, 1.0).otherwise(deviation)
+
+
 def scale(frame: DataFrame, statistics: Column) -> DataFrame:
     """Standardise by the train statistics; a constant feature is only centred."""
+    fitted = frame.withColumn("fitted", statistics)
+    return fitted.withColumns({c: _standardised(c) for c in MODEL_FEATURES}).drop("fitted")
 
-    def scaled(name: str) -> Column:
-        deviation = F.col(f"fitted.std_{name}")
-        centred = finite_or_zero(F.col(name)) - F.col(f"fitted.mean_{name}")
-        return centred / F.when(deviation == 0, 1.0).otherwise(deviation)
 
+def with_scaled(frame: DataFrame, statistics: Column) -> DataFrame:
+    """The standardised features beside the raw ones, as scaled_<feature>."""
     fitted = frame.withColumn("fitted", statistics)
-    return fitted.withColumns({c: scaled(c) for c in MODEL_FEATURES}).drop("fitted")
+    return fitted.withColumns({f"scaled_{c}": _standardised(c) for c in MODEL_FEATURES}).drop("fitted")
 
 
 def scaled_by_train(split: DataFrame) -> DataFrame:
@@ -72,20 +79,27 @@ def scaled_profile(split: DataFrame) -> DataFrame:
 
 
 class ChurnModels:
-    """Both models over one staged table of scaled features; each is fitted on first use.
+    """Both models over the customers' profile with scaled features beside the raw ones; each is fitted on first use.
 
-    MLlib keeps its own compact copy of the training rows during a fit, so the
-    table is not cached as well.
+    MLlib keeps its own compact copy of the training rows during a fit. Scores are a column added to the
+    profile where it is read: nothing is joined back.
     """
 
-    def __init__(self, scaled: DataFrame, params: Params):
-        self.scaled = scaled
+    def __init__(self, profile: DataFrame, params: Params, workspace: Workspace):
+        self.profile = profile
         self.params = params
+        self.workspace = workspace
+
+    @property
+    def scaled(self) -> DataFrame:
+        """The standardised features under the plain names."""
+        named = [F.col(s).alias(c) for s, c in zip(SCALED_FEATURES, MODEL_FEATURES)]
+        return self.profile.select("customer_unique_id", "split", "churn", *named)
 
     @cached_property
     def class_sizes(self) -> dict[int, tuple[int, float]]:
         """Size and weight of each class: two rows."""
-        train = self.scaled.filter(F.col("split") == "train")
+        train = self.profile.filter(F.col("split") == "train")
         return {row.churn: (row.n_class, row.weight) for row in class_weights(train).collect()}
 
     @property
@@ -93,11 +107,16 @@ class ChurnModels:
         return sum(size for size, _ in self.class_sizes.values())
 
     @cached_property
-    def _training_rows(self) -> DataFrame:
+    def training(self) -> DataFrame:
+        """label, balanced weight and scaled features of the train split."""
         weights = {label: weight for label, (_, weight) in self.class_sizes.items()}
         balanced = F.when(F.col("churn") == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
-        train = _assembled(self.scaled.filter(F.col("split") == "train"))
-        return train.select(F.col("churn").cast("double").alias("label"), balanced.alias("weight"), _VECTOR)
+        train = self.profile.filter(F.col("split") == "train")
+        return train.select(F.col("churn").cast("double").alias("label"), balanced.alias("weight"), *SCALED_FEATURES)
+
+    @property
+    def _training_rows(self) -> DataFrame:
+        return _assembled(self.training).select("label", "weight", _VECTOR)
 
     @cached_property
     def logistic(self) -> LogisticRegressionModel:
@@ -114,6 +133,7 @@ class ChurnModels:
             regParam=1.0 / max(self.train_size, 1),
             elasticNetParam=0.0,
             standardization=False,
+            tol=self.params.lr_tolerance,
         ).fit(self._training_rows)
 
     @cached_property
@@ -126,16 +146,18 @@ class ChurnModels:
             maxDepth=self.params.tree_depth,
             maxBins=self.params.tree_bins,
             featureSubsetStrategy="2",
+            bootstrap=self.params.tree_bootstrap,
             seed=self.params.model_seed,
         ).fit(self._training_rows)
 
-    def _score(self, model) -> DataFrame:
-        return model.transform(_assembled(self.scaled)).select(
-            "customer_unique_id",
-            "split",
-            "churn",
-            vector_to_array("probability").getItem(1).alias("churn_probability"),
-        )
+    def scored(self, fitted) -> DataFrame:
+        """The profile with a fitted model's churn_probability in place of any other."""
+        columns = [c for c in self.profile.columns if c not in (*SCALED_FEATURES, "churn_probability")]
+        probability = vector_to_array("probability").getItem(1).alias("churn_probability")
+        return fitted.transform(_assembled(self.profile.drop("churn_probability"))).select(*columns, probability)
+
+    def _score(self, fitted) -> DataFrame:
+        return self.scored(fitted).select("customer_unique_id", "split", "churn", "churn_probability")
 
     def forest_scores(self) -> DataFrame:
         return self._score(self.forest)
@@ -145,11 +167,11 @@ class ChurnModels:
 
     def coefficients(self) -> DataFrame:
         values = [float(v) for v in self.logistic.coefficients]
-        return _per_feature(self.scaled, values, "coefficient")
+        return _per_feature(self.profile, values, "coefficient")
 
     def importances(self) -> DataFrame:
         values = [float(v) for v in self.forest.featureImportances.toArray()]
-        return _per_feature(self.scaled, values, "importance")
+        return _per_feature(self.profile, values, "importance")
 
 
 def _per_feature(frame: DataFrame, values: list[float], name: str) -> DataFrame:
@@ -163,11 +185,12 @@ def _per_feature(frame: DataFrame, values: list[float], name: str) -> DataFrame:
 
 
 def _assembled(frame: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=MODEL_FEATURES, outputCol=_VECTOR).transform(frame)
+    return VectorAssembler(inputCols=SCALED_FEATURES, outputCol=_VECTOR).transform(frame)
 
 
-def churn_models(split: DataFrame, params: Params, workspace: Workspace) -> ChurnModels:
-    """Stage the scaled features of every customer: each pass of a fit reads them."""
-    columns = ["customer_unique_id", "split", "churn", *MODEL_FEATURES]
-    scaled = scaled_by_train(split).select(*columns)
-    return ChurnModels(workspace.stage(scaled, "scaled-features"), params)
+def churn_models(profile: DataFrame, params: Params, workspace: Workspace) -> ChurnModels:
+    """profile: a staged table with split, churn and the features. Only the one row of statistics is staged, so that
+    every pass of a fit and every scoring scales alike."""
+    train = profile.filter(F.col("split") == "train")
+    statistics = workspace.stage(scaler_statistics(train), "scaler")
+    return ChurnModels(with_scaled(profile, statistics.select(F.struct("*")).scalar()), params, workspace)

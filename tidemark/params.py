@@ -39,6 +39,9 @@ class Params:
     tree_depth: int = 6
     tree_bins: int = 128  # split candidates per feature; also sets how many rows place them
 
+    tree_bootstrap: bool = True  # each tree on its own draw of the training rows
+    lr_tolerance: float = 1e-10
+
     # Choices the caller makes explicitly.
     category_pick: str = "lowest"  # or "equals_one"
     risk_threshold: float = 0.5

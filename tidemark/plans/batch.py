@@ -19,6 +19,7 @@ from tidemark.operators import evaluation, experiment, segments
 from tidemark.operators.customers import FEATURE_COLUMNS
 from tidemark.params import Params
 from tidemark.plans.retention import RetentionPlan
+from tidemark.plans.scored import ScoredRun
 from tidemark.session import tune
 from tidemark.sinks import write_csv, write_document, write_table
 from tidemark.sources import ShopTables, load_csv_folder
@@ -28,14 +29,13 @@ SCORE_COLUMNS = ["first_purchase_date", "churn_probability", "churn_prediction"]
 SEGMENT_COLUMNS = ["clv", "quadrant", "risk_tier", "value_tier"]
 
 
-def _model_metrics(plan: RetentionPlan, chosen: DataFrame, rf_totals: DataFrame) -> DataFrame:
+def _model_metrics(run: ScoredRun) -> DataFrame:
     """One row in the shape of schemas.MODEL_METRICS."""
-    models, params = plan.models, plan.params
-    logistic, forest = models.logistic_scores(), models.forest_scores()
+    plan, models, params = run.plan, run.plan.models, run.plan.params
+    logistic = models.logistic_scores()
     holdout = F.col("split") == "holdout"
-    threshold = chosen.select("threshold").scalar()
     lr_pairs = evaluation.predict(logistic.filter(holdout), params.lr_threshold)
-    rf_pairs = evaluation.predict(forest.filter(holdout), threshold)
+    rf_pairs = evaluation.predict(run.scored.filter(holdout), run.threshold)
 
     def auc(totals: DataFrame):
         return evaluation.roc_auc(totals).select("auc").scalar()
@@ -50,8 +50,8 @@ def _model_metrics(plan: RetentionPlan, chosen: DataFrame, rf_totals: DataFrame)
 
     return plan.workspace.spark.range(1).select(
         auc(plan.model_evaluation(logistic)).alias("lr_auc"),
-        auc(rf_totals).alias("rf_auc"),
-        threshold.alias("selected_rf_threshold"),
+        auc(run.totals).alias("rf_auc"),
+        run.threshold.alias("selected_rf_threshold"),
         listed(models.coefficients(), "coefficient").alias("lr_coefs"),
         listed(models.importances(), "importance").alias("rf_importances"),
         matrix(lr_pairs).alias("lr_confusion_matrix"),
@@ -72,8 +72,9 @@ def run_batch(
     """Write all outputs below the folder; returns the row count of each table.
 
     pool_date and assignment (customer_unique_id, clv, arm) describe a campaign
-    that took place; without them the arms are hashed over the win-back segment as
-    of one outcome horizon before the snapshot.
+    that took place; without an assignment the arms are hashed over the win-back segment of
+    the model as of the pool date (by default one outcome horizon before the snapshot):
+    features, labels, fit and threshold of that day, written with the pool.
     """
     tune(spark)
     rows: dict[str, int] = {}
@@ -99,19 +100,17 @@ def run_batch(
         rows["customer_features"] = write_csv(features, f"{output}/customer_features.csv")
 
         # Models and scores
-        scores = workspace.stage(plan.models.forest_scores(), "forest-scores")
-        totals = plan.model_evaluation(scores)
-        curve = evaluation.pr_curve(totals)
-        chosen = workspace.stage(evaluation.operating_threshold(curve, params), "operating-threshold")
-        write_document(_model_metrics(plan, chosen, totals), f"{output}/model_metrics.json")
-        threshold = chosen.select("threshold").scalar()
-        predicted = evaluation.predict(plan.segments_of(scores, threshold), threshold)
+        run = ScoredRun(plan)
+        write_document(_model_metrics(run), f"{output}/model_metrics.json")
+        predicted = evaluation.predict(run.segments, run.threshold)
         segmented = workspace.stage(
             predicted.select(*features.columns, *SCORE_COLUMNS, *SEGMENT_COLUMNS), "segments"
         )
         rows["customer_features_with_predictions"] = write_csv(
             segmented.drop(*SEGMENT_COLUMNS), f"{output}/customer_features_with_predictions.csv"
         )
+        rows["threshold_sweep"] = write_csv(run.threshold_sweep, f"{output}/threshold_sweep.csv", single_file=True)
+        rows["live_metrics"] = write_csv(run.live_metrics, f"{output}/live_metrics.csv", single_file=True)
 
         # Segments and experiment
         rows["customer_segments"] = write_csv(segmented, f"{output}/customer_segments.csv")
@@ -119,8 +118,18 @@ def run_batch(
             segments.crm_export(segmented, segments.WIN_BACK), f"{output}/crm_export.csv"
         )
         day = pool_date or plan.as_of_pool_date()
+        arms = assignment
+        if arms is None:
+            then = ScoredRun(plan.plan_at(day))
+            of_day = workspace.stage(
+                then.segments.select("customer_unique_id", "churn_probability", *SEGMENT_COLUMNS), "segments-of-day")
+            rows["pool_segments"] = write_csv(of_day, f"{output}/pool_segments.csv")
+            arms = plan.assignment(day, of_day)
+        outcomes = workspace.stage(plan.outcomes(day, arms), "outcomes")
+        rows["experiment_pool"] = write_csv(outcomes, f"{output}/experiment_pool.csv")
+        counts = experiment.arm_counts(outcomes)
         result = experiment.campaign_roi(
-            experiment.with_p_value(plan.readout(day, assignment)), params
+            experiment.with_p_value(experiment.readout(counts, params)), params
         )
         write_document(
             result.select(*[field.name for field in schemas.EXPERIMENT_RESULTS.fields]),

@@ -8,6 +8,7 @@ addition, are rounded. Everything computed row by row leaves as it is.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import iso_date, iso_seconds
-from tidemark.operators import evaluation, experiment, model, segments
+from tidemark.operators import certificates, evaluation, experiment, model, segments
 from tidemark.plans.retention import RetentionPlan
+from tidemark.plans.scored import ScoredRun
 from tidemark.session import tune
 from tidemark.sinks import write_document
 from tidemark.sources.csv_folder import ROLES, load_csv_folder
@@ -371,6 +373,68 @@ def model_quality(plan: RetentionPlan) -> DataFrame:
     )
 
 
+def _supplied_scores(plan: RetentionPlan) -> DataFrame:
+    """Stand-in input: scores as another system would deliver them, none for every tenth customer."""
+    key = F.col("customer_unique_id")
+    return plan.tables.customers.filter(key % 10 != 0).select(
+        "customer_unique_id", ((key * 7919) % 1000 / F.lit(1000.0)).alias("churn_probability"))
+
+
+def _supplied(plan: RetentionPlan) -> ScoredRun:
+    return ScoredRun(plan, _supplied_scores(plan), plan.params.risk_threshold)
+
+
+def supplied_sweep(plan: RetentionPlan) -> DataFrame:
+    """The threshold sweep on supplied scores."""
+    return _rounded(_supplied(plan).threshold_sweep, 2, "clv_at_risk")
+
+
+def supplied_live_metrics(plan: RetentionPlan) -> DataFrame:
+    return _supplied(plan).live_metrics
+
+
+def supplied_ab_assign(plan: RetentionPlan) -> DataFrame:
+    """Arms over the win-back segment by supplied scores, as of the pool date."""
+    return _supplied(plan.plan_at(plan.as_of_pool_date())).assignment().select("customer_unique_id", "arm")
+
+
+def scored_customers(plan: RetentionPlan) -> DataFrame:
+    """Per split the customers that both models score, and whether every score lies in [0, 1]."""
+    models = plan.models
+    scores = models.forest_scores().select("split", F.col("churn_probability").alias("forest")).unionByName(
+        models.logistic_scores().select("split", F.col("churn_probability").alias("forest")))
+    fits = F.coalesce(F.col("forest").between(0.0, 1.0), F.lit(False))
+    return scores.groupBy("split").agg(
+        (F.count("*") / 2).cast("bigint").alias("customers"), F.min(fits.cast("int")).alias("in_range"))
+
+
+def logistic_optimality(plan: RetentionPlan) -> DataFrame:
+    """Gradient of the penalised loss at the fit, over the training rows, and whether coefficients come by size."""
+    models = plan.models
+    listed = models.coefficients().collect()  # one row per feature
+    sizes = [abs(row.coefficient) for row in listed]
+    sorted_here = {row.feature: int(k == 0 or sizes[k - 1] >= sizes[k]) for k, row in enumerate(listed)}
+    order = F.create_map(*[F.lit(x) for pair in sorted_here.items() for x in pair])
+    gradient = certificates.logistic_gradient(models)
+    return gradient.select(
+        "term", "n", (F.round("gradient", 6) + 0.0).alias("gradient"), F.coalesce(order[F.col("term")], F.lit(1)).alias("by_size"))
+
+
+def _differences(found: DataFrame) -> DataFrame:
+    return found.select("measure", (F.round("difference", 6) + 0.0).alias("difference"))
+
+
+def forest_recount(plan: RetentionPlan) -> DataFrame:
+    """A forest whose trees see all training rows, against a count of these rows."""
+    whole = replace(plan.params, tree_bootstrap=False)
+    return _differences(certificates.forest_recount(model.churn_models(plan.staged_profile, whole, plan.workspace)))
+
+
+def score_recount(plan: RetentionPlan) -> DataFrame:
+    """The production forest's scores and importances against walks through its node table."""
+    return _differences(certificates.score_recount(plan.models))
+
+
 PLAN_QUERIES = [
     order_value, order_category, order_fact, csv_reload, csv_reload_rows, metadata_reload, sales_by_category,
     output_rows, first_purchase, cohort_activity, cohort_sizes,
@@ -381,7 +445,8 @@ PLAN_QUERIES = [
     segment_sample, confusion_matrix, classification_report, roc_auc, pr_curve,
     operating_threshold, threshold_sweep, live_metrics, ab_assign, ab_outcome,
     experiment_readout, campaign_roi, model_coefficients, model_importances, churn_scores,
-    model_quality, model_reports,
+    model_quality, model_reports, supplied_sweep, supplied_live_metrics, supplied_ab_assign, scored_customers,
+    logistic_optimality, forest_recount, score_recount,
 ]
 
 

@@ -155,9 +155,28 @@ class RetentionPlan:
 
     @cached_property
     def snapshot(self) -> Column:
-        """Snapshot date alone, for the tables that need no gaps."""
-        last = self.as_of or self.last_order_date()
-        return F.lit(last + timedelta(days=1) if last else None).cast("date")
+        """Snapshot date alone, for the tables that need no gaps. Starts no job."""
+        if self.as_of is not None:
+            return F.lit(self.as_of + timedelta(days=1))
+        return self.last_order.select(F.date_add("last_date", 1)).scalar()
+
+    @cached_property
+    def last_order(self) -> DataFrame:
+        """One row: the day of the last order of a known customer, lazily.
+
+        Joining all orders with the customers for a maximum would shuffle them all. The
+        newest order by the scan alone is an upper bound; it is the answer if an order of that
+        day has a known customer, and only otherwise rows reach the whole join.
+        """
+        last = F.max("order_date").alias("last_date")
+        if self.built_fact is not None:
+            return self.orders.agg(last)
+        newest = self.placed.agg(F.to_date(F.max("order_purchase_timestamp"))).scalar()
+        of_that_day = self.placed.filter(F.to_date("order_purchase_timestamp") == newest)
+        near = facts.with_customer(of_that_day, self.tables.customers).agg(F.max("order_date")).scalar()
+        unknown = near.isNull()
+        exact = facts.with_customer(self.placed.filter(unknown), self.tables.customers.filter(unknown)).agg(last)
+        return exact.select(F.coalesce("last_date", near).alias("last_date"))
 
     # Customers
 
@@ -215,7 +234,7 @@ class RetentionPlan:
 
     @cached_property
     def median_clv(self) -> Column:
-        return ranking.exact_median(self.staged_profile, "clv", self.workspace).scalar()
+        return ranking.exact_median(self.staged_profile, "clv").scalar()
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -275,22 +294,8 @@ class RetentionPlan:
     # Experiment
 
     def last_order_date(self) -> date | None:
-        """One value on the driver: later plans use it as a literal the scan can see.
-
-        Joining all orders with the customers for a maximum would shuffle them
-        all. The newest order by the scan alone is an upper bound; it is the
-        answer if an order of that day has a known customer, and only otherwise
-        the whole join decides.
-        """
-        if self.built_fact is None:
-            newest = self.placed.agg(F.max("order_purchase_timestamp")).first()[0]
-            if newest is None:
-                return None
-            day = newest.date()
-            known = self.orders_between(day - timedelta(days=1), day).agg(F.max("order_date")).first()[0]
-            if known is not None:
-                return known
-        return self.orders.agg(F.max("order_date")).first()[0]
+        """One value on the driver: later plans use it as a literal the scan can see."""
+        return self.last_order.first()[0]
 
     def as_of_pool_date(self) -> date:
         snapshot = self.last_order_date() + timedelta(days=1)
@@ -313,9 +318,14 @@ class RetentionPlan:
         )
         return facts.with_customer(placed, self.tables.customers)
 
-    def assignment(self, pool_date: date) -> DataFrame:
-        """Win-back customers as of the pool date with their arm."""
-        pool = segments.in_segment(self.plan_at(pool_date).segments, segments.WIN_BACK)
+    def assignment(self, pool_date: date, segmented: DataFrame | None = None) -> DataFrame:
+        """Win-back customers as of the pool date with their arm.
+
+        segmented holds the segments of that day by any score; without it the model-free
+        score decides.
+        """
+        of_day = segmented if segmented is not None else self.plan_at(pool_date).segments
+        pool = segments.in_segment(of_day, segments.WIN_BACK)
         return experiment.assign_arms(pool, self.params.arm_salt, self.params.treatment_pct).select(
             "customer_unique_id", "clv", "arm"
         )
