@@ -660,5 +660,10 @@ ORACLES |= {
                    (SELECT count(*) FROM split WHERE split = 'train') AS n, 0.0::DOUBLE AS gradient, 1 AS by_size""",
     ),
     "forest_recount": _zeros([*_IMPORTANCES, "leaf share", "node weight", "rows of a root"]),
+    "active_customers_estimate": _with(
+        [*_FACT_CTES, _FIRST, _RETENTION],
+        f"""SELECT {_iso('active_month')} AS activity_month, count(DISTINCT cust) AS active_customers, 1 AS within_2_pct
+            FROM activity GROUP BY active_month""",
+    ),
     "score_recount": _zeros([*_IMPORTANCES, "score"]),
 }

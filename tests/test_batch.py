@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 from dataclasses import replace
 
 import duckdb
@@ -11,6 +12,7 @@ from conftest import SMALL
 from tidemark import schemas
 from tidemark.operators import segments
 from tidemark.params import Params
+from tidemark.plans import steps
 from tidemark.plans.batch import run_batch
 from tidemark.sources import load_csv_folder
 from tidemark.sources.star import star_params
@@ -119,3 +121,24 @@ def test_sweep_and_live_metrics_are_on_the_models_score(spark, outputs):
     live = {r.split: r for r in typed.csv(f"{folder}/live_metrics.csv").collect()}
     assert {"mature", "train", "holdout"} <= set(live)
     assert all(0 <= r.precision <= 1 and 0 <= r.recall <= 1 for r in live.values())
+
+
+def test_steps_alone_reproduce_the_whole_run(spark, outputs):
+    folder, _ = outputs
+    params = replace(Params(), split_date=star_params().split_date)
+    again = steps.segments_from_documents(spark, folder, params)
+    whole = spark.read.schema(again.schema).option("header", True).csv(f"{folder}/customer_segments.csv")
+    assert whole.columns == again.columns
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, whole.collect()))
+    results = steps.readout_from_documents(spark, folder, params).first().asDict()
+    assert results == document(folder, "ab_test_results.json")
+
+
+def test_segments_need_the_snapshot(spark, tmp_path, outputs):
+    folder, _ = outputs
+    os.symlink(f"{folder}/customer_features_with_predictions.csv", tmp_path / "customer_features_with_predictions.csv")
+    with pytest.raises(FileNotFoundError):
+        steps.segments_from_documents(spark, str(tmp_path), Params())
+    os.symlink(f"{folder}/metadata.json", tmp_path / "metadata.json")
+    segmented = steps.segments_from_documents(spark, str(tmp_path), Params(risk_threshold=0.0)).collect()
+    assert {r.risk_tier for r in segmented} == {"High"}

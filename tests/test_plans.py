@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMALL
-from tidemark.operators import customers
+from tidemark.operators import customers, facts
 from tidemark.plans import catalog
+from tidemark.plans.catalog import plan_for
+from tidemark.plans.retention import RetentionPlan
+from tidemark.sources.star import star_params
 
 LAZY = [
     "order_fact", "cohort_retention", "purchase_gaps", "churn_label", "gap_stats", "run_scalars", "avg_gap",
@@ -108,3 +113,43 @@ def test_scalars_share_the_join_exchanges(spark, big_tables):
     frame.collect()
     final = executed(frame).split("Initial Plan")[0]
     assert "ReusedExchange" in final
+
+
+def test_first_product_hashes_and_equals_the_pair(spark):
+    """Integer ids: no sort aggregate, and the product of the least (item number, product), missing values first."""
+    big = 2**63 - 1
+    rows = [
+        ("a", 2, 5), ("a", 1, 9), ("a", 1, 7), ("b", -2**31, -big - 1), ("b", -2**31, big), ("c", 2**31 - 1, big),
+        ("d", None, 3), ("d", 0, 1), ("e", 1, None), ("e", 1, 0), ("f", 1, -1), ("f", 1, 1),
+    ]
+    items = spark.createDataFrame([(*r, 1.0) for r in rows], "order_id string, order_item_id int, product_id long, price double")
+    got = {r.order_id: r.product_id for r in facts.order_baskets(items).collect()}
+    pairs = items.groupBy("order_id").agg(F.min(F.struct("order_item_id", "product_id")).getField("product_id").alias("p"))
+    assert got == {r.order_id: r.p for r in pairs.collect()}
+    ones = {r.order_id: r.product_id for r in facts.order_baskets(items, "equals_one").collect()}
+    assert ones == {"a": 7, "b": None, "c": None, "d": None, "e": None, "f": -1}
+    plan = facts.order_baskets(items)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@pytest.mark.parametrize("name", ["rfm", "window_metrics"])
+def test_building_starts_no_job(spark, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", "plan only")
+    plan = plan_for(spark, SMALL)
+    frame = getattr(plan, name)
+    plan.register_views()
+    assert not context.statusTracker().getJobIdsForGroup(f"build-{name}")
+    assert frame.count() > 0
+    context.setJobGroup("", "")
+
+
+def test_last_order_falls_back_to_the_whole_join(spark):
+    """The newest orders belong to nobody: the day of the last known customer's order decides."""
+    tables = plan_for(spark, SMALL).tables
+    stranger = tables.orders.limit(1).select(
+        F.lit(-1).cast("bigint").alias("order_id"), F.lit(-5).cast("bigint").alias("customer_id"), F.lit("F").alias("order_status"),
+        F.lit("2030-01-01 10:00:00").cast("timestamp_ntz").alias("order_purchase_timestamp"))
+    orders = tables.orders.unionByName(stranger)
+    plan = RetentionPlan(replace(tables, orders=orders), star_params(), None)
+    assert plan.last_order_date() == plan_for(spark, SMALL).last_order_date()

@@ -7,6 +7,8 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
 
 from shop_fixture import shop
 from tidemark import schemas
@@ -134,3 +136,23 @@ def test_shared_root_never_is_a_local_folder_on_a_cluster():
     assert shared_root(Context("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
     local = Context("local[2]")
     assert os.path.isdir(shared_root(local)) and shared_root(local) == shared_root(local) and local.folder is None
+
+
+@pytest.mark.parametrize("write", [write_table, write_csv, write_document])
+def test_a_failed_write_leaves_the_old_output(spark, tmp_path, write):
+    path = str(tmp_path / "out")
+    good = spark.createDataFrame([("a", 1)], "k string, n int")
+    write(good, path)
+    before = sorted(os.listdir(path))
+    bad = good.select("k", F.expr("n + raise_error('no')").cast("int").alias("n"))
+    with pytest.raises(Exception, match="no"):
+        write(bad, path)
+    assert sorted(os.listdir(path)) == before
+    assert os.listdir(tmp_path) == ["out"]
+
+
+def test_a_csv_is_never_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(DataFrameReader, "csv", None)
+    frame = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("line\nbreak").alias("v"))
+    assert write_csv(frame, str(tmp_path / "out.csv")) == 100
+    assert write_csv(frame, str(tmp_path / "out.csv"), staged=True) == 100

@@ -33,6 +33,23 @@ def cohort_activity(orders: DataFrame) -> DataFrame:
     )
 
 
+def activity_sketches(activity: DataFrame, digits: int = 14) -> DataFrame:
+    """(cohort_month, activity_month, customers): a distinct-count sketch per cohort and month, to be stored.
+
+    Sketches of several months, cohorts or shops merge without the customers; each takes some 2 ** digits bytes at most
+    and is off by about 0.8 / sqrt(2 ** digits) of the count (one standard deviation). This is an
+    opt-in: all counts of the retention tables are exact.
+    """
+    return activity.groupBy("cohort_month", "activity_month").agg(
+        F.hll_sketch_agg("customer_unique_id", F.lit(digits)).alias("customers"))
+
+
+def estimated_customers(sketches: DataFrame, *by: str) -> DataFrame:
+    """Distinct customers over the union of the sketches of each group."""
+    union = F.hll_sketch_estimate(F.hll_union_agg("customers"))
+    return sketches.groupBy(*by).agg(union.cast("bigint").alias("customers"))
+
+
 def cohort_sizes(orders: DataFrame) -> DataFrame:
     """Customers per cohort; first_purchase is one row per customer, so count is enough."""
     return first_purchase(orders).groupBy("cohort_month").agg(F.count("*").alias("cohort_size"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import from_cents, to_cents
@@ -52,26 +52,45 @@ def with_customer(placed: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+# Types whose values, shifted to be positive, fit beside each other in one decimal.
+_ITEM_NUMBERS = {"tinyint", "smallint", "int"}
+_PRODUCT_KEYS = {"tinyint", "smallint", "int", "bigint"}
+_PRODUCT_SPAN = 1 << 65
+
+
+def _first_product(items: DataFrame, counts: Column) -> Column:
+    """Product of the least (item number, product) among the items that count.
+
+    With integer columns the pair is packed in one decimal(38,0), item number first, a missing value below
+    all others as in a pair: a minimum of fixed width, so that the aggregate hashes. Other types
+    (text ids) take the minimum of the pair itself, which makes Spark aggregate by sorting.
+    """
+    kinds = dict(items.dtypes)
+    if kinds["order_item_id"] not in _ITEM_NUMBERS or kinds["product_id"] not in _PRODUCT_KEYS:
+        return F.min(F.when(counts, F.struct("order_item_id", "product_id"))).getField("product_id")
+    wide = lambda value, digits: F.lit(str(value)).cast(f"decimal({digits},0)")
+    shifted = lambda name, kind, low: F.coalesce(F.col(name).cast(kind) + wide(1 - low, 20), wide(0, 1))
+    number = shifted("order_item_id", "decimal(10,0)", -(1 << 31)).cast("decimal(11,0)")
+    product = shifted("product_id", "decimal(19,0)", -(1 << 63)).cast("decimal(20,0)")
+    packed = (number * wide(_PRODUCT_SPAN, 20)).cast("decimal(37,0)") + product
+    least = F.min(F.when(counts, packed.cast("decimal(38,0)"))) % wide(_PRODUCT_SPAN, 20)
+    return F.when(least > 0, (least - wide(1 + (1 << 63), 20)).cast("bigint")).cast(kinds["product_id"])
+
+
 def order_baskets(items: DataFrame, category_pick: str = "lowest") -> DataFrame:
     """Value and first product per order, from one aggregate over the items.
 
     "lowest" takes the product of the smallest item number (ties: the smallest
     product id); "equals_one" takes only an item numbered exactly 1. Both are
     partial aggregates, so an order with very many items costs one row per map
-    task. The minimum of a pair makes Spark aggregate by sorting; the final sort
-    is the one the join on order_id needs anyway.
+    task.
     """
-    position = F.struct("order_item_id", "product_id")
-    if category_pick == "equals_one":
-        position = F.when(F.col("order_item_id") == 1, position)
-    elif category_pick != "lowest":
+    if category_pick not in ("lowest", "equals_one"):
         raise ValueError(f"unknown category_pick: {category_pick}")
-    return (
-        items.groupBy("order_id")
-        .agg(
-            F.sum(to_cents(F.col("price"))).alias("order_cents"),
-            F.min(position).getField("product_id").alias("product_id"),
-        )
+    counts = F.col("order_item_id") == 1 if category_pick == "equals_one" else F.lit(True)
+    return items.groupBy("order_id").agg(
+        F.sum(to_cents(F.col("price"))).alias("order_cents"),
+        _first_product(items, counts).alias("product_id"),
     )
 
 

@@ -61,6 +61,13 @@ def _model_metrics(run: ScoredRun) -> DataFrame:
     )
 
 
+def experiment_results(outcomes: DataFrame, params: Params) -> DataFrame:
+    """One row in the shape of schemas.EXPERIMENT_RESULTS, from the pool with arms and outcomes."""
+    counts = experiment.arm_counts(outcomes)
+    result = experiment.campaign_roi(experiment.with_p_value(experiment.readout(counts, params)), params)
+    return result.select(*[field.name for field in schemas.EXPERIMENT_RESULTS.fields])
+
+
 def run_batch(
     spark: SparkSession,
     tables: ShopTables,
@@ -97,7 +104,7 @@ def run_batch(
         )
         write_document(metadata, f"{output}/metadata.json")
         features = plan.staged_profile.select("customer_unique_id", *FEATURE_COLUMNS, "churn")
-        rows["customer_features"] = write_csv(features, f"{output}/customer_features.csv")
+        rows["customer_features"] = write_csv(features, f"{output}/customer_features.csv", staged=True)
 
         # Models and scores
         run = ScoredRun(plan)
@@ -107,15 +114,15 @@ def run_batch(
             predicted.select(*features.columns, *SCORE_COLUMNS, *SEGMENT_COLUMNS), "segments"
         )
         rows["customer_features_with_predictions"] = write_csv(
-            segmented.drop(*SEGMENT_COLUMNS), f"{output}/customer_features_with_predictions.csv"
+            segmented.drop(*SEGMENT_COLUMNS), f"{output}/customer_features_with_predictions.csv", staged=True
         )
         rows["threshold_sweep"] = write_csv(run.threshold_sweep, f"{output}/threshold_sweep.csv", single_file=True)
         rows["live_metrics"] = write_csv(run.live_metrics, f"{output}/live_metrics.csv", single_file=True)
 
         # Segments and experiment
-        rows["customer_segments"] = write_csv(segmented, f"{output}/customer_segments.csv")
+        rows["customer_segments"] = write_csv(segmented, f"{output}/customer_segments.csv", staged=True)
         rows["crm_export"] = write_csv(
-            segments.crm_export(segmented, segments.WIN_BACK), f"{output}/crm_export.csv"
+            segments.crm_export(segmented, segments.WIN_BACK), f"{output}/crm_export.csv", staged=True
         )
         day = pool_date or plan.as_of_pool_date()
         arms = assignment
@@ -123,18 +130,11 @@ def run_batch(
             then = ScoredRun(plan.plan_at(day))
             of_day = workspace.stage(
                 then.segments.select("customer_unique_id", "churn_probability", *SEGMENT_COLUMNS), "segments-of-day")
-            rows["pool_segments"] = write_csv(of_day, f"{output}/pool_segments.csv")
+            rows["pool_segments"] = write_csv(of_day, f"{output}/pool_segments.csv", staged=True)
             arms = plan.assignment(day, of_day)
         outcomes = workspace.stage(plan.outcomes(day, arms), "outcomes")
-        rows["experiment_pool"] = write_csv(outcomes, f"{output}/experiment_pool.csv")
-        counts = experiment.arm_counts(outcomes)
-        result = experiment.campaign_roi(
-            experiment.with_p_value(experiment.readout(counts, params)), params
-        )
-        write_document(
-            result.select(*[field.name for field in schemas.EXPERIMENT_RESULTS.fields]),
-            f"{output}/ab_test_results.json",
-        )
+        rows["experiment_pool"] = write_csv(outcomes, f"{output}/experiment_pool.csv", staged=True)
+        write_document(experiment_results(outcomes, params), f"{output}/ab_test_results.json")
     return rows
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import iso_date, iso_seconds
-from tidemark.operators import certificates, evaluation, experiment, model, segments
+from tidemark.operators import certificates, cohorts, evaluation, experiment, model, segments
 from tidemark.plans.retention import RetentionPlan
 from tidemark.plans.scored import ScoredRun
 from tidemark.session import tune
@@ -373,6 +373,17 @@ def model_quality(plan: RetentionPlan) -> DataFrame:
     )
 
 
+def active_customers_estimate(plan: RetentionPlan) -> DataFrame:
+    """Customers active per month from merged sketches beside the exact count, and whether they agree to 2 %."""
+    activity = plan.workspace.stage(plan.cohort_activity, "activity")
+    sketches = plan.workspace.stage(cohorts.activity_sketches(activity), "sketches")
+    exact = activity.groupBy("activity_month").agg(F.count_distinct("customer_unique_id").alias("active_customers"))
+    off = F.abs(F.col("customers") - F.col("active_customers"))
+    both = exact.join(cohorts.estimated_customers(sketches, "activity_month"), "activity_month")
+    return _dated(both, "activity_month").select(
+        "activity_month", "active_customers", (off <= 0.02 * F.col("active_customers")).cast("int").alias("within_2_pct"))
+
+
 def _supplied_scores(plan: RetentionPlan) -> DataFrame:
     """Stand-in input: scores as another system would deliver them, none for every tenth customer."""
     key = F.col("customer_unique_id")
@@ -446,7 +457,7 @@ PLAN_QUERIES = [
     operating_threshold, threshold_sweep, live_metrics, ab_assign, ab_outcome,
     experiment_readout, campaign_roi, model_coefficients, model_importances, churn_scores,
     model_quality, model_reports, supplied_sweep, supplied_live_metrics, supplied_ab_assign, scored_customers,
-    logistic_optimality, forest_recount, score_recount,
+    logistic_optimality, forest_recount, score_recount, active_customers_estimate,
 ]
 
 
