@@ -121,13 +121,15 @@ def test_first_product_hashes_and_equals_the_pair(spark):
     rows = [
         ("a", 2, 5), ("a", 1, 9), ("a", 1, 7), ("b", -2**31, -big - 1), ("b", -2**31, big), ("c", 2**31 - 1, big),
         ("d", None, 3), ("d", 0, 1), ("e", 1, None), ("e", 1, 0), ("f", 1, -1), ("f", 1, 1),
+        ("g", 1, 5), ("g", 2**20, 1), ("g", 2**30, 0), ("h", 3, 2**50), ("h", 3, 4), ("i", 3, 2**50), ("i", 4, 4), ("j", 7, 8),
+        ("k", -1, 9), ("k", 0, 1),
     ]
     items = spark.createDataFrame([(*r, 1.0) for r in rows], "order_id string, order_item_id int, product_id long, price double")
     got = {r.order_id: r.product_id for r in facts.order_baskets(items).collect()}
     pairs = items.groupBy("order_id").agg(F.min(F.struct("order_item_id", "product_id")).getField("product_id").alias("p"))
     assert got == {r.order_id: r.p for r in pairs.collect()}
     ones = {r.order_id: r.product_id for r in facts.order_baskets(items, "equals_one").collect()}
-    assert ones == {"a": 7, "b": None, "c": None, "d": None, "e": None, "f": -1}
+    assert ones == {"a": 7, "b": None, "c": None, "d": None, "e": None, "f": -1, "g": 5, "h": None, "i": None, "j": None, "k": None}
     plan = facts.order_baskets(items)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 

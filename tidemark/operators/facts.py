@@ -52,29 +52,47 @@ def with_customer(placed: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-# Types whose values, shifted to be positive, fit beside each other in one decimal.
 _ITEM_NUMBERS = {"tinyint", "smallint", "int"}
 _PRODUCT_KEYS = {"tinyint", "smallint", "int", "bigint"}
+# Pairs below these bounds share one long; all others, missing values among them, one decimal.
+_ITEM_BITS, _PRODUCT_BITS = 20, 42
 _PRODUCT_SPAN = 1 << 65
 
 
+def _decimal(value: int, digits: int) -> Column:
+    return F.lit(str(value)).cast(f"decimal({digits},0)")
+
+
 def _first_product(items: DataFrame, counts: Column) -> Column:
-    """Product of the least (item number, product) among the items that count.
+    """Product of the least (item number, product) among the items that count, a missing value below all others.
 
-    With integer columns the pair is packed in one decimal(38,0), item number first, a missing value below
-    all others as in a pair: a minimum of fixed width, so that the aggregate hashes. Other types
-    (text ids) take the minimum of the pair itself, which makes Spark aggregate by sorting.
+    With integer columns the pair is packed in one number, item number first, so that the
+    minimum has a fixed width and the aggregate hashes. Other types (text ids) take the minimum of
+    the pair itself, which makes Spark aggregate by sorting.
     """
     kinds = dict(items.dtypes)
+    number, product = F.col("order_item_id"), F.col("product_id")
     if kinds["order_item_id"] not in _ITEM_NUMBERS or kinds["product_id"] not in _PRODUCT_KEYS:
-        return F.min(F.when(counts, F.struct("order_item_id", "product_id"))).getField("product_id")
-    wide = lambda value, digits: F.lit(str(value)).cast(f"decimal({digits},0)")
-    shifted = lambda name, kind, low: F.coalesce(F.col(name).cast(kind) + wide(1 - low, 20), wide(0, 1))
-    number = shifted("order_item_id", "decimal(10,0)", -(1 << 31)).cast("decimal(11,0)")
-    product = shifted("product_id", "decimal(19,0)", -(1 << 63)).cast("decimal(20,0)")
-    packed = (number * wide(_PRODUCT_SPAN, 20)).cast("decimal(37,0)") + product
-    least = F.min(F.when(counts, packed.cast("decimal(38,0)"))) % wide(_PRODUCT_SPAN, 20)
-    return F.when(least > 0, (least - wide(1 + (1 << 63), 20)).cast("bigint")).cast(kinds["product_id"])
+        return F.min(F.when(counts, F.struct(number, product))).getField("product_id")
+    number, product = number.cast("int"), product.cast("bigint")
+    small = F.coalesce(
+        number.between(0, (1 << _ITEM_BITS) - 1) & product.between(0, (1 << _PRODUCT_BITS) - 1), F.lit(False))
+    narrow = F.min(F.when(counts & small, F.shiftleft(number.cast("bigint"), _PRODUCT_BITS).bitwiseOR(product)))
+    shifted = lambda value, kind, low: F.coalesce(value.cast(kind) + _decimal(1 - low, 20), _decimal(0, 1))
+    packed = (
+        (shifted(number, "decimal(10,0)", -(1 << 31)).cast("decimal(11,0)") * _decimal(_PRODUCT_SPAN, 20)).cast("decimal(37,0)")
+        + shifted(product, "decimal(19,0)", -(1 << 63)).cast("decimal(20,0)")
+    )
+    wide = F.min(F.when(counts & ~small, packed.cast("decimal(38,0)")))
+    key, head = wide % _decimal(_PRODUCT_SPAN, 20), F.call_function("div", wide, _decimal(_PRODUCT_SPAN, 20))
+    wide_pair = F.struct(
+        F.when(head > 0, head - F.lit((1 << 31) + 1)).alias("number"),
+        F.when(key > 0, (key - _decimal(1 + (1 << 63), 20)).cast("bigint")).alias("product"))
+    narrow_pair = F.struct(
+        F.shiftright(narrow, _PRODUCT_BITS).alias("number"),
+        narrow.bitwiseAND(F.lit((1 << _PRODUCT_BITS) - 1)).alias("product"))
+    least = F.when(wide.isNull(), narrow_pair).when(narrow.isNull(), wide_pair).otherwise(F.least(narrow_pair, wide_pair))
+    return F.when(narrow.isNotNull() | wide.isNotNull(), least.getField("product")).cast(kinds["product_id"])
 
 
 def order_baskets(items: DataFrame, category_pick: str = "lowest") -> DataFrame:
