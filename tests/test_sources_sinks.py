@@ -156,3 +156,11 @@ def test_a_csv_is_never_read_back(spark, tmp_path, monkeypatch):
     frame = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("line\nbreak").alias("v"))
     assert write_csv(frame, str(tmp_path / "out.csv")) == 100
     assert write_csv(frame, str(tmp_path / "out.csv"), staged=True) == 100
+
+
+def test_workspace_drops_single_tables(spark):
+    with Workspace(spark) as workspace:
+        first, second = (workspace.stage(spark.range(3), "t") for _ in range(2))
+        workspace.drop(first, spark.range(3))
+        assert len(os.listdir(workspace.path)) == 1 and second.count() == 3
+        workspace.drop(first)

@@ -38,6 +38,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        self._staged: dict[int, tuple[DataFrame, str]] = {}
 
     @cached_property
     def path(self) -> str:
@@ -47,16 +48,26 @@ class Workspace:
     def stage(self, frame: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         frame.write.mode("overwrite").parquet(target)
-        return self.spark.read.schema(frame.schema).parquet(target)
+        staged = self.spark.read.schema(frame.schema).parquet(target)
+        self._staged[id(staged)] = staged, target
+        return staged
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete staged tables that nothing reads any more; other frames are left alone."""
+        for frame in frames:
+            _, target = self._staged.pop(id(frame), (None, None))
+            if target:
+                self._delete(target)
 
     def close(self) -> None:
         """Delete this run's staged tables; frames that read them end here."""
-        if "path" not in self.__dict__:
-            return
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        hadoop = self.spark._jsc.hadoopConfiguration()
-        path.getFileSystem(hadoop).delete(path, True)
+        if "path" in self.__dict__:
+            self._delete(self.path)
+        self._staged.clear()
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def __enter__(self) -> "Workspace":
         return self
