@@ -30,10 +30,13 @@ def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
         )
         nearer = workspace.stage(nearer, "nearer")
         target = nearer.select(F.col("node").alias("at"), F.col("step").alias("jump"))
+        before = labels
         moved = workspace.stage(
             nearer.join(target, nearer["step"] == target["at"]).select("node", "old", F.col("jump").alias("label")),
             "labels",
         )
-        labels = moved.select("node", "label")
+        workspace.drop(before, nearer)
         if moved.where("old != label").isEmpty():
-            return labels
+            workspace.drop(both)
+            return moved.select("node", "label")
+        labels = moved

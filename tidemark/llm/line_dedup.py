@@ -10,9 +10,10 @@ edit distance: the band of 2 * edits + 1 diagonals is one small integer per colu
 
 Lines linked directly or by others are one class; of all its occurrences the
 first (by doc_id, then text, then place; null ids last) stays and the others go.
-Within a bucket of the index lines are first compared with one line, a star; only
-lines then still in different classes are compared pair by pair, so groups of
-variants of one line do not make all pairs and no link is given up.
+Each line is first compared with one line only, the first of its fullest bucket of the
+index; buckets whose lines are then in different classes are compared with their first
+line; only lines still in different classes after that are compared pair by pair. So a group of
+variants of one line is linked by about as many pairs as it has members, and no link is given up.
 
 Shorter lines are left alone or, with `short_copies`, take part as exact copies unless blank; then the
 length only decides whether a line may have edits. A null text has no lines and stays null. Rows that repeat id and
@@ -94,9 +95,10 @@ def _keys(line: Column, edits: int) -> Column:
 class LineClasses:
     """Classes of the distinct lines of a table with columns doc_id and text."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, params: LineParams = LineParams()):
+    def __init__(self, spark: SparkSession, docs: DataFrame, params: LineParams = LineParams(),
+                 workspace: Workspace | None = None):
         self.spark, self.params, self.docs = prepare(spark), params, docs
-        self.workspace = Workspace(spark)
+        self.workspace = workspace or Workspace(spark)
         lines = self.occurrences().groupBy("line").agg(F.count("*").alias("n"))
         self.lines = self.workspace.stage(lines.withColumn("uid", F.monotonically_increasing_id()), "lines")
 
@@ -130,29 +132,48 @@ class LineClasses:
         keyed = self.lines.where(self._long()).select("uid", F.explode(_keys(F.col("line"), self.params.edits)).alias("k"))
         keyed = keyed.select("k.key", (F.col("uid") + F.when(F.col("k.probe"), _PROBE).otherwise(0)).alias("member"))
         buckets = keyed.groupBy("key").agg(F.min("member").alias("lead"), F.count("*").alias("n"))
-        buckets = self.workspace.stage(buckets.where((F.col("lead") < _PROBE) & (F.col("n") > 1)), "buckets")
+        stage, drop = self.workspace.stage, self.workspace.drop
+        buckets = stage(buckets.where((F.col("lead") < _PROBE) & (F.col("n") > 1)), "buckets")
         members = keyed.join(buckets, "key").select(
-            "key", "lead", (F.col("member") % _PROBE).alias("uid"), (F.col("member") >= _PROBE).alias("probe"))
-        members = self.workspace.stage(members, "members")
-        star = members.where("uid != lead").select(
-            F.least("lead", "uid").alias("a"), F.greatest("lead", "uid").alias("b")).distinct()
-        tested = self.workspace.stage(star, "tested")
+            "key", "lead", "n", (F.col("member") % _PROBE).alias("uid"), (F.col("member") >= _PROBE).alias("probe"))
+        members = stage(members, "members")
+        drop(buckets)
+        pair = (F.least("lead", "uid").alias("a"), F.greatest("lead", "uid").alias("b"))
+        fullest = members.where("uid != lead").groupBy("uid").agg(F.max(F.struct("n", "lead")).getField("lead").alias("lead"))
+        tested = stage(fullest.select(*pair).distinct(), "tested")
         links = self._confirm(tested)
+        named = self._still_open(members, components(links, self.workspace))
+        drop(members)
+        heads = named.select("key", F.col("uid").alias("head"), F.col("label").alias("head_label"), "probe").where(
+            "not probe").drop("probe").distinct()
+        star = named.join(heads, (named["key"] == heads["key"]) & (named["lead"] == heads["head"])).where(
+            "label != head_label").select(*pair).distinct()
+        star = stage(star.join(tested, ["a", "b"], "left_anti"), "star")
+        links = links.union(self._confirm(star))
         labels = components(links, self.workspace)
-        named = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(
-            "key", "uid", "probe", F.coalesce("label", "uid").alias("label"))
-        named = self.workspace.stage(named, "named")
-        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        still = self.workspace.stage(named.join(self.workspace.stage(mixed.select("key"), "mixed"), "key"), "open")
+        still = self._still_open(named.drop("label"), labels)
         index = still.where("not probe").select("key", F.col("uid").alias("x"), F.col("label").alias("label_x"))
         probes = still.select("key", F.col("uid").alias("y"), F.col("label").alias("label_y"))
         rest = index.join(probes, "key").where("x != y and label_x != label_y").select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        rest = self.workspace.stage(rest.join(tested, ["a", "b"], "left_anti"), "tested")
+        rest = stage(rest.join(tested.union(star), ["a", "b"], "left_anti"), "rest")
+        drop(named, still, tested, star)
         if not rest.isEmpty():
             labels = components(links.union(self._confirm(rest)), self.workspace)
+        drop(rest)
         return labels
 
+    def _still_open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """The members, with their label, of buckets whose lines are not in one class."""
+        named = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
+            "label", F.coalesce("label", "uid"))
+        named = self.workspace.stage(named, "named")
+        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        mixed = self.workspace.stage(mixed.select("key"), "mixed")
+        still = self.workspace.stage(named.join(mixed, "key"), "open")
+        self.workspace.drop(named, mixed)
+        return still
+
     def removed(self) -> DataFrame:
         """Occurrences that go: doc_id, doc, place."""
         labels = self.labels()
@@ -166,13 +187,14 @@ class LineClasses:
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "place")
         first = places.groupBy("label").agg(F.min(order).alias("first"))
         first = self.workspace.stage(first, "first")
+        self.workspace.drop(self.lines, shared)
         return places.join(first, "label").where(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "place") != F.col("first")).select(
             "doc_id", "doc", "place")
 
 
 def line_report(spark: SparkSession, docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, kept_sha256 (of the text that stays; null for a null text)."""
-    clean = _cleaned(spark, docs.select("doc_id", "text"), p)
+    clean = _cleaned(spark, docs.select("doc_id", "text"), p, None)
     return clean.select(
         F.col("row.doc_id").alias("doc_id"),
         F.when(F.col("row.text").isNull(), 0).otherwise(F.size(F.split("row.text", "\n"))).cast("long").alias("n_lines"),
@@ -181,9 +203,9 @@ def line_report(spark: SparkSession, docs: DataFrame, p: LineParams = LineParams
     )
 
 
-def _cleaned(spark: SparkSession, docs: DataFrame, p: LineParams) -> DataFrame:
+def _cleaned(spark: SparkSession, docs: DataFrame, p: LineParams, workspace: Workspace | None) -> DataFrame:
     """Rows (row, clean, gone): the document, its text without the removed lines, and their places."""
-    job = LineClasses(spark, docs.where("text is not null").select("doc_id", "text"), p)
+    job = LineClasses(spark, docs.where("text is not null").select("doc_id", "text"), p, workspace)
     gone = job.removed().groupBy("doc_id", "doc").agg(F.collect_set("place").alias("gone"))
     gone = job.workspace.stage(gone.withColumnRenamed("doc_id", "of").withColumnRenamed("doc", "hash"), "gone")
     rows = docs.select(F.struct("*").alias("row"), LineClasses.document(F.col("text")).alias("doc"))
@@ -195,8 +217,9 @@ def _cleaned(spark: SparkSession, docs: DataFrame, p: LineParams) -> DataFrame:
     return rows.select("row", clean.alias("clean"), "gone")
 
 
-def without_repeated_lines(spark: SparkSession, docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, p: LineParams = LineParams(),
+                           workspace: Workspace | None = None) -> DataFrame:
     """The documents with repeated lines taken out of their texts; a document may end up empty."""
-    clean = _cleaned(spark, docs, p)
+    clean = _cleaned(spark, docs, p, workspace)
     columns = [F.col("clean").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return clean.select(*columns)

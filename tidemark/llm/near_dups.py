@@ -6,14 +6,16 @@ from `bands_a * rows_a + bands_b * rows_b` minima, about the square root of what
 separate bands would take. Texts with equal shingle sets are one class from the
 start. Candidates are confirmed on full sets (64-bit shingle hashes).
 
-Within a bucket every class is compared with one only, its lead: the class that
-collides most. Let u have no link to its lead h. A class y of the same bucket that
-is similar to u then shares with u a shingle that h lacks, for otherwise u would
-share as much with h; the one exception is a y so much smaller than h that its size
-tells. So what is left are classes under the same lead, in different components,
-that share one of the first 20 % (and one) of their shingles that the lead lacks, in
-hash order - the usual prefix bound - or have such a size. They are confirmed too.
-No link is given up, and a group of copies costs about as many pairs as it has members.
+Each class is first compared with one lead only, of all its buckets the one that collides
+most: a group of copies is linked by about as many pairs as it has members. Buckets that then
+lie in one component are done. In every other bucket the lead most of its members have been
+compared with is the reference h, and the members that have not are compared with it too.
+Let u have no link to h. A class y of the same bucket that is similar to u then shares with u
+a shingle that h lacks, for otherwise u would share as much with h; the one exception is a y so
+much smaller than h that its size tells. So what is left are classes under the same reference,
+in different components, that share one of the first 20 % (and one) of their shingles that the
+reference lacks, in hash order - the usual prefix bound - or have such a size. They are
+confirmed too. No link is given up.
 
 Empty and null texts and texts of spaces have no set and are linked with nothing.
 A text with fewer words than a shingle has one shingle. Rows that repeat an id
@@ -131,18 +133,41 @@ class NearDuplicates:
         )
         self.classes = self.workspace.stage(found, "classes")
 
-    def _star(self) -> DataFrame:
-        """(a, b): the lead of each bucket of several classes with each other class of it."""
+    def _buckets(self) -> tuple[DataFrame, DataFrame]:
+        """(key, uid) of the buckets of several classes, and (uid, a): the lead of each class, itself if it leads all."""
         pairs = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
         keyed = self.classes.select("uid", F.explode(pairs).alias("key"))
-        shared = keyed.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
-        shared = self.workspace.stage(shared, "buckets")
-        members = self.workspace.stage(keyed.join(shared, "key"), "members")
-        degree = self.workspace.stage(members.groupBy("uid").agg(F.sum("crowd").alias("degree")), "degree")
+        stage, drop = self.workspace.stage, self.workspace.drop
+        shared = stage(keyed.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), "buckets")
+        members = stage(keyed.join(shared, "key"), "members")
+        degree = stage(members.groupBy("uid").agg(F.sum("crowd").alias("degree")), "degree")
         ranked = members.join(degree, "uid").groupBy("key").agg(F.max(F.struct("degree", "uid")).alias("top"))
-        leads = self.workspace.stage(ranked.select("key", F.col("top.uid").alias("a")), "leads")
-        star = members.join(leads, "key").where("uid != a").select("a", F.col("uid").alias("b")).distinct()
-        return self.workspace.stage(star, "star")
+        leads = stage(ranked, "leads")
+        homes = stage(members.join(leads, "key").groupBy("uid").agg(F.max("top").getField("uid").alias("a")), "homes")
+        drop(shared, degree, leads)
+        return members, homes
+
+    def _star(self) -> DataFrame:
+        """Compared pairs (a, b, shared, size_b, rest, linked) of a reference a and a class b: every class with its lead,
+        and every class of a bucket that these links do not put in one component with the bucket's reference."""
+        columns = ["a", "b", "shared", "size_b", "rest", "linked"]
+        stage, drop = self.workspace.stage, self.workspace.drop
+        members, homes = self._buckets()
+        first = self._compared(homes.where("uid != a").select("a", F.col("uid").alias("b")), columns)
+        labels = components(first.where("linked").select("a", "b"), self.workspace)
+        placed = stage(
+            homes.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(
+                "uid", F.col("a").alias("home"), F.coalesce("label", "uid").alias("label")), "placed")
+        named = stage(members.select("key", "uid").join(placed, "uid"), "named")
+        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        mixed = stage(named.join(stage(mixed.select("key"), "mixed"), "key"), "open")
+        often = mixed.groupBy("key", "home").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.max(F.struct("n", "home")).getField("home").alias("a"))
+        pairs = mixed.join(stage(often, "references"), "key").where("uid != a and home != a")
+        second = self._compared(stage(pairs.select("a", F.col("uid").alias("b")).distinct(), "pairs"), columns)
+        star = stage(first.union(second), "star")
+        drop(members, homes, placed, named, mixed, first, second)
+        return star
 
     def _compared(self, pairs: DataFrame, columns: list[str]) -> DataFrame:
         """Pairs (a, b) with what their full sets share, and whether that links them."""
@@ -156,7 +181,9 @@ class NearDuplicates:
             "a", "b", _comparer(self.params)("grams_a", "grams_b").alias("c")).select("a", "b", "c.*")
         p = self.params
         linked = p.similar_den * F.col("shared") >= p.similar_num * (F.col("size_a") + F.col("size_b") - F.col("shared"))
-        return self.workspace.stage(both.withColumn("linked", linked).select(*columns), "compared")
+        compared = self.workspace.stage(both.withColumn("linked", linked).select(*columns), "compared")
+        self.workspace.drop(sets)
+        return compared
 
     def _left_over(self, star: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs under one lead that are in different components and may still be similar."""
@@ -165,6 +192,7 @@ class NearDuplicates:
         crowds = star.groupBy("a").agg(F.count("*").alias("n"), F.max((~F.col("linked")).cast("int")).alias("loose"))
         crowds = self.workspace.stage(crowds.where("n > 1 and loose = 1").select("a"), "crowds")
         under = self.workspace.stage(under.join(crowds, "a", "left_semi"), "under")
+        self.workspace.drop(crowds)
 
         def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
             found = left.join(right, on).where("x != y and label_x != label_y")
@@ -180,11 +208,13 @@ class NearDuplicates:
         small = under.where(~F.col("linked") & (low <= high)).select(
             "a", F.col("b").alias("x"), F.col("label").alias("label_x"), F.explode(F.sequence(low, high)).alias("size_b"))
         smaller = pairs(small, named("y", "size_b"), ["a", "size_b"])
-        return self.workspace.stage(sharing.union(smaller).distinct(), "left_over")
+        found = self.workspace.stage(sharing.union(smaller).distinct(), "left_over")
+        self.workspace.drop(under)
+        return found
 
     def labels(self) -> DataFrame:
         """(node, label) of the classes that have a link."""
-        star = self._compared(self._star(), ["a", "b", "shared", "size_b", "rest", "linked"])
+        star = self._star()
         links = star.where("linked").select("a", "b")
         labels = components(links, self.workspace)
         rest = self._left_over(star, labels)
@@ -221,9 +251,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: TensorBands =
     )
 
 
-def without_near_duplicates(spark: SparkSession, docs: DataFrame, params: TensorBands = TensorBands()) -> DataFrame:
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, params: TensorBands = TensorBands(),
+                            workspace: Workspace | None = None) -> DataFrame:
     """The documents, one row of each component: the first with the smallest id. Rows without a set stay."""
-    job = NearDuplicates(spark, docs, params)
+    job = NearDuplicates(spark, docs, params, workspace)
     found = job.workspace.stage(job.result().select("uid", "label", "n_shingles",
                                                     F.expr("row.doc_id <=> component_id").alias("least")), "judged")
     keepers = found.where("n_shingles > 0 and least").groupBy("label").agg(F.min("uid").alias("uid")).select("uid")
