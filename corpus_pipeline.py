@@ -13,6 +13,18 @@ from tidemark.llm.near_dups import without_near_duplicates
 from tidemark.llm.toxicity import without_toxic
 from tidemark.workspace import Workspace
 
+_left: list[Workspace] = []
+
+
+def _workspace(spark: SparkSession) -> Workspace:
+    """A stage's own folder. The folder of the stage before goes: its result has been written and is reread from there,
+    so nothing reads what that stage staged on the way."""
+    while _left:
+        _left.pop().close()
+    _left.append(Workspace(spark))
+    return _left[-1]
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -23,16 +35,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines, short ones too, go from the texts; every document stays, an emptied one with an empty text."""
-    return without_repeated_lines(spark, docs, LineParams(short_copies=True))
+    return without_repeated_lines(spark, docs, LineParams(short_copies=True), _workspace(spark))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays; documents without words are in no group and stay."""
-    return without_near_duplicates(spark, docs)
+    return without_near_duplicates(spark, docs, workspace=_workspace(spark))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of `benchmark` go."""
+    _workspace(spark)
     return without_contaminated(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -57,5 +70,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = workspace.stage(stage(spark, docs, sf_dir), name)
+        before, docs = docs, workspace.stage(stage(spark, docs, sf_dir), name)
+        workspace.drop(before)
     return docs
