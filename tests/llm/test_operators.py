@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -245,13 +246,60 @@ def test_licences(spark):
         (6, "the license of the poets was discussed"), (1, "Released under the MIT License."),
     ], "doc_id long, text string")
     rows = licences.licences(spark, frame).collect()
-    found = Counter((r.doc_id, r.licence) for r in rows)
+    for unit in (True, False):  # the same counts by windows as by texts, lines and sentences
+        found = Counter((r.doc_id, r.licence) for r in rows if (r.unit == "window") == unit)
+        assert found[(1, "MIT-notice")] == 2 and found[(2, "CC-BY-NC-4.0")] == 1 and found[(3, "MIT-grant")] >= 1
+    found = Counter((r.doc_id, r.licence) for r in rows if r.unit != "window")
     assert found[(1, "MIT-notice")] == 2 and found[(2, "CC-BY-NC-4.0")] == 1 and found[(3, "MIT-grant")] >= 1
     assert not [r for r in rows if r.doc_id in (4, 5, 6)]
     for r in rows:
         assert r.dice >= licences.LEAST_DICE
 
 
+def _wrapped(text, mark, width=72):
+    return "\n".join(f"{mark} {line}" for line in textwrap.wrap(text, width - len(mark) - 1))
+
+
+@pytest.mark.parametrize("mark", ["//", "#", " *", ""])
+def test_licences_across_lines(spark, mark):
+    """Notices wrapped as comments directly above source, and inside one long paragraph, are found once, where they begin."""
+    source = "\n".join(f"value{k} = compute(value{k - 1}, {k})" for k in range(1, 41))
+    names = ["MIT-grant", "Apache-2.0-header", "MPL-2.0-header", "GPL-3.0-header"]
+    prose = "we spoke about the rules of the house and " * 60
+    frame = spark.createDataFrame(
+        [(k, f"{_wrapped(licences.TEMPLATES[n], mark)}\n{source}", "x") for k, n in enumerate(names)]
+        + [(10 + k, f"{prose}{licences.TEMPLATES[n]} {prose}", "y") for k, n in enumerate(names)]
+        + [(20, f"{source}\n{source}", "z"), (21, prose, "z"), (22, "licensed under", "z"), (23, "\n" * 50, "z")]
+        + [(30, (licences.TEMPLATES["MIT-notice"] + " ") * 700, "long")],
+        "doc_id long, text string, words string")  # a column that clashes with an inner name
+    rows = licences.licences(spark, frame).where("unit = 'window'").collect()
+    found = Counter((r.doc_id, r.licence, r.place) for r in rows)
+    at = len(prose.split()) + 1
+    for k, name in enumerate(names):
+        assert found.pop((k, name, 1)) == 1 and found.pop((10 + k, name, at)) == 1
+    # The header begins with the notice.
+    assert found.pop((1, "Apache-2.0-notice", 1)) == 1 and found.pop((11, "Apache-2.0-notice", at)) == 1
+    assert found == {(30, "MIT-notice", 5 * k + 1): 1 for k in range(700)}
+
+
+def test_licence_keys_lose_no_match():
+    """Any unit that matches a template holds one of its key bigrams: random edits of templates against the pattern."""
+    draw = random.Random(3)
+    keys = licences.key_rows(licences.TEMPLATES, licences.LEAST_DICE)
+    matched = 0
+    for name, text in licences.TEMPLATES.items():
+        words = licences._template_words(text)
+        grams = {f"{a} {b}" for a, b in zip(words, words[1:])}
+        own = {r[0] for r in keys if r[1] == name}
+        for _ in range(300):
+            unit = [w if draw.random() > 0.12 else draw.choice(words + ["x"]) for w in words if draw.random() > 0.1]
+            other = {f"{a} {b}" for a, b in zip(unit, unit[1:])}
+            if other and 2 * len(grams & other) / (len(grams) + len(other)) >= licences.LEAST_DICE:
+                matched += 1
+                assert own & other, (name, unit)
+    assert matched > 500
+
+
 def test_decontamination(spark):
     draw = random.Random(2)
     vocabulary = ["".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 8))) for _ in range(400)]

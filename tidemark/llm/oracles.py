@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express. Fits, language models, filters and approximate
 substring matching have no such form and are tested by brute force or held-out accuracy."""
 
-from tidemark.llm.licences import LEAST_DICE, TEMPLATES
+from tidemark.llm.licences import LEAST_DICE, TEMPLATES, key_rows
 from tidemark.llm.secrets import BASE, RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -45,6 +45,11 @@ SELECT n.doc_id, n_shingles, min(reach.y) AS component_id, n.doc_id = min(reach.
 FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n_shingles
 """
 
+
+def _licence_keys() -> str:
+    return ", ".join(f"({_quoted(r[0])}, {_quoted(r[1])}, {r[2]}, {r[3]})" for r in key_rows(TEMPLATES, LEAST_DICE))
+
+
 _NORMAL = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
 _LICENCES = rf"""
 WITH tw AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(TEMPLATES.items()))})
@@ -60,12 +65,33 @@ u AS (SELECT doc_id, 'text' AS unit, 0 AS place, replace(lines, chr(10), ' ') AS
       UNION ALL SELECT doc_id, 'sentence', unnest(range(1, len(ss) + 1)), unnest(ss) FROM l WHERE len(ss) > len(ll)),
 uw AS (SELECT doc_id, unit, place::INTEGER AS place, [x for x in string_split(words, ' ') if x <> ''] AS w FROM u),
 ug AS (SELECT doc_id, unit, place, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS grams
-       FROM uw WHERE len(w) BETWEEN 2 AND 2000),
+       FROM uw WHERE len(w) >= 2),
 c AS (SELECT doc_id, unit, place, licence, len(grams)::INTEGER AS n_bigrams, len(tgrams) AS size,
       len(list_intersect(grams, tgrams))::INTEGER AS n_shared
-      FROM ug, t WHERE len(grams) BETWEEN len(tgrams) / 2 AND len(tgrams) * 2)
+      FROM ug, t WHERE len(grams) BETWEEN len(tgrams) / 2 AND len(tgrams) * 2),
+k AS (SELECT * FROM (VALUES {_licence_keys()}) v(gram, licence, shift, words)),
+tx AS (SELECT doc_id, row_number() OVER () AS copy,
+       [x for x in string_split(replace(lines, chr(10), ' '), ' ') if x <> ''] AS w FROM d),
+ti AS (SELECT copy, unnest(range(1, len(w))) AS i FROM tx),
+tp AS (SELECT ti.copy, ti.i - 1 AS pos, tx.w[ti.i] || ' ' || tx.w[ti.i + 1] AS gram FROM ti JOIN tx USING (copy)),
+th AS (SELECT DISTINCT copy, licence, greatest(pos - shift, 0) AS start, pos - shift + words AS stop, words
+       FROM tp JOIN k USING (gram)),
+tv AS (SELECT doc_id, copy, licence, start, words, w[start + 1 : stop] AS v FROM th JOIN tx USING (copy)),
+tz AS (SELECT doc_id, copy, licence, start, words, list_distinct([v[i] || ' ' || v[i + 1] for i in range(1, len(v))]) AS grams
+       FROM tv WHERE len(v) > 1),
+ts AS (SELECT doc_id, copy, licence, start, words, len(grams)::INTEGER AS n_bigrams, len(tgrams) AS size,
+       len(list_intersect(grams, tgrams))::INTEGER AS n_shared FROM tz JOIN t USING (licence)),
+tm AS (SELECT *, 2 * n_shared / (n_bigrams + size)::DOUBLE AS dice FROM ts
+       WHERE n_bigrams BETWEEN size / 2 AND size * 2 AND 2 * n_shared / (n_bigrams + size)::DOUBLE >= {LEAST_DICE}),
+tr AS (SELECT *, coalesce(2 * (start - lag(start) OVER o) > words, true)::INTEGER AS fresh FROM tm
+       WINDOW o AS (PARTITION BY copy, licence ORDER BY start, n_bigrams, n_shared)),
+tn AS (SELECT *, sum(fresh) OVER (PARTITION BY copy, licence ORDER BY start, n_bigrams, n_shared
+       ROWS UNBOUNDED PRECEDING) AS run FROM tr),
+tb AS (SELECT * FROM tn QUALIFY row_number() OVER (PARTITION BY copy, licence, run
+       ORDER BY dice DESC, start, n_bigrams DESC, n_shared DESC) = 1)
 SELECT doc_id, unit, place, licence, n_bigrams, n_shared, 2 * n_shared / (n_bigrams + size)::DOUBLE AS dice
 FROM c WHERE 2 * n_shared / (n_bigrams + size)::DOUBLE >= {LEAST_DICE}
+UNION ALL SELECT doc_id, 'window', (start + 1)::INTEGER, licence, n_bigrams, n_shared, dice FROM tb
 """
 
 _LINES = r"""
