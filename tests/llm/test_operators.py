@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -441,6 +442,37 @@ def test_salvage_within_a_member(damage):
         len(data) if damage == "cut" else len(whole))
 
 
+def test_gzip_reader_is_linear():
+    """Four times the members take about four times the time, not sixteen."""
+    draw = random.Random(5)
+    members = [gzip.compress(record(k, draw.randbytes(4000)), 1) for k in range(500)]
+
+    def seconds(count):
+        data, best = b"".join(members[k % 500] for k in range(count)), 1e9
+        for _ in range(3):
+            begin = time.perf_counter()
+            found = sum(isinstance(f, tuple) for _, _, f in warc.salvage(data))
+            best = min(best, time.perf_counter() - begin)
+            assert found == count
+        return best
+
+    small, large = seconds(1000), seconds(4000)
+    assert large < 8 * small
+
+
+def test_salvage_beyond_one_step():
+    """Members longer than the reader's steps, one of them damaged, with exact offsets."""
+    draw = random.Random(6)
+    parts = [gzip.compress(record(k, draw.randbytes(n)), 1) for k, n in enumerate((3_000_000, 10, 9000, 70_000))]
+    bad = bytearray(parts[2])
+    bad[-6] ^= 255  # the checksum at its end
+    data = parts[0] + parts[1] + bytes(bad) + parts[3]
+    found = list(warc.salvage(data))
+    whole = [(at, at + size, f[0]["warc-record-id"]) for at, size, f in found if isinstance(f, tuple)]
+    a, b, c = len(parts[0]), len(parts[0] + parts[1]), len(parts[0] + parts[1] + parts[2])
+    assert (0, a, "<urn:page:0>") in whole and (a, b, "<urn:page:1>") in whole and (c, len(data), "<urn:page:3>") in whole
+
+
 def test_language(spark, docs, empty):
     rows = []
     for k in range(90):

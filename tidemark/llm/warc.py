@@ -11,7 +11,10 @@ A record must have a version line, a valid length, its closing blank lines and,
 where it states one, the right block digest. After a failed check the reader
 searches for the next member or version line that passes, recovers from there, and
 logs the bytes between as a gap. An archive of no bytes has neither records nor gaps.
-A task holds the archives of its partition, at most spark.sql.files.maxPartitionBytes or one archive.
+A task holds one archive at a time, as one binary value: archives of 2 GiB or more cannot be read and fail the job.
+Time grows with the bytes of an archive, whatever its number of members. The writer ends a file after
+`records_per_file` records, so with payloads beyond 100 KB on average a smaller number must be given.
+Payloads, however long, are written and read whole.
 """
 
 from __future__ import annotations
@@ -157,11 +160,11 @@ def _plain(data: bytes) -> Iterator[tuple[int, int, object]]:
 def _before_fault(data: bytes, at: int) -> tuple[bytes, list[tuple[int, int]], bool]:
     """What a damaged member yields before its fault, (bytes out, bytes in) on the way, and whether it is only cut off."""
     inflate, parts, marks, out = zlib.decompressobj(31), [], [], 0
-    step, cut = max(1, (len(data) - at) >> 16), True
+    step, cut, view = max(1, min(1 << 12, (len(data) - at) >> 16)), True, memoryview(data)
     while at < len(data) and not inflate.eof:
         before = inflate.copy()
         try:
-            part = inflate.decompress(data[at : at + step])
+            part = inflate.decompress(view[at : at + step])
         except zlib.error:
             if step == 1:
                 cut = False
@@ -188,16 +191,23 @@ def _rescued(data: bytes, at: int) -> tuple[list, int]:
     return [r for _, r in found], next(read for out, read in marks if out >= found[-1][0])
 
 
+def _inflated(view: memoryview, at: int) -> tuple[bytes, int]:
+    """The member at `at`, inflated in growing steps, and where it ends: no more of the archive is touched than that."""
+    inflate, parts, step = zlib.decompressobj(31), [], 1 << 12
+    while at < len(view) and not inflate.eof:
+        parts.append(inflate.decompress(view[at : at + step]))
+        at, step = min(at + step, len(view)), min(2 * step, 1 << 20)
+    if not inflate.eof:
+        raise zlib.error("truncated member")
+    return b"".join(parts), at - len(inflate.unused_data)
+
+
 def _members(data: bytes) -> Iterator[tuple[int, int, object]]:
     """As _plain, with the offsets of gzip members; a damaged member yields its records before the fault."""
-    at, gap, problem = 0, None, ""
+    at, gap, problem, view = 0, None, "", memoryview(data)
     while at < len(data):
-        inflate = zlib.decompressobj(31)
-        inside: list = []
         try:
-            text = inflate.decompress(data[at:])
-            if not inflate.eof:
-                raise zlib.error("truncated member")
+            text, end = _inflated(view, at)
             inside = list(_plain(text))
             if not any(isinstance(r, tuple) for _, _, r in inside):
                 raise zlib.error("no valid record in member")
@@ -217,7 +227,6 @@ def _members(data: bytes) -> Iterator[tuple[int, int, object]]:
         if gap is not None:
             yield gap, at, problem
             gap = None
-        end = len(data) - len(inflate.unused_data)
         for _, _, record in inside:
             yield at, end, record
         at = end
