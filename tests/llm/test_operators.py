@@ -239,6 +239,18 @@ def test_secrets_and_ledger(spark, tmp_path):
     assert Counter(r.rule for r in done)["assign"] == 1
 
 
+def test_secrets_of_repeated_rows_long_texts_and_no_rows(spark, tmp_path):
+    """Rows that repeat a path and its text, over many partitions, give each span once; so do equal texts of other paths."""
+    text = "".join(f"{'filler ' * (k % 50)}token=abcdefgh{k:06d} {k:032x} " for k in range(3000))
+    frame = spark.createDataFrame([(7, text)] * 12 + [(8, text)], "doc_id long, text string").repartition(9)
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    rows = secrets.secrets(spark, frame, ledger).collect()
+    expected = ",".join(f"{['assign', 'access', 'hex'][p]}:{s}:{e}" for s, p, e in secret_spans(text))
+    assert len(rows) == 13 and {r.spans for r in rows} == {expected}
+    nothing = secrets.Ledger(spark, str(tmp_path / "none"))
+    assert secrets.secrets(spark, frame.where("false"), nothing).count() == 0 and nothing.scanned.isEmpty()
+
+
 def test_licences(spark):
     grant = licences.TEMPLATES["MIT-grant"]
     frame = spark.createDataFrame([

@@ -8,7 +8,8 @@ all paths that ever held the blob. A rule whose version changes is scanned anew.
 A match is kept if its value (the whole match or one group) is long enough; the
 pattern runs leftmost and non-overlapping before that test. Spans are code
 points, end exclusive. A null text is an empty blob; a null path is a path of its
-own; repeated rows are reported as often as they occur.
+own; repeated rows are reported as often as they occur. Texts are scanned whole,
+however long; an empty table scans nothing and reports nothing.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ class Ledger:
         unseen = workspace.stage(unseen, "unseen").withColumnRenamed("blob", "todo")
         texts = versions.select("path", "text", blob_of(F.col("text")).alias("blob"))
         texts = texts.join(unseen, (texts["blob"] == unseen["todo"]) & texts["path"].eqNullSafe(unseen["at"])).select(
-            "blob", "missing", "text", F.monotonically_increasing_id().alias("copy")
+            "blob", "missing", "text"
         )
         hits = F.array(*[
             F.struct(
@@ -100,13 +101,15 @@ class Ledger:
             )
             for r in self.rules
         ])
-        found = texts.select("blob", "copy", F.explode(hits).alias("h")).where("h.matches is not null").select(
-            "blob", "copy", "h.rule", "h.version", "h.least", F.posexplode("h.matches").alias("at", "m")
-        ).where("m.size is not null")
-        through = Window.partitionBy("copy", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-        stop = F.sum(F.col("m.gap") + F.col("m.size")).over(through)
-        spans = found.withColumn("stop", stop).where("m.value >= least").select(
-            "blob", "rule", "version", (F.col("stop") - F.col("m.size")).alias("start"), "stop"
+        found = texts.select("blob", F.explode(hits).alias("h")).where("h.matches is not null").select(
+            "blob", "h.rule", "h.version", "h.least", F.posexplode("h.matches").alias("at", "m")
+        ).where("m.size is not null").select("blob", "rule", "version", "least", "at", "m.gap", "m.size", "m.value")
+        # Rows that repeat a path and its text give the same matches: one of each by blob, whichever task made it.
+        found = found.repartition("blob", "rule").dropDuplicates(["blob", "rule", "at"])
+        through = Window.partitionBy("blob", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+        stop = F.sum(F.col("gap") + F.col("size")).over(through)
+        spans = found.withColumn("stop", stop).where("value >= least").select(
+            "blob", "rule", "version", (F.col("stop") - F.col("size")).alias("start"), "stop"
         )
         spans.write.mode("append").parquet(f"{self.path}/findings")
         done = unseen.select(F.col("todo").alias("blob"), F.explode("missing").alias("pair")).select(
