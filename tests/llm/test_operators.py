@@ -178,6 +178,17 @@ def test_pipeline_removes_short_repeated_lines(spark):
     assert clean == {0: texts[0], 1: "two\n", 2: f"{notice}x\n \n \n", 3: ""}
 
 
+def test_line_report_with_short_lines(spark):
+    """Short lines go as exact copies only; a 20-character copy goes, a short line one letter off stays, blanks stay."""
+    texts = ["All rights reserved!\n \nshort line", "All rights reserved!\n \nshort lime\nshort line", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(3, "")], "doc_id long, text string")
+    rows = line_dedup.line_report(spark, frame, line_dedup.LineParams(short_copies=True)).collect()
+    digest = lambda t: t if t is None else hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.kept_sha256 or "") for r in rows) == sorted([
+        (0, 3, 0, digest(texts[0])), (1, 4, 2, digest(" \nshort lime")), (2, 0, 0, ""), (3, 1, 0, digest("")),
+        (3, 1, 0, digest(""))])
+
+
 def test_mixing(spark, docs, empty):
     plan = mixing.mixing_plan(spark, docs).collect()
     assert Counter((r.doc_id, r.size) for r in plan) == Counter((r.doc_id, len(words(r.text))) for r in docs.collect())

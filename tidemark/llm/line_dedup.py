@@ -15,8 +15,8 @@ index; buckets whose lines are then in different classes are compared with their
 line; only lines still in different classes after that are compared pair by pair. So a group of
 variants of one line is linked by about as many pairs as it has members, and no link is given up.
 
-Shorter lines are left alone or, with `short_copies`, take part as exact copies unless blank; then the
-length only decides whether a line may have edits. A null text has no lines and stays null. Rows that repeat id and
+Shorter lines are left alone or, with `short_copies` (the query and the pipeline), take part as exact copies
+unless blank; then the length only decides whether a line may have edits. A null text has no lines and stays null. Rows that repeat id and
 text are one document and are treated alike.
 """
 

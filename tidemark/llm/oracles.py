@@ -97,10 +97,10 @@ UNION ALL SELECT doc_id, 'window', (start + 1)::INTEGER, licence, n_bigrams, n_s
 _LINES = r"""
 WITH RECURSIVE d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ll FROM documents),
 o AS (SELECT doc_id, unnest(range(0, len(ll))) AS place, unnest(ll) AS line FROM d),
-e AS (SELECT * FROM o WHERE length(line) >= 40),
+e AS (SELECT * FROM o WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 l AS (SELECT line, length(line) AS n, min(doc_id * 10000000 + place) AS first FROM e GROUP BY line),
 links AS (SELECT a.first AS x, b.first AS y FROM l a JOIN l b ON b.n BETWEEN a.n AND a.n + 2 AND a.first <> b.first
-          WHERE levenshtein(a.line, b.line) <= 2),
+          WHERE a.n >= 40 AND levenshtein(a.line, b.line) <= 2),
 both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach(x, y) AS (SELECT x, x FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
 stay AS (SELECT x, min(y) AS y FROM reach GROUP BY x),

@@ -30,7 +30,8 @@ def op3_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.line_report(spark, _read(spark, folder, "documents"))
+    params = line_dedup.LineParams(short_copies=True)
+    return line_dedup.line_report(spark, _read(spark, folder, "documents"), params)
 
 
 def op5_perplexity(spark: SparkSession, folder: str) -> DataFrame:
