@@ -12,6 +12,7 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -372,7 +373,6 @@ def test_quality_base_counts(spark, docs):
 
 
 def test_language_model_is_a_distribution(spark, docs, workspace):
-    import numpy as np
 
     named = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
     model = perplexity.learn(spark, named, perplexity.PerplexityParams(word_share=1e-3, gram_share=1e-9), workspace)
@@ -535,6 +535,58 @@ def test_toxicity_learns_an_interaction(spark, docs, empty):
     assert toxicity.toxicity(spark, docs, labels.limit(0)).where("predicted = 1").isEmpty()
 
 
+def test_toxicity_of_terms_that_matter_only_together(spark):
+    draw, rows, marks = random.Random(4), [], []
+    vocabulary = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(3, 9))) for _ in range(300)]
+    for k in range(2000):
+        one, other = draw.random() < 0.5, draw.random() < 0.5
+        text = [draw.choice(vocabulary) for _ in range(40)] + ["zorkan"] * one + ["quiblet"] * other
+        draw.shuffle(text)
+        rows.append((k, " ".join(text)))
+        marks.append((k, int(one != other)))
+    # Repeated ids: the least text counts, whatever the order of the rows.
+    rows += [(k, "zzz zorkan quiblet") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    found = toxicity.toxicity(spark, docs, labels).collect()
+    truth = dict(marks)
+    held = [r for r in found if r.held_out and r.doc_id >= 50]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) > 0.95 * len(held)
+    again = toxicity.toxicity(spark, docs.orderBy(F.desc("text")), labels).collect()
+    assert Counter((r.doc_id, round(r.score, 9)) for r in again) == Counter((r.doc_id, round(r.score, 9)) for r in found)
+
+
+def test_interacting_terms_by_loops():
+    draw, p = random.Random(6), toxicity.FitParams(pair_z=2.5)
+    size, rows = 300, []
+    for _ in range(1500):
+        held = [int(draw.random() < 0.15) for _ in range(size)]
+        rows.append((held, (held[3] ^ held[290]) or draw.random() < 0.05))
+    packed = np.packbits(np.array([held for held, _ in rows], np.uint8), axis=1)
+    toxic = np.array([bool(t) for _, t in rows])
+    found = set().union(*(toxicity.interacting(packed, toxic, size, first, p) for first in range(0, size, 256)))
+    sets = [{r for r, (held, _) in enumerate(rows) if held[c]} for c in range(size)]
+    bad, everything, expected = {r for r, (_, t) in enumerate(rows) if t}, set(range(len(rows))), set()
+    for a in range(size):
+        for b in range(a + 1, size):
+            cells = sets[a] & sets[b], sets[a] - sets[b], sets[b] - sets[a], everything - sets[a] - sets[b]
+            if min(map(len, cells)) < p.pair_rows:
+                continue
+            share = [(len(c & bad) + 0.5) / (len(c) + 1) for c in cells]
+            spread = sum(s * (1 - s) / (len(c) + 1) for s, c in zip(share, cells))
+            if abs(share[0] - share[1] - share[2] + share[3]) >= p.pair_z * spread**0.5:
+                expected |= {a, b}
+    assert {3, 290} <= found == expected
+
+
+def test_toxicity_held_out(spark):
+    tables = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    docs, labels = tables
+    found = toxicity.toxicity(spark, docs, labels).join(labels, "doc_id").where("held_out and toxic is not null")
+    n = {(r.toxic, r.predicted): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n[1, 0]) and n[1, 1] >= 0.95 * (n[1, 1] + n.get((0, 1), 0))
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert near_dups.near_duplicates(spark, empty).count() == 0

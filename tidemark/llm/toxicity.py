@@ -6,13 +6,16 @@ products of factor vectors of the terms that occur together. Terms enter by
 presence; hashes have `hash_bits` bits.
 
 It is fitted on at most `fit_rows` labelled rows, those with the smallest hash of
-their id. Terms are chosen on these rows by their z-score between the two
-classes; the chosen ones (at most 2 ** hash_bits, in practice some hundred) are
-all that reaches the driver, and the fitted weights are broadcast.
+their id. Terms are chosen on these rows by their z-score between the two classes, and in
+pairs: of any two terms that each `pair_share` of the rows hold and as many lack, both enter
+if the share of label 1 with both differs from what the shares with either one add up to. So
+terms enter that say nothing alone. Pairs are counted by matrix products over the rows' presence
+bits (fit_rows times the number of such terms), which reach the driver and are broadcast; of
+the rest only the chosen terms (at most 2 ** hash_bits) do, and the fitted weights are broadcast.
 
 Empty and null texts have no term and get the score of the intercept. Labels are
-the greatest non-null label of an id. With no labelled rows every score is 0; with
-labels of one class it is that class.
+the greatest non-null label of an id; of a labelled id with several texts the least one is learnt
+from. With no labelled rows every score is 0; with labels of one class it is that class.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from tidemark.workspace import Workspace
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6, 7)
+_COLUMNS, _ROWS = 256, 1024  # of one step of counting pairs
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,9 @@ class FitParams:
     hash_bits: int = 18
     least_rows: int = 3
     least_z: float = 3.5
+    pair_share: float = 0.02
+    pair_rows: int = 10
+    pair_z: float = 6.0
     factors: int = 8
     epochs: int = 30
     batch: int = 128
@@ -105,6 +112,61 @@ def fit(rows: list[list[int]], labels: np.ndarray, terms: list[int], p: FitParam
     return Machine(index, bias, linear, factors, p.hash_bits)
 
 
+def interacting(packed: np.ndarray, toxic: np.ndarray, size: int, first: int, p: FitParams) -> set[int]:
+    """Columns that interact, of the pairs of columns `first` to `first` + 255 with all from `first` on.
+
+    `packed` holds `size` presence bits a row. The contrast is the share of label 1 with both terms, less that with
+    the one, less that with the other, plus that with neither; each of the four needs `pair_rows` rows.
+    """
+    width = min(_COLUMNS, size - first)
+    with_both = {False: np.zeros((size - first, width), np.float32), True: np.zeros((size - first, width), np.float32)}
+    single = {False: np.zeros(size - first, np.float32), True: np.zeros(size - first, np.float32)}
+    for k in range(0, len(packed), _ROWS):
+        present = np.unpackbits(packed[k : k + _ROWS], axis=1, count=size)[:, first:].astype(np.float32)
+        for label in (False, True):
+            part = present[toxic[k : k + _ROWS] == label]
+            with_both[label] += part.T @ part[:, :width]
+            single[label] += part.sum(axis=0)
+    rows = {label: np.float32((toxic == label).sum()) for label in (False, True)}
+    cells = {}
+    for label, both in with_both.items():
+        one, other = single[label][:, None], single[label][None, :width]
+        cells[label] = both, one - both, other - both, rows[label] - one - other + both
+    contrast, spread, enough = 0.0, 0.0, True
+    for sign, good, bad in zip((1, -1, -1, 1), cells[False], cells[True]):
+        share = (bad + 0.5) / (good + bad + 1)
+        contrast, spread = contrast + sign * share, spread + share * (1 - share) / (good + bad + 1)
+        enough &= good + bad >= p.pair_rows
+    found = np.nonzero(enough & (np.abs(contrast) >= p.pair_z * np.sqrt(spread)))
+    return {first + int(k) for side in found for k in np.unique(side)}
+
+
+def _paired(spark: SparkSession, rows: DataFrame, counts: DataFrame, total: int, p: FitParams) -> set[int]:
+    """Terms of pairs that interact."""
+    usual = F.least(F.col("n"), total - F.col("n")) >= max(p.pair_share * total, p.pair_rows)
+    common = np.array(sorted(r[0] for r in counts.where(usual).select("term").collect()), np.int64)
+    if len(common) < 2:
+        return set()
+
+    @F.pandas_udf("binary")
+    def bits(terms: pd.Series) -> pd.Series:
+        return pd.Series([np.packbits(np.isin(common, t)).tobytes() for t in terms], dtype=object)
+
+    found = rows.select("toxic", bits("terms").alias("bits")).toPandas()
+    packed = np.frombuffer(b"".join(found["bits"]), np.uint8).reshape(len(found), -1)
+    shared = spark.sparkContext.broadcast((packed, found["toxic"].to_numpy() == 1))
+
+    def screen(batches):
+        for batch in batches:
+            for first in batch["id"]:
+                yield pd.DataFrame({"at": sorted(interacting(*shared.value, len(common), int(first), p))}, dtype="int64")
+
+    steps = -(-len(common) // _COLUMNS)
+    hits = spark.range(0, len(common), _COLUMNS, steps).mapInPandas(screen, "at long").distinct().collect()
+    shared.destroy()
+    return {int(common[r[0]]) for r in hits}
+
+
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, p: FitParams = FitParams()) -> Machine:
     """Fit on labelled rows of `docs` (doc_id, text) and `labels` (doc_id, toxic)."""
     prepare(spark)
@@ -122,24 +184,28 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, p: FitParams
         return pd.Series([sorted(hashed_terms(t, bits)) for t in texts], dtype=object)
 
     # At most fit_rows ids of a few bytes: bounded by the parameter.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min("text").alias("text"))
     rows = workspace.stage(rows.select("doc_id", "toxic", terms_of("text").alias("terms")), "fit_rows")
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    counts = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+    counts = workspace.stage(rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("toxic").alias("bad"), F.count("*").alias("n")
-    )
+    ), "term_counts")
     gap = F.abs(F.col("bad") / max(bad, 1) - (F.col("n") - F.col("bad")) / max(good, 1))
     pooled = (F.col("n") + 1) / (bad + good + 2)
     spread = F.sqrt(pooled * (1 - pooled) * (1 / max(bad, 1) + 1 / max(good, 1)))
     picked = counts.where(F.col("n") >= p.least_rows).where(gap >= p.least_z * spread).select("term")
-    terms = sorted(r[0] for r in picked.collect())
-    known = F.broadcast(picked)
-    flat = rows.select("doc_id", F.explode("terms").alias("term")).join(known, "term")
-    lists = flat.groupBy("doc_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
-    data = rows.select("doc_id", "toxic").join(lists, "doc_id", "left").orderBy("doc_id").collect()
+    terms = sorted({r[0] for r in picked.collect()} | (_paired(spark, rows, counts, bad + good, p) if bad and good else set()))
+    known = np.array(terms, np.int64)
+
+    @F.pandas_udf("array<int>")
+    def known_of(lists: pd.Series) -> pd.Series:
+        return pd.Series([np.intersect1d(t, known).tolist() for t in lists], dtype=object)
+
+    data = rows.select("doc_id", "toxic", known_of("terms").alias("terms")).orderBy("doc_id").collect()
     workspace.close()
-    return fit([r["terms"] or [] for r in data], np.array([r["toxic"] for r in data], float), terms, p)
+    return fit([r["terms"] for r in data], np.array([r["toxic"] for r in data], float), terms, p)
 
 
 def score_column(spark: SparkSession, machine: Machine):
