@@ -7,11 +7,13 @@ presence; hashes have `hash_bits` bits.
 
 It is fitted on at most `fit_rows` labelled rows, those with the smallest hash of
 their id. Terms are chosen on these rows by their z-score between the two classes, and in
-pairs: of any two terms that each `pair_share` of the rows hold and as many lack, both enter
+pairs: of any two whole words that each `pair_share` of the rows hold and as many lack, both enter
 if the share of label 1 with both differs from what the shares with either one add up to. So
-terms enter that say nothing alone. Pairs are counted by matrix products over the rows' presence
-bits (fit_rows times the number of such terms), which reach the driver and are broadcast; of
-the rest only the chosen terms (at most 2 ** hash_bits) do, and the fitted weights are broadcast.
+words enter that say nothing alone. Pairs are counted by matrix products over the rows' presence
+bits (fit_rows times the number of such words), which reach the driver and are broadcast; of
+the rest only the chosen terms (at most 2 ** hash_bits) and their places in the rows do, and the
+fitted weights are broadcast. Prefixes are in no pair: a prefix that two words share changes its
+meaning with every word of their languages, which the words themselves tell better.
 
 Empty and null texts have no term and get the score of the intercept. Labels are
 the greatest non-null label of an id; of a labelled id with several texts the least one is learnt
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import folder_remainder, prepare
+from tidemark.llm.text import folder_remainder, mix, prepare
 from tidemark.workspace import Workspace
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -46,6 +48,7 @@ class FitParams:
     pair_share: float = 0.02
     pair_rows: int = 10
     pair_z: float = 6.0
+    pair_gain: float = 0.3
     factors: int = 8
     epochs: int = 30
     batch: int = 128
@@ -58,8 +61,15 @@ class FitParams:
 def hashed_terms(text: str | None, bits: int) -> set[int]:
     words = set(_LETTERS.findall((text or "").lower()))
     terms = words | {f"^{w[:n]}" for w in words for n in _PREFIXES}
-    shift = 32 - bits
-    return {xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) >> shift for t in terms}
+    return _hashed(terms, bits)
+
+
+def hashed_words(text: str | None, bits: int) -> set[int]:
+    return _hashed(set(_LETTERS.findall((text or "").lower())), bits)
+
+
+def _hashed(terms: set[str], bits: int) -> set[int]:
+    return {xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) >> (32 - bits) for t in terms}
 
 
 class Machine:
@@ -77,8 +87,8 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(rows: list[list[int]], labels: np.ndarray, terms: list[int], p: FitParams) -> Machine:
-    """Minibatch Adagrad on the logistic loss."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, terms: list[int], p: FitParams) -> Machine:
+    """Minibatch Adagrad on the logistic loss. `terms` ascend; each row holds some of them."""
     index = {t: k for k, t in enumerate(terms)}
     share = float(labels.mean()) if len(labels) else 0.0
     random = np.random.default_rng(p.seed)
@@ -87,7 +97,7 @@ def fit(rows: list[list[int]], labels: np.ndarray, terms: list[int], p: FitParam
         return Machine(index, 40.0 if share else -40.0, linear, factors * 0, p.hash_bits)
     bias = float(np.log(share / (1 - share)))
     seen_bias, seen_linear, seen_factors = 1e-3, np.full(len(terms), 1e-3), np.full(factors.shape, 1e-3)
-    places = [np.array([index[t] for t in row], int) for row in rows]
+    places = [np.searchsorted(terms, row) for row in rows]
     for _ in range(p.epochs):
         order = random.permutation(len(rows))
         for start in range(0, len(order), p.batch):
@@ -116,7 +126,8 @@ def interacting(packed: np.ndarray, toxic: np.ndarray, size: int, first: int, p:
     """Columns that interact, of the pairs of columns `first` to `first` + 255 with all from `first` on.
 
     `packed` holds `size` presence bits a row. The contrast is the share of label 1 with both terms, less that with
-    the one, less that with the other, plus that with neither; each of the four needs `pair_rows` rows.
+    the one, less that with the other, plus that with neither; each of the four needs `pair_rows` rows, and the
+    contrast `pair_z` deviations and `pair_gain`, as with many rows small contrasts are sure ones too.
     """
     width = min(_COLUMNS, size - first)
     with_both = {False: np.zeros((size - first, width), np.float32), True: np.zeros((size - first, width), np.float32)}
@@ -137,22 +148,33 @@ def interacting(packed: np.ndarray, toxic: np.ndarray, size: int, first: int, p:
         share = (bad + 0.5) / (good + bad + 1)
         contrast, spread = contrast + sign * share, spread + share * (1 - share) / (good + bad + 1)
         enough &= good + bad >= p.pair_rows
-    found = np.nonzero(enough & (np.abs(contrast) >= p.pair_z * np.sqrt(spread)))
+    found = np.nonzero(enough & (np.abs(contrast) >= np.maximum(p.pair_gain, p.pair_z * np.sqrt(spread))))
     return {first + int(k) for side in found for k in np.unique(side)}
 
 
-def _paired(spark: SparkSession, rows: DataFrame, counts: DataFrame, total: int, p: FitParams) -> set[int]:
-    """Terms of pairs that interact."""
+def _sketch(words: np.ndarray) -> bytes:
+    """Least words by three hashes, the same for most near copies."""
+    least = [mix(words + np.uint64(k << 32)).min() if len(words) else np.uint64(0) for k in (1, 2, 3)]
+    return np.array(least, np.uint64).tobytes()
+
+
+def _paired(spark: SparkSession, rows: DataFrame, total: int, p: FitParams) -> set[int]:
+    """Words of pairs that interact. Rows with the same three least hashed words and label count once, because in copies
+    of one text all of its words go together."""
+    counts = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     usual = F.least(F.col("n"), total - F.col("n")) >= max(p.pair_share * total, p.pair_rows)
-    common = np.array(sorted(r[0] for r in counts.where(usual).select("term").collect()), np.int64)
+    common = np.array(sorted(r[0] for r in counts.where(usual).select("word").collect()), np.int64)
     if len(common) < 2:
         return set()
 
-    @F.pandas_udf("binary")
-    def bits(terms: pd.Series) -> pd.Series:
-        return pd.Series([np.packbits(np.isin(common, t)).tobytes() for t in terms], dtype=object)
+    @F.pandas_udf("bits binary, sketch binary")
+    def presence(lists: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "bits": [np.packbits(np.isin(common, words)).tobytes() for words in lists],
+            "sketch": [_sketch(np.asarray(words, np.uint64)) for words in lists]})
 
-    found = rows.select("toxic", bits("terms").alias("bits")).toPandas()
+    found = rows.select("toxic", presence("words").alias("p")).groupBy("p.sketch", "toxic").agg(
+        F.min("p.bits").alias("bits")).toPandas()
     packed = np.frombuffer(b"".join(found["bits"]), np.uint8).reshape(len(found), -1)
     shared = spark.sparkContext.broadcast((packed, found["toxic"].to_numpy() == 1))
 
@@ -179,33 +201,34 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, p: FitParams
     chosen = workspace.stage(ids.orderBy(order, "doc_id").limit(p.fit_rows), "fit_ids")
     bits = p.hash_bits
 
-    @F.pandas_udf("array<int>")
-    def terms_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(hashed_terms(t, bits)) for t in texts], dtype=object)
+    @F.pandas_udf("terms array<int>, words array<int>")
+    def terms_of(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "terms": [sorted(hashed_terms(t, bits)) for t in texts], "words": [sorted(hashed_words(t, bits)) for t in texts]})
 
     # At most fit_rows ids of a few bytes: bounded by the parameter.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
         F.min("text").alias("text"))
-    rows = workspace.stage(rows.select("doc_id", "toxic", terms_of("text").alias("terms")), "fit_rows")
+    rows = workspace.stage(rows.select("doc_id", "toxic", terms_of("text").alias("t")).select("doc_id", "toxic", "t.*"), "fit_rows")
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    counts = workspace.stage(rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+    counts = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("toxic").alias("bad"), F.count("*").alias("n")
-    ), "term_counts")
+    )
     gap = F.abs(F.col("bad") / max(bad, 1) - (F.col("n") - F.col("bad")) / max(good, 1))
     pooled = (F.col("n") + 1) / (bad + good + 2)
     spread = F.sqrt(pooled * (1 - pooled) * (1 / max(bad, 1) + 1 / max(good, 1)))
     picked = counts.where(F.col("n") >= p.least_rows).where(gap >= p.least_z * spread).select("term")
-    terms = sorted({r[0] for r in picked.collect()} | (_paired(spark, rows, counts, bad + good, p) if bad and good else set()))
+    terms = sorted({r[0] for r in picked.collect()} | (_paired(spark, rows, bad + good, p) if bad and good else set()))
     known = np.array(terms, np.int64)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def known_of(lists: pd.Series) -> pd.Series:
-        return pd.Series([np.intersect1d(t, known).tolist() for t in lists], dtype=object)
+        return pd.Series([np.intersect1d(t, known).astype(np.int32).tobytes() for t in lists], dtype=object)
 
-    data = rows.select("doc_id", "toxic", known_of("terms").alias("terms")).orderBy("doc_id").collect()
+    data = rows.select("doc_id", "toxic", known_of("terms").alias("terms")).orderBy("doc_id").toPandas()
     workspace.close()
-    return fit([r["terms"] for r in data], np.array([r["toxic"] for r in data], float), terms, p)
+    return fit([np.frombuffer(t, np.int32) for t in data["terms"]], data["toxic"].to_numpy(float), terms, p)
 
 
 def score_column(spark: SparkSession, machine: Machine):
