@@ -21,6 +21,7 @@ import corpus_pipeline
 from tidemark.llm import (
     decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
 )
+from tidemark.llm.graph import components
 from tidemark.llm.text import text_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, label string, size string"
@@ -101,6 +102,29 @@ def test_near_groups_without_a_common_hub(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def test_near_pairs_that_share_too_little_are_not_compared(spark, workspace):
+    """Variants of one text that share a replaced word and little else make no pair; each is linked to its own copy."""
+    draw, texts = random.Random(5), [[f"w{k}" for k in range(150)]]
+    change = lambda text, places: [("the" if k in places else w) for k, w in enumerate(text)]
+    texts += [change(texts[0], draw.sample(range(150), 2)) for _ in range(20)]
+    far = [change(texts[0], draw.sample(range(150), 13)) for _ in range(60)]
+    texts += far + [change(t, [draw.randrange(150)]) for t in far]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    job = near_dups.NearDuplicates(spark, frame, near_dups.TensorBands(words=2), workspace)
+    star = job._star()
+    pairs = job._left_over(star, components(star.where("linked").select("a", "b"), workspace)).count()
+    assert pairs <= 200
+    found = {r.doc_id: r.component_id for r in near_dups.near_duplicates(spark, frame, job.params).collect()}
+    sets = [shingles(" ".join(t), 2) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if k == high else k for k in label]
+    assert found == dict(enumerate(label)) and len(set(label)) > 40
+
+
 def test_word_hashes_agree_with_words():
     texts = [t for t in fixture_texts() if t]
     seen = {}

@@ -14,8 +14,9 @@ Let u have no link to h. A class y of the same bucket that is similar to u then
 a shingle that h lacks, for otherwise u would share as much with h; the one exception is a y so
 much smaller than h that its size tells. So what is left are classes under the same reference,
 in different components, that share one of the first 20 % (and one) of their shingles that the
-reference lacks, in hash order - the usual prefix bound - or have such a size. They are
-confirmed too. No link is given up.
+reference lacks, in hash order - the usual prefix bound - or have such a size. Of such a pair is known
+what each shares with h, and so how many shingles that h lacks it must share to be similar:
+pairs that share too few are left out, the others confirmed too. No link is given up.
 
 Empty and null texts and texts of spaces have no set and are linked with nothing.
 A text with fewer words than a shingle has one shingle. Rows that repeat an id
@@ -100,18 +101,27 @@ def _set_maker(p: TensorBands):
     return make
 
 
+def _marks(grams: np.ndarray) -> np.ndarray:
+    """The shingles as bits of 256, in four integers: never more bits than shingles."""
+    bits = np.zeros(256, bool)
+    bits[(grams >> np.uint64(56)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _comparer(p: TensorBands):
-    """Shared shingles of two sets, and the prefix of the second's shingles that the first lacks."""
+    """Shared shingles of two sets, the prefix of the second's shingles that the first lacks, and marks of those of the
+    first that the second lacks."""
 
-    @F.pandas_udf("shared long, size_a long, size_b long, rest array<long>")
+    @F.pandas_udf("shared long, size_a long, size_b long, rest array<long>, lack array<long>")
     def compare(first: pd.Series, second: pd.Series) -> pd.DataFrame:
         out = []
         for x, y in zip(first, second):
             a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             rest = np.setdiff1d(b, a, assume_unique=True)
             least = -(-p.similar_num * len(b) // p.similar_den)
-            out.append((len(b) - len(rest), len(a), len(b), np.sort(rest)[: len(b) - least + 1].view(np.int64)))
-        return pd.DataFrame(out, columns=["shared", "size_a", "size_b", "rest"])
+            out.append((len(b) - len(rest), len(a), len(b), np.sort(rest)[: len(b) - least + 1].view(np.int64),
+                        _marks(np.setdiff1d(a, b, assume_unique=True))))
+        return pd.DataFrame(out, columns=["shared", "size_a", "size_b", "rest", "lack"])
 
     return compare
 
@@ -148,9 +158,9 @@ class NearDuplicates:
         return members, homes
 
     def _star(self) -> DataFrame:
-        """Compared pairs (a, b, shared, size_b, rest, linked) of a reference a and a class b: every class with its lead,
+        """Compared pairs (a, b, shared, size_a, size_b, rest, lack, linked) of a reference a and a class b: every class with its lead,
         and every class of a bucket that these links do not put in one component with the bucket's reference."""
-        columns = ["a", "b", "shared", "size_b", "rest", "linked"]
+        columns = ["a", "b", "shared", "size_a", "size_b", "rest", "lack", "linked"]
         stage, drop = self.workspace.stage, self.workspace.drop
         members, homes = self._buckets()
         first = self._compared(homes.where("uid != a").select("a", F.col("uid").alias("b")), columns)
@@ -194,20 +204,31 @@ class NearDuplicates:
         under = self.workspace.stage(under.join(crowds, "a", "left_semi"), "under")
         self.workspace.drop(crowds)
 
-        def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-            found = left.join(right, on).where("x != y and label_x != label_y")
-            return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
         def named(side: str, *more) -> DataFrame:
-            return under.select("a", F.col("b").alias(side), F.col("label").alias(f"label_{side}"), *more)
-
+            at = lambda name: f"{name}_{side}"
+            return under.select(
+                "a", F.col("b").alias(side), F.col("label").alias(at("label")), F.col("size_b").alias(at("size")),
+                F.col("shared").alias(at("shared")), F.col("lack").alias(at("lack")), (F.col("size_b") - F.col("shared") - F.size("rest")).alias(at("cut")), *more)
+
+        # What x and y must share, less the most they may share within the reference: the rest lies outside of it.
+        least = F.ceil((F.col("size_x") + F.col("size_y")) * p.similar_num / (p.similar_num + p.similar_den))
+        gone = sum((F.bit_count(F.get("lack_x", F.lit(k)).bitwiseOR(F.get("lack_y", F.lit(k)))) for k in range(4)), F.lit(0))
+        need = least - F.least("shared_x", "shared_y", F.col("size_a") - gone)
+        beyond = F.least(F.col("size_x") - F.col("shared_x"), F.col("size_y") - F.col("shared_y"))
+        ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         gram = F.explode("rest").alias("gram")
-        sharing = pairs(named("x", gram, "linked").where("not linked"), named("y", gram), ["a", "gram"])
+        sharing = named("x", gram, "linked", "size_a").where("not linked").join(named("y", gram), ["a", "gram"]).where(
+            F.expr("x != y and label_x != label_y") & (need <= beyond))
+        # A common shingle outside both prefixes lies in what one of them cut off.
+        sharing = sharing.groupBy("a", "x", "y").agg(
+            F.count("*").alias("n"), F.first(need).alias("need"), F.first(F.greatest("cut_x", "cut_y")).alias("cut")
+        ).where("n + cut >= need").select(*ends)
         low = F.ceil(F.col("size_b") * p.similar_num / p.similar_den)
         high = F.floor(F.col("shared") * (p.similar_num + p.similar_den) / p.similar_num - F.col("size_b"))
-        small = under.where(~F.col("linked") & (low <= high)).select(
-            "a", F.col("b").alias("x"), F.col("label").alias("label_x"), F.explode(F.sequence(low, high)).alias("size_b"))
-        smaller = pairs(small, named("y", "size_b"), ["a", "size_b"])
+        small = named("x", "linked", "size_a", low.alias("low"), high.alias("high")).where("not linked and low <= high")
+        small = small.withColumn("size_y", F.explode(F.sequence("low", "high")))
+        smaller = small.join(named("y"), ["a", "size_y"]).where(
+            F.expr("x != y and label_x != label_y") & (need <= 0)).select(*ends)
         found = self.workspace.stage(sharing.union(smaller).distinct(), "left_over")
         self.workspace.drop(under)
         return found
