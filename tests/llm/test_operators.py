@@ -23,6 +23,7 @@ from tidemark.llm import (
 )
 from tidemark.llm.graph import components
 from tidemark.llm.text import text_hashes
+from tidemark.workspace import Workspace
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, label string, size string"
 FIXED = [" ".join(f"{w}{k}" for w in ("alpha", "beta", "gamma", "delta", "omega")) for k in range(12)]
@@ -195,6 +196,46 @@ def test_line_dedup(spark, docs):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == expected
 
 
+def test_line_pairs_that_edits_cannot_join_are_not_compared(spark):
+    """Variants of one line by whole words make no pair; each is linked to its own copy with one or two letters changed."""
+
+    class Counting(Workspace):
+        def stage(self, frame, name):
+            staged = super().stage(frame, name)
+            rows[name] = staged.count()
+            return staged
+
+    rows, draw = {}, random.Random(9)
+    word = lambda: "".join(draw.choice("abcdeghilmnorstu") for _ in range(7))
+    base = [word() for _ in range(30)]
+    variants = [" ".join(word() if k in at else w for k, w in enumerate(base))
+                for at in (draw.sample(range(30), 2) for _ in range(60))]
+    copies = [v[:k] + "Z" + v[k + 1 : j] + v[j + k % 2 :] for v, k, j in
+              ((v, draw.randrange(100), draw.randrange(110, 200)) for v in variants)]
+    frame = spark.createDataFrame(list(enumerate(variants + copies)), "doc_id long, text string")
+    with Counting(spark) as workspace:
+        job = line_dedup.LineClasses(spark, frame, workspace=workspace)
+        labels = job.labels().join(job.lines, F.col("node") == F.col("uid")).collect()
+        found = {r.line: r.label for r in labels}
+    assert all(found[v] == found[c] for v, c in zip(variants, copies)) and len(set(found.values())) == len(variants)
+    assert rows["rest"] <= 3 * len(variants)
+
+
+@pytest.mark.parametrize("edits", [1, 2, 5])
+def test_marks_of_near_lines(spark, edits):
+    draw, rows = random.Random(edits), []
+    for _ in range(100):
+        a = [draw.choice("abß漢😀") for _ in range(draw.randint(0, 60))]
+        b = list(a)
+        for _ in range(edits):
+            k = draw.randrange(len(b) + 1)
+            b[k : k + draw.randint(0, 1)] = draw.choice(["", "c", "a"])
+        rows.append(("".join(a), "".join(b)))
+    frame = spark.createDataFrame(rows, "a string, b string")
+    for r in frame.select(line_dedup.marks(F.col("a")).alias("x"), line_dedup.marks(F.col("b")).alias("y")).collect():
+        assert sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(r.x, r.y, strict=True)) <= 4 * edits
+
+
 def test_pipeline_removes_short_repeated_lines(spark):
     notice, long = "All rights reserved.", "a line that is long enough to be compared with edits"
     texts = [f"one\n{notice}\n\n{long}", f"two\n{notice}\n\n{long[:-1]}z", f"{notice}x\n \n{notice}\n \n", notice]

@@ -12,8 +12,10 @@ Lines linked directly or by others are one class; of all its occurrences the
 first (by doc_id, then text, then place; null ids last) stays and the others go.
 Each line is first compared with one line only, the first of its fullest bucket of the
 index; buckets whose lines are then in different classes are compared with their first
-line; only lines still in different classes after that are compared pair by pair. So a group of
-variants of one line is linked by about as many pairs as it has members, and no link is given up.
+line; only lines still in different classes after that are compared pair by pair, unless their marks
+(parities of their pairs of neighbouring characters, of which an edit changes four at most) differ in more places than
+the edits can change. So a group of variants of one line is linked by about as many pairs as it has members, and no
+link is given up.
 
 Shorter lines are left alone or, with `short_copies` (the query and the pipeline), take part as exact copies
 unless blank; then the length only decides whether a line may have edits. A null text has no lines and stays null. Rows that repeat id and
@@ -92,6 +94,18 @@ def _keys(line: Column, edits: int) -> Column:
     return F.array(*found)
 
 
+def marks(line: Column) -> Column:
+    """Parities, in 256 bits, of how often each pair of neighbouring characters occurs: an edit turns four at most."""
+    pairs = let(line, lambda s: F.transform(
+        F.sequence(F.lit(1), F.length(s) - 1), lambda k: F.pmod(F.xxhash64(F.substr(s, k, F.lit(2))), F.lit(256)).cast("int")))
+    # Bits are turned by exclusive or: a pair that occurs an even number of times leaves none.
+    word = lambda at, k: F.aggregate(
+        F.filter(at, lambda p: F.shiftright(p, 6) == k), F.lit(0).cast("long"),
+        lambda bits, p: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)))))
+    return F.when(F.length(line) > 1, let(pairs, lambda at: F.array(*(word(at, k) for k in range(4))))).otherwise(
+        F.array(*(F.lit(0).cast("long") for _ in range(4))))
+
+
 class LineClasses:
     """Classes of the distinct lines of a table with columns doc_id and text."""
 
@@ -151,13 +165,18 @@ class LineClasses:
         star = stage(star.join(tested, ["a", "b"], "left_anti"), "star")
         links = links.union(self._confirm(star))
         labels = components(links, self.workspace)
-        still = self._still_open(named.drop("label"), labels)
-        index = still.where("not probe").select("key", F.col("uid").alias("x"), F.col("label").alias("label_x"))
-        probes = still.select("key", F.col("uid").alias("y"), F.col("label").alias("label_y"))
-        rest = index.join(probes, "key").where("x != y and label_x != label_y").select(
+        open_ = self._still_open(named.drop("label"), labels)
+        drawn = open_.select("uid").distinct().join(self.lines, "uid").select("uid", marks(F.col("line")).alias("marks"))
+        drawn = stage(drawn, "marks")
+        still = open_.join(drawn, "uid")
+        index = still.where("not probe").select(
+            "key", F.col("uid").alias("x"), F.col("label").alias("label_x"), F.col("marks").alias("marks_x"))
+        probes = still.select("key", F.col("uid").alias("y"), F.col("label").alias("label_y"), F.col("marks").alias("marks_y"))
+        turned = sum((F.bit_count(F.get("marks_x", F.lit(k)).bitwiseXOR(F.get("marks_y", F.lit(k)))) for k in range(4)), F.lit(0))
+        rest = index.join(probes, "key").where(F.expr("x != y and label_x != label_y") & (turned <= 4 * self.params.edits)).select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         rest = stage(rest.join(tested.union(star), ["a", "b"], "left_anti"), "rest")
-        drop(named, still, tested, star)
+        drop(named, open_, drawn, tested, star)
         if not rest.isEmpty():
             labels = components(links.union(self._confirm(rest)), self.workspace)
         drop(rest)
