@@ -22,7 +22,7 @@ from tidemark.llm import (
     decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
 )
 from tidemark.llm.graph import components
-from tidemark.llm.text import text_hashes
+from tidemark.llm.text import maybe_among, text_hashes
 from tidemark.workspace import Workspace
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, label string, size string"
@@ -126,6 +126,32 @@ def test_near_pairs_that_share_too_little_are_not_compared(spark, workspace):
     assert found == dict(enumerate(label)) and len(set(label)) > 40
 
 
+def test_near_pairs_that_share_little_beyond_the_reference_make_no_pair(spark, workspace):
+    """What two sets share of the first shingles in hash order says nothing of the rest; marks of the rest do."""
+    draw = np.random.default_rng(3)
+    some = lambda n, low: draw.integers(low, low + 2**62, n, dtype=np.uint64)
+    reference, early, late = some(100, 2**63), some(20, 0), some(25, 2**62)
+    of = lambda *parts: np.sort(np.concatenate((reference[:50], *parts)))
+    sets = {2: of(early, some(30, 2**62)), 3: of(early, some(30, 2**62)),
+            4: of(early, late, some(5, 2**62)), 5: of(early, late, some(5, 2**62))}
+    frame = spark.createDataFrame(
+        [(1, k, np.sort(reference).tobytes(), v.tobytes()) for k, v in sets.items()], "a long, b long, x binary, y binary")
+    job = near_dups.NearDuplicates(spark, spark.createDataFrame([], "doc_id long, text string"), workspace=workspace)
+    star = frame.select("a", "b", near_dups._comparer(job.params)("x", "y").alias("c")).select(
+        "a", "b", "c.*", F.lit(False).alias("linked"))
+    left = job._left_over(star, spark.createDataFrame([], "node long, label long"))
+    assert [(r.a, r.b) for r in left.collect()] == [(4, 5)]
+
+
+def test_rows_that_no_join_needs_are_not_shuffled(spark):
+    rows = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("uid"), F.lit("text").alias("text"))
+    ids = spark.range(0, 200_000, 100).select(F.col("id").alias("uid"))
+    held = maybe_among(rows, ids.union(ids), "uid")
+    assert held.columns == rows.columns
+    assert held.join(ids, "uid").count() == 2_000 and 2_000 <= held.count() <= 2_100
+    assert maybe_among(rows, ids.limit(0), "uid").count() == 0
+
+
 def test_word_hashes_agree_with_words():
     texts = [t for t in fixture_texts() if t]
     seen = {}

@@ -16,7 +16,8 @@ much smaller than h that its size tells. So what is left are classes under the s
 in different components, that share one of the first 20 % (and one) of their shingles that the
 reference lacks, in hash order - the usual prefix bound - or have such a size. Of such a pair is known
 what each shares with h, and so how many shingles that h lacks it must share to be similar:
-pairs that share too few are left out, the others confirmed too. No link is given up.
+pairs that share too few are left out, as marks of all that h lacks of each show before a pair is made, the others
+confirmed too. No link is given up.
 
 Empty and null texts and texts of spaces have no set and are linked with nothing.
 A text with fewer words than a shingle has one shingle. Rows that repeat an id
@@ -29,13 +30,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import encoded, mix, prepare, shingle_set
+from tidemark.llm.text import encoded, maybe_among, mix, prepare, shingle_set
 from tidemark.workspace import Workspace
 
+_LACK, _OWN = 4, 8  # integers of marks
+
 
 @dataclass(frozen=True)
 class TensorBands:
@@ -101,18 +104,18 @@ def _set_maker(p: TensorBands):
     return make
 
 
-def _marks(grams: np.ndarray) -> np.ndarray:
-    """The shingles as bits of 256, in four integers: never more bits than shingles."""
-    bits = np.zeros(256, bool)
-    bits[(grams >> np.uint64(56)).astype(np.int64)] = True
+def _marks(grams: np.ndarray, words: int) -> np.ndarray:
+    """The shingles as bits in `words` integers, a power of two: never more bits than shingles."""
+    bits = np.zeros(64 * words, bool)
+    bits[(grams >> np.uint64(64 - len(bits).bit_length() + 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.int64)
 
 
 def _comparer(p: TensorBands):
     """Shared shingles of two sets, the prefix of the second's shingles that the first lacks, and marks of those of the
-    first that the second lacks."""
+    first that the second lacks and of those of the second that the first lacks."""
 
-    @F.pandas_udf("shared long, size_a long, size_b long, rest array<long>, lack array<long>")
+    @F.pandas_udf("shared long, size_a long, size_b long, rest array<long>, lack array<long>, own array<long>")
     def compare(first: pd.Series, second: pd.Series) -> pd.DataFrame:
         out = []
         for x, y in zip(first, second):
@@ -120,8 +123,8 @@ def _comparer(p: TensorBands):
             rest = np.setdiff1d(b, a, assume_unique=True)
             least = -(-p.similar_num * len(b) // p.similar_den)
             out.append((len(b) - len(rest), len(a), len(b), np.sort(rest)[: len(b) - least + 1].view(np.int64),
-                        _marks(np.setdiff1d(a, b, assume_unique=True))))
-        return pd.DataFrame(out, columns=["shared", "size_a", "size_b", "rest", "lack"])
+                        _marks(np.setdiff1d(a, b, assume_unique=True), _LACK), _marks(rest, _OWN)))
+        return pd.DataFrame(out, columns=["shared", "size_a", "size_b", "rest", "lack", "own"])
 
     return compare
 
@@ -158,9 +161,9 @@ class NearDuplicates:
         return members, homes
 
     def _star(self) -> DataFrame:
-        """Compared pairs (a, b, shared, size_a, size_b, rest, lack, linked) of a reference a and a class b: every class with its lead,
+        """Compared pairs (a, b, shared, size_a, size_b, rest, lack, own, linked) of a reference a and a class b: every class with its lead,
         and every class of a bucket that these links do not put in one component with the bucket's reference."""
-        columns = ["a", "b", "shared", "size_a", "size_b", "rest", "lack", "linked"]
+        columns = ["a", "b", "shared", "size_a", "size_b", "rest", "lack", "own", "linked"]
         stage, drop = self.workspace.stage, self.workspace.drop
         members, homes = self._buckets()
         first = self._compared(homes.where("uid != a").select("a", F.col("uid").alias("b")), columns)
@@ -183,9 +186,10 @@ class NearDuplicates:
         """Pairs (a, b) with what their full sets share, and whether that links them."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
         texts = self.rows.select("uid", F.col("row.text").alias("text"))
-        sets = texts.join(ends, "uid").select("uid", _set_maker(self.params)("text").alias("grams"))
+        sets = maybe_among(texts, ends, "uid").join(ends, "uid").select("uid", _set_maker(self.params)("text").alias("grams"))
         sets = self.workspace.stage(sets, "sets")
-        first = sets.select(F.col("uid").alias("a"), F.col("grams").alias("grams_a"))
+        # References are few beside the classes compared with them.
+        first = maybe_among(sets.select(F.col("uid").alias("a"), F.col("grams").alias("grams_a")), pairs, "a")
         second = sets.select(F.col("uid").alias("b"), F.col("grams").alias("grams_b"))
         both = pairs.join(first, "a").join(second, "b").select(
             "a", "b", _comparer(self.params)("grams_a", "grams_b").alias("c")).select("a", "b", "c.*")
@@ -208,17 +212,24 @@ class NearDuplicates:
             at = lambda name: f"{name}_{side}"
             return under.select(
                 "a", F.col("b").alias(side), F.col("label").alias(at("label")), F.col("size_b").alias(at("size")),
-                F.col("shared").alias(at("shared")), F.col("lack").alias(at("lack")), (F.col("size_b") - F.col("shared") - F.size("rest")).alias(at("cut")), *more)
+                F.col("shared").alias(at("shared")), F.col("lack").alias(at("lack")), F.col("own").alias(at("own")), (F.col("size_b") - F.col("shared") - F.size("rest")).alias(at("cut")), *more)
 
         # What x and y must share, less the most they may share within the reference: the rest lies outside of it.
         least = F.ceil((F.col("size_x") + F.col("size_y")) * p.similar_num / (p.similar_num + p.similar_den))
-        gone = sum((F.bit_count(F.get("lack_x", F.lit(k)).bitwiseOR(F.get("lack_y", F.lit(k)))) for k in range(4)), F.lit(0))
+        gone = sum((F.bit_count(F.get("lack_x", F.lit(k)).bitwiseOR(F.get("lack_y", F.lit(k)))) for k in range(_LACK)), F.lit(0))
         need = least - F.least("shared_x", "shared_y", F.col("size_a") - gone)
-        beyond = F.least(F.col("size_x") - F.col("shared_x"), F.col("size_y") - F.col("shared_y"))
+
+        def beyond(one: str, other: str) -> Column:
+            """The most of its shingles beyond the reference that one may share: not those with a mark the other lacks."""
+            only = sum((F.bit_count(F.get(f"own_{one}", F.lit(k)).bitwiseAND(F.bitwise_not(F.get(f"own_{other}", F.lit(k)))))
+                        for k in range(_OWN)), F.lit(0))
+            return F.col(f"size_{one}") - F.col(f"shared_{one}") - only
+
+        possible = (need <= beyond("x", "y")) & (need <= beyond("y", "x"))
         ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         gram = F.explode("rest").alias("gram")
         sharing = named("x", gram, "linked", "size_a").where("not linked").join(named("y", gram), ["a", "gram"]).where(
-            F.expr("x != y and label_x != label_y") & (need <= beyond))
+            F.expr("x != y and label_x != label_y") & possible)
         # A common shingle outside both prefixes lies in what one of them cut off.
         sharing = sharing.groupBy("a", "x", "y").agg(
             F.count("*").alias("n"), F.first(need).alias("need"), F.first(F.greatest("cut_x", "cut_y")).alias("cut")
