@@ -247,6 +247,25 @@ def test_line_pairs_that_edits_cannot_join_are_not_compared(spark):
     assert rows["rest"] <= 3 * len(variants)
 
 
+def test_line_keys_and_text_hashes_are_made_once(spark):
+    plans = {}
+
+    class Planning(Workspace):
+        def stage(self, frame, name):
+            plans.setdefault(name, frame._jdf.queryExecution().optimizedPlan().toString().split("\n"))
+            return super().stage(frame, name)
+
+    frame = spark.createDataFrame([(1, FIXED[0] + FIXED[1] + " one\n" + FIXED[2]), (2, FIXED[0] + FIXED[1] + " ona")], "doc_id long, text string")
+    with Planning(spark) as workspace:
+        job = line_dedup.LineClasses(spark, frame, workspace=workspace)
+        assert job.removed().count() == 1
+    assert not any("Generate" in line for name in plans.keys() - {"lines", "members", "places"} for line in plans[name])
+    assert sum("Generate" in line for line in plans["members"]) == 1
+    made = next(k for k, line in enumerate(plans["places"]) if "Generate" in line)
+    hashed = [k for k, line in enumerate(plans["places"]) if "md5(cast(text" in line]
+    assert hashed and min(hashed) > made  # below the step that makes lines
+
+
 @pytest.mark.parametrize("edits", [1, 2, 5])
 def test_marks_of_near_lines(spark, edits):
     draw, rows = random.Random(edits), []

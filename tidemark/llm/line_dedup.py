@@ -26,11 +26,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import let, prepare
+from tidemark.llm.text import let, maybe_among, prepare
 from tidemark.workspace import Workspace
 
 _PROBE = 1 << 62  # added to the id of a line that is not in the index of the bucket
@@ -122,8 +122,10 @@ class LineClasses:
 
     def occurrences(self) -> DataFrame:
         """Lines that take part: doc_id, doc (hash of the text), place, line."""
-        lines = self.docs.select(
-            "doc_id", self.document(F.col("text")).alias("doc"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
+        # The hash is taken before the lines are made: once per text, not once per line.
+        texts = self.docs.select("doc_id", self.document(F.col("text")).alias("doc"), "text")
+        lines = texts.select(
+            "doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
         return lines.where(self._long() | F.col("line").rlike(r"\S")) if self.params.short_copies else lines.where(self._long())
 
     def _long(self) -> Column:
@@ -132,7 +134,7 @@ class LineClasses:
     def _confirm(self, pairs: DataFrame) -> DataFrame:
         first = self.lines.select(F.col("uid").alias("a"), F.col("line").alias("line_a"))
         second = self.lines.select(F.col("uid").alias("b"), F.col("line").alias("line_b"))
-        both = pairs.join(first, "a").join(second, "b")
+        both = pairs.join(maybe_among(first, pairs, "a"), "a").join(maybe_among(second, pairs, "b"), "b")
         ordered = F.length("line_a") <= F.length("line_b")
         short, long = F.when(ordered, F.col("line_a")).otherwise(F.col("line_b")), F.when(
             ordered, F.col("line_b")).otherwise(F.col("line_a"))
@@ -145,13 +147,13 @@ class LineClasses:
         """(node, label) of the distinct lines that have a link."""
         keyed = self.lines.where(self._long()).select("uid", F.explode(_keys(F.col("line"), self.params.edits)).alias("k"))
         keyed = keyed.select("k.key", (F.col("uid") + F.when(F.col("k.probe"), _PROBE).otherwise(0)).alias("member"))
-        buckets = keyed.groupBy("key").agg(F.min("member").alias("lead"), F.count("*").alias("n"))
         stage, drop = self.workspace.stage, self.workspace.drop
-        buckets = stage(buckets.where((F.col("lead") < _PROBE) & (F.col("n") > 1)), "buckets")
-        members = keyed.join(buckets, "key").select(
+        bucket = Window.partitionBy("key")
+        buckets = keyed.select(
+            "key", "member", F.min("member").over(bucket).alias("lead"), F.count("*").over(bucket).alias("n"))
+        members = buckets.where((F.col("lead") < _PROBE) & (F.col("n") > 1)).select(
             "key", "lead", "n", (F.col("member") % _PROBE).alias("uid"), (F.col("member") >= _PROBE).alias("probe"))
         members = stage(members, "members")
-        drop(buckets)
         pair = (F.least("lead", "uid").alias("a"), F.greatest("lead", "uid").alias("b"))
         fullest = members.where("uid != lead").groupBy("uid").agg(F.max(F.struct("n", "lead")).getField("lead").alias("lead"))
         tested = stage(fullest.select(*pair).distinct(), "tested")
