@@ -266,6 +266,42 @@ def test_line_keys_and_text_hashes_are_made_once(spark):
     assert hashed and min(hashed) > made  # below the step that makes lines
 
 
+def test_lines_are_not_moved_to_learn_that_they_have_no_link(spark):
+    """What is joined with the labels and the places are digests, not lines, and only of lines that may have a link."""
+    plans = {}
+
+    class Planning(Workspace):
+        def stage(self, frame, name):
+            plans.setdefault(name, frame._jdf.queryExecution().optimizedPlan().toString().split("\n"))
+            return super().stage(frame, name)
+
+    frame = spark.createDataFrame([(1, FIXED[0] + FIXED[1] + " one\n" + FIXED[2]), (2, FIXED[0] + FIXED[1] + " ona")], "doc_id long, text string")
+    with Planning(spark) as workspace:
+        rows = line_dedup._cleaned(spark, frame, line_dedup.LineParams(), workspace).select("row.doc_id", "gone").collect()
+    assert sorted((r.doc_id, r.gone) for r in rows) in ([(1, None), (2, [0])], [(1, [0]), (2, None)])
+    joined = [k for k, line in enumerate(plans["shared"]) if "Join LeftOuter, (uid" in line]
+    assert joined and all("digest" in plans["shared"][k + 1] for k in joined)
+
+
+def test_line_keys_of_ascii_and_other_lines(spark):
+    """Segments of a line are those of its code points, whichever way they are cut out of it."""
+    draw, lines = random.Random(3), []
+    for k in range(40):
+        line = "".join(draw.choice("abcdefgh ") for _ in range(draw.randint(40, 70)))
+        at = draw.randrange(len(line))
+        lines += [line, line[:at] + draw.choice(["", "ß", "漢x", "😀"]) + line[at + 1 :]]
+    frame = spark.createDataFrame(list(enumerate(lines)), "uid long, line string")
+    own, all_ = {}, {}
+    for r in line_dedup._keyed(frame, 2).collect():
+        all_.setdefault(r.uid, set()).add(r.key)
+        if not r.probe:
+            own.setdefault(r.uid, set()).add(r.key)
+    assert all(len(own[k]) == 3 for k in own) and len(own) == len(lines)
+    for k in range(0, len(lines), 2):
+        x, y = sorted((k, k + 1), key=lambda k: len(lines[k]))
+        assert own[x] & all_[y]
+
+
 @pytest.mark.parametrize("edits", [1, 2, 5])
 def test_marks_of_near_lines(spark, edits):
     draw, rows = random.Random(edits), []

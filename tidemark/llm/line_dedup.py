@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import let, maybe_among, prepare
+from tidemark.llm.text import let, maybe_among, prepare, surely_not_among
 from tidemark.workspace import Workspace
 
 _PROBE = 1 << 62  # added to the id of a line that is not in the index of the bucket
@@ -77,27 +77,31 @@ def banded_distance(short: Column, long: Column, edits: int) -> Column:
     return F.aggregate(equal, start, step, lambda s: s.score)
 
 
-def _keys(line: Column, edits: int) -> Column:
-    """Structs (key, probe) of a line: its own segments have probe false."""
-    found, parts = [], edits + 1
+def _keyed(lines: DataFrame, edits: int) -> DataFrame:
+    """(uid, key, probe) of lines (uid, line): a line's own segments have probe false."""
+    parts, cuts = edits + 1, []
     for less in range(edits + 1):
-        length = F.length(line) - less
-        size, longer = F.floor(length / parts), length % parts  # the last `longer` segments have one character more
-        for i in range(1, parts + 1):
-            extra = F.greatest(F.lit(0), i - 1 - (parts - longer))
-            begin, chars = (i - 1) * size + extra + 1, size + F.when(i > parts - longer, 1).otherwise(0)
-            low, high = max(1 - i, less - (parts - i)), min(i - 1, less + (parts - i))
-            for off in range(low, high + 1):
-                piece = F.substr(line, (begin + off).cast("int"), chars.cast("int"))
-                found.append(F.struct(
-                    F.xxhash64(length, F.lit(i), piece).alias("key"), F.lit(bool(less or off)).alias("probe")))
-    return F.array(*found)
+        for part in range(1, parts + 1):
+            low, high = max(1 - part, less - (parts - part)), min(part - 1, less + (parts - part))
+            cuts += [(less, part, off) for off in range(low, high + 1)]
+    # The cuts are rows, not one long array of expressions, whose code would be too long to be compiled.
+    made = lines.select("uid", "line", F.col("line").cast("binary").alias("bytes"), F.length("line").alias("chars"), F.explode(
+        F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("less", "part", "off"), cut))) for cut in cuts))).alias("cut"))
+    less, part, off = (F.col(f"cut.{n}") for n in ("less", "part", "off"))
+    length = F.col("chars") - less
+    size, longer = F.expr(f"cast((chars - cut.less) div {parts} as int)"), length % parts  # the last `longer` segments have one character more
+    begin = (part - 1) * size + F.greatest(F.lit(0), part - 1 - (parts - longer)) + 1 + off
+    chars = size + F.when(part > parts - longer, 1).otherwise(0)
+    # Places of characters are places of bytes in a line of ASCII: nothing is scanned to find them. The hashes are equal.
+    key = F.when(F.octet_length("line") == F.col("chars"), F.xxhash64(length, part, F.substr("bytes", begin, chars))).otherwise(
+        F.xxhash64(length, part, F.substr("line", begin, chars)))
+    return made.select("uid", key.alias("key"), ((less != 0) | (off != 0)).alias("probe"))
 
 
 def marks(line: Column) -> Column:
     """Parities, in 256 bits, of how often each pair of neighbouring characters occurs: an edit turns four at most."""
-    pairs = let(line, lambda s: F.transform(
-        F.sequence(F.lit(1), F.length(s) - 1), lambda k: F.pmod(F.xxhash64(F.substr(s, k, F.lit(2))), F.lit(256)).cast("int")))
+    pairs = let(F.split(line, ""), lambda a: F.transform(
+        F.slice(a, 1, F.size(a) - 1), lambda c, k: F.pmod(F.xxhash64(c, F.get(a, k + 1)), F.lit(256)).cast("int")))
     # Bits are turned by exclusive or: a pair that occurs an even number of times leaves none.
     word = lambda at, k: F.aggregate(
         F.filter(at, lambda p: F.shiftright(p, 6) == k), F.lit(0).cast("long"),
@@ -106,6 +110,11 @@ def marks(line: Column) -> Column:
         F.array(*(F.lit(0).cast("long") for _ in range(4))))
 
 
+def _turned(x: Column, y: Column) -> Column:
+    """In how many places two marks differ."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+
+
 class LineClasses:
     """Classes of the distinct lines of a table with columns doc_id and text."""
 
@@ -140,13 +149,16 @@ class LineClasses:
             ordered, F.col("line_b")).otherwise(F.col("line_a"))
         near = both.select("a", "b", short.alias("short"), long.alias("long")).where(
             F.length("long") - F.length("short") <= self.params.edits)
+        # Most pairs fail, and their marks tell it of most of them.
+        possible = _turned(marks(F.col("short")), marks(F.col("long"))) <= 4 * self.params.edits
         distance = banded_distance(F.col("short"), F.col("long"), self.params.edits)
-        return self.workspace.stage(near.where(distance <= self.params.edits).select("a", "b"), "links")
+        linked = F.when(possible, distance <= self.params.edits).otherwise(False)
+        return self.workspace.stage(near.where(linked).select("a", "b"), "links")
 
     def labels(self) -> DataFrame:
         """(node, label) of the distinct lines that have a link."""
-        keyed = self.lines.where(self._long()).select("uid", F.explode(_keys(F.col("line"), self.params.edits)).alias("k"))
-        keyed = keyed.select("k.key", (F.col("uid") + F.when(F.col("k.probe"), _PROBE).otherwise(0)).alias("member"))
+        keyed = _keyed(self.lines.where(self._long()), self.params.edits)
+        keyed = keyed.select("key", (F.col("uid") + F.when(F.col("probe"), _PROBE).otherwise(0)).alias("member"))
         stage, drop = self.workspace.stage, self.workspace.drop
         bucket = Window.partitionBy("key")
         buckets = keyed.select(
@@ -168,13 +180,15 @@ class LineClasses:
         links = links.union(self._confirm(star))
         labels = components(links, self.workspace)
         open_ = self._still_open(named.drop("label"), labels)
-        drawn = open_.select("uid").distinct().join(self.lines, "uid").select("uid", marks(F.col("line")).alias("marks"))
+        ends = open_.select("uid").distinct()
+        drawn = maybe_among(self.lines.select("uid", "line"), open_, "uid").join(ends, "uid").select(
+            "uid", marks(F.col("line")).alias("marks"))
         drawn = stage(drawn, "marks")
         still = open_.join(drawn, "uid")
         index = still.where("not probe").select(
             "key", F.col("uid").alias("x"), F.col("label").alias("label_x"), F.col("marks").alias("marks_x"))
         probes = still.select("key", F.col("uid").alias("y"), F.col("label").alias("label_y"), F.col("marks").alias("marks_y"))
-        turned = sum((F.bit_count(F.get("marks_x", F.lit(k)).bitwiseXOR(F.get("marks_y", F.lit(k)))) for k in range(4)), F.lit(0))
+        turned = _turned(F.col("marks_x"), F.col("marks_y"))
         rest = index.join(probes, "key").where(F.expr("x != y and label_x != label_y") & (turned <= 4 * self.params.edits)).select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         rest = stage(rest.join(tested.union(star), ["a", "b"], "left_anti"), "rest")
@@ -199,12 +213,16 @@ class LineClasses:
         """Occurrences that go: doc_id, doc, place."""
         labels = self.labels()
         digest = lambda line: F.unhex(F.md5(line.cast("binary")))
-        # Only lines that occur twice or have a link can go.
-        shared = self.lines.join(labels.withColumnRenamed("node", "uid"), "uid", "left").where(
-            "n > 1 or label is not null").select(digest(F.col("line")).alias("digest"), F.coalesce("label", "uid").alias("label"))
-        shared = self.workspace.stage(shared, "shared")
+        # Only lines that occur twice or have a link can go. Those that have none are not moved to learn it.
+        labels = labels.withColumnRenamed("node", "uid")
+        linked = maybe_among(self.lines, labels, "uid").select("uid", "n", digest(F.col("line")).alias("digest")).join(
+            labels, "uid", "left").where("n > 1 or label is not null").select("digest", F.coalesce("label", "uid").alias("label"))
+        alone = surely_not_among(self.lines, labels, "uid").where("n > 1").select(
+            digest(F.col("line")).alias("digest"), F.col("uid").alias("label"))
+        shared = self.workspace.stage(linked.union(alone), "shared")
         places = self.occurrences().select("doc_id", "doc", "place", digest(F.col("line")).alias("digest"))
-        places = self.workspace.stage(places.join(shared, "digest").select("doc_id", "doc", "place", "label"), "places")
+        places = maybe_among(places, shared, "digest").join(shared, "digest")
+        places = self.workspace.stage(places.select("doc_id", "doc", "place", "label"), "places")
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "place")
         first = places.groupBy("label").agg(F.min(order).alias("first"))
         first = self.workspace.stage(first, "first")
@@ -230,7 +248,11 @@ def _cleaned(spark: SparkSession, docs: DataFrame, p: LineParams, workspace: Wor
     gone = job.removed().groupBy("doc_id", "doc").agg(F.collect_set("place").alias("gone"))
     gone = job.workspace.stage(gone.withColumnRenamed("doc_id", "of").withColumnRenamed("doc", "hash"), "gone")
     rows = docs.select(F.struct("*").alias("row"), LineClasses.document(F.col("text")).alias("doc"))
-    rows = rows.join(gone, (rows["doc"] == gone["hash"]) & rows["row.doc_id"].eqNullSafe(gone["of"]), "left")
+    # Texts that lose no line are not moved.
+    ids = gone.select(F.col("hash").alias("doc"))
+    losing, whole = maybe_among(rows, ids, "doc"), surely_not_among(rows, ids, "doc")
+    losing = losing.join(gone, (losing["doc"] == gone["hash"]) & losing["row.doc_id"].eqNullSafe(gone["of"]), "left")
+    rows = losing.select("row", "gone").union(whole.select("row", F.lit(None).cast("array<int>").alias("gone")))
     stay = lambda lines: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda k: F.get(lines, k))
     clean = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(
