@@ -22,7 +22,7 @@ from tidemark.llm import (
     decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
 )
 from tidemark.llm.graph import components
-from tidemark.llm.text import maybe_among, text_hashes
+from tidemark.llm.text import maybe_among, surely_not_among, text_hashes
 from tidemark.workspace import Workspace
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, label string, size string"
@@ -143,11 +143,34 @@ def test_near_pairs_that_share_little_beyond_the_reference_make_no_pair(spark, w
     assert [(r.a, r.b) for r in left.collect()] == [(4, 5)]
 
 
+def test_texts_are_not_shuffled_to_find_which_stay(spark):
+    plans, join = {}, lambda plan, kind: [plan[k + 1] for k, line in enumerate(plan) if f"Join {kind}" in line]
+
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+
+    class Planning(Workspace):
+        def stage(self, frame, name):
+            plans[name] = plan(frame)
+            return super().stage(frame, name)
+
+    text = " ".join(f"w{k}" for k in range(40))
+    frame = spark.createDataFrame([(2, text), (1, text), (3, "other words"), (4, None), (None, text)], "doc_id long, text string")
+    with Planning(spark) as workspace:
+        kept = near_dups.without_near_duplicates(spark, frame, workspace=workspace)
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, text), (3, "other words"), (4, None)]
+        assert not join(plan(kept), "LeftSemi") and any("_marks" in line for line in plan(kept))
+    rows = join(plans["judged"], "LeftOuter, (node")
+    assert rows and all("row#" not in line or "AS of" in line for line in rows)
+
+
 def test_rows_that_no_join_needs_are_not_shuffled(spark):
     rows = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("uid"), F.lit("text").alias("text"))
     ids = spark.range(0, 200_000, 100).select(F.col("id").alias("uid"))
     held = maybe_among(rows, ids.union(ids), "uid")
     assert held.columns == rows.columns
+    assert held.unionAll(surely_not_among(rows, ids, "uid")).exceptAll(rows).isEmpty()
+    assert held.count() + surely_not_among(rows, ids, "uid").count() == 200_000
     assert held.join(ids, "uid").count() == 2_000 and 2_000 <= held.count() <= 2_100
     assert maybe_among(rows, ids.limit(0), "uid").count() == 0
 

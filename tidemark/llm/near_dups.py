@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.text import encoded, maybe_among, mix, prepare, shingle_set
+from tidemark.llm.text import encoded, maybe_among, mix, prepare, shingle_set, surely_not_among
 from tidemark.workspace import Workspace
 
 _LACK, _OWN = 4, 8  # integers of marks
@@ -256,7 +256,7 @@ class NearDuplicates:
         return components(links.union(more), self.workspace)
 
     def result(self) -> DataFrame:
-        """Each row with uid, n_shingles, label and component_id (the component's smallest doc_id)."""
+        """Per row doc_id, uid, n_shingles, label and component_id (the component's smallest doc_id), without its text."""
         labels = self.labels()
         named = self.workspace.stage(
             self.classes.select("node", "uid", "doc_id")
@@ -267,10 +267,10 @@ class NearDuplicates:
         smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
         smallest = self.workspace.stage(smallest, "smallest")
         found = self.workspace.stage(named.join(smallest, "label").select("node", "label", "component_id"), "found")
-        rows = self.rows.select("row", "uid", "node", F.col("n").alias("n_shingles"))
+        rows = self.rows.select(F.col("row.doc_id").alias("of"), "uid", "node", F.col("n").alias("n_shingles"))
         return rows.join(found, "node", "left").select(
-            "row", "uid", "n_shingles", "label",
-            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("row.doc_id")).alias("component_id"),
+            F.col("of").alias("doc_id"), "uid", "n_shingles", "label",
+            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("of")).alias("component_id"),
         )
 
 
@@ -278,8 +278,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: TensorBands =
     """Per row: doc_id, n_shingles, component_id, kept (doc_id is its component's smallest)."""
     found = NearDuplicates(spark, docs.select("doc_id", "text"), params).result()
     return found.select(
-        F.col("row.doc_id").alias("doc_id"), "n_shingles", "component_id",
-        F.expr("row.doc_id <=> component_id").alias("kept"),
+        "doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"),
     )
 
 
@@ -288,7 +287,11 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, params: Tensor
     """The documents, one row of each component: the first with the smallest id. Rows without a set stay."""
     job = NearDuplicates(spark, docs, params, workspace)
     found = job.workspace.stage(job.result().select("uid", "label", "n_shingles",
-                                                    F.expr("row.doc_id <=> component_id").alias("least")), "judged")
+                                                    F.expr("doc_id <=> component_id").alias("least")), "judged")
     keepers = found.where("n_shingles > 0 and least").groupBy("label").agg(F.min("uid").alias("uid")).select("uid")
-    keepers = job.workspace.stage(keepers.union(found.where("n_shingles = 0").select("uid")), "keepers")
-    return job.rows.join(keepers, "uid", "left_semi").select("row.*")
+    keepers = job.workspace.stage(keepers, "keepers")
+    gone = job.workspace.stage(found.where("n_shingles > 0").select("uid").join(keepers, "uid", "left_anti"), "gone")
+    # Rows that surely stay are not moved to learn it.
+    stay = surely_not_among(job.rows, gone, "uid").unionByName(
+        maybe_among(job.rows, gone, "uid").join(gone, "uid", "left_anti"))
+    return stay.select("row.*")
