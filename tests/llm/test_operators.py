@@ -175,6 +175,30 @@ def test_rows_that_no_join_needs_are_not_shuffled(spark):
     assert maybe_among(rows, ids.limit(0), "uid").count() == 0
 
 
+def test_bucket_keys_of_one_class_are_not_shuffled_twice(spark):
+    plans = {}
+
+    class Planning(Workspace):
+        def stage(self, frame, name):
+            plans[name] = frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+            return super().stage(frame, name)
+
+    texts = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(40)]
+    texts += [texts[0] + " more", texts[1].replace("w1x7 ", "other ")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with Planning(spark) as workspace:
+        job = near_dups.NearDuplicates(spark, frame, near_dups.TensorBands(words=2), workspace)
+        members = job._buckets()[0].collect()
+        uid = {r.doc_id: r.uid for r in job.rows.select("row.doc_id", "uid").collect()}
+    assert {r.uid for r in members} == {uid[k] for k in (0, 1, 40, 41)}
+    assert all(n > 1 for n in Counter(r.key for r in members).values()) and all(r.crowd == 2 for r in members)
+    # Below the join with the shared keys, the keys of all classes have met the filter.
+    join = next(k for k, line in enumerate(plans["members"]) if "Join Inner, (key" in line)
+    filtered = next(k for k, line in enumerate(plans["members"]) if "_marks" in line)
+    made = next(k for k, line in enumerate(plans["members"]) if "Generate explode" in line)
+    assert join < filtered < made
+
+
 def test_word_hashes_agree_with_words():
     texts = [t for t in fixture_texts() if t]
     seen = {}

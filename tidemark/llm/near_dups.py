@@ -38,6 +38,7 @@ from tidemark.llm.text import encoded, maybe_among, mix, prepare, shingle_set, s
 from tidemark.workspace import Workspace
 
 _LACK, _OWN = 4, 8  # integers of marks
+_KEY_BITS = 1 << 26  # of the filter of bucket keys that several classes have
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,8 @@ class NearDuplicates:
         keyed = self.classes.select("uid", F.explode(pairs).alias("key"))
         stage, drop = self.workspace.stage, self.workspace.drop
         shared = stage(keyed.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), "buckets")
-        members = stage(keyed.join(shared, "key"), "members")
+        # Most keys are of one class only: those the filter tells need not be shuffled to learn it.
+        members = stage(maybe_among(keyed, shared, "key", _KEY_BITS).join(shared, "key"), "members")
         degree = stage(members.groupBy("uid").agg(F.sum("crowd").alias("degree")), "degree")
         ranked = members.join(degree, "uid").groupBy("key").agg(F.max(F.struct("degree", "uid")).alias("top"))
         leads = stage(ranked, "leads")
