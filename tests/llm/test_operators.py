@@ -11,6 +11,7 @@ import textwrap
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -175,6 +176,16 @@ def test_rows_that_no_join_needs_are_not_shuffled(spark):
     assert maybe_among(rows, ids.limit(0), "uid").count() == 0
 
 
+def test_texts_of_near_duplicates_are_staged_packed(spark, workspace):
+    frame = spark.createDataFrame([(1, "some words of a text"), (2, None), (None, "")], "doc_id long, text string")
+    job = near_dups.NearDuplicates(spark, frame, workspace=workspace)
+    assert job.rows.select("row.*").exceptAll(frame).isEmpty() and job.rows.count() == 3
+    assert all(".zstd." in name for name in job.rows.inputFiles()) and job.rows.inputFiles()
+    assert not any(".zstd." in name for name in workspace.stage(frame, "plain").inputFiles())
+    workspace.drop(job.rows)
+    assert not list(Path(workspace.path).glob("signed-*"))
+
+
 def test_bucket_keys_of_one_class_are_not_shuffled_twice(spark):
     plans = {}
 

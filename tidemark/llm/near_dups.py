@@ -140,7 +140,7 @@ class NearDuplicates:
         signed = docs.select(
             F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid"), _signer(params)("text").alias("s")
         )
-        self.rows = self.workspace.stage(signed.select("row", "uid", "s.*"), "signed")
+        self.rows = self.workspace.stage_packed(signed.select("row", "uid", "s.*"), "signed")
         found = self.rows.where("n > 0").groupBy("node").agg(
             F.min("uid").alias("uid"), F.min("row.doc_id").alias("doc_id"),
             F.first("n").alias("n"), F.first("a").alias("a"), F.first("b").alias("b"),
