@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
-    decontaminate, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
+    decontaminate, kneser_ney, language, licences, line_dedup, mixing, near_dups, perplexity, secrets, toxicity, warc,
 )
 from tidemark.llm.graph import components
 from tidemark.llm.text import maybe_among, surely_not_among, text_hashes
@@ -611,6 +612,62 @@ def test_small_language_keeps_its_words(spark, workspace):
     assert len(model.tables["xx", "p3"].hashes) == 8
 
 
+def trigram_losses(texts: list[tuple[str, str]]) -> dict[tuple[str, str], float]:
+    """Mean loss of each text by counting: modified Kneser-Ney trigrams over distinct six-word contexts."""
+
+    def steps(counts):
+        n = Counter(min(c, 5) for c in counts)
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+        one = lambda k: 0.5 * k if y is None or not n[k] else min(max(k - (k + 1) * y * n[k + 1] / n[k], 0), k)
+        return [0, one(1), one(2), one(3)]
+
+    def level(counts, context):
+        d, total, left = steps(counts.values()), Counter(), Counter()
+        for key, c in counts.items():
+            total[context(key)] += c
+            left[context(key)] += d[min(c, 3)]
+        share = lambda key: (counts[key] - d[min(counts[key], 3)]) / total[context(key)]
+        return share, lambda key: left[context(key)] / total[context(key)]
+
+    out = {}
+    for lang in {lang for lang, _ in texts}:
+        seen = {tuple(w[k : k + 6]) for t in {t for x, t in texts if x == lang}
+                for w in [[None] * 3 + words(t) + [None] * 2] for k in range(len(w) - 5)}
+        three = Counter(("<s>" if c[1] is None else c[1], "<s>" if c[2] is None else c[2], c[3]) for c in seen)
+        two = Counter(key[1:] for key in three)
+        one = Counter(key[1:] for key in two)
+        p3, g3 = level(three, lambda key: key[:2])
+        p2, g2 = level(two, lambda key: key[:1])
+        p1, g1 = level(one, lambda key: ())
+        chance = lambda k: p3(k) + g3(k) * (p2(k[1:]) + g2(k[1:]) * (p1(k[2:]) + g1(k[2:]) / len(one)))
+        for text in {t for x, t in texts if x == lang and words(t)}:
+            w = ["<s>"] * 2 + words(text)
+            out[lang, text] = -sum(math.log(chance(tuple(w[k : k + 3]))) for k in range(len(w) - 2)) / (len(w) - 2)
+    return out
+
+
+@pytest.mark.parametrize("cut", [
+    kneser_ney.SweepParams(),
+    kneser_ney.SweepParams(bucket_words=300, block_bytes=2_000, slice_words=1_000, slices=3, codes=20, code_share=1e-4)])
+def test_perplexity_is_of_the_whole_model(spark, cut):
+    """Every word is a token and every n-gram is kept, however rare: 7,000 words a language, most of them seen once."""
+    draw = random.Random(8)
+    texts = []
+    for k in range(60):
+        lang, common = ("en", "xx")[k % 3 == 0], [f"w{j}" for j in range(30)]
+        w = [draw.choice(common) if draw.random() < 0.6 else f"r{draw.randrange(9000)}" for _ in range(draw.randint(1, 300))]
+        texts.append((lang, " ".join(w)))
+    texts += [texts[1]] * 5 + [("en", texts[1][1] + " and some more"), ("yy", "a b a b a"), ("yy", "\u00e9"), ("en", " \n "), ("en", "")]
+    texts.append(("en", " ".join(["w1 w2 w3"] * 400)))
+    expected = trigram_losses(texts)
+    frame = spark.createDataFrame([(k, *t) for k, t in enumerate([*texts, ("en", None)])], "doc_id long, lang string, text string")
+    rows = {r.doc_id: r for r in perplexity.quality(spark, frame.repartition(3), cut=cut).collect()}
+    assert len(rows) == len(texts) + 1 and rows[len(texts)].perplexity is None
+    for k, text in enumerate(texts):
+        found = rows[k].perplexity
+        assert found is None if text not in expected else math.isclose(math.log(found), expected[text], rel_tol=1e-6, abs_tol=1e-6)
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(3, "http://a/x y", "<p>é</p>"), (1, "http://b", "<p>é</p>"), (2, None, None), (5, "u", ""), (7, "v", "z" * 100_000),
              (None, "w", "<p>é</p>"), (8, "WARC/1.1\r\n", "WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")]
