@@ -648,7 +648,7 @@ def trigram_losses(texts: list[tuple[str, str]]) -> dict[tuple[str, str], float]
 
 @pytest.mark.parametrize("cut", [
     kneser_ney.SweepParams(),
-    kneser_ney.SweepParams(bucket_words=300, block_bytes=2_000, slice_words=1_000, slices=3, codes=20, code_share=1e-4)])
+    kneser_ney.SweepParams(bucket_words=300, piece_bytes=1_000, block_words=500, slice_words=1_000, count_slices=3, codes=20, code_share=1e-4)])
 def test_perplexity_is_of_the_whole_model(spark, cut):
     """Every word is a token and every n-gram is kept, however rare: 7,000 words a language, most of them seen once."""
     draw = random.Random(8)
